@@ -12,6 +12,7 @@ The driver only sees partition values: days or buckets, never keys.
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -68,10 +69,18 @@ class KeyedTable:
         rows = spark.read.schema(self.schema).option("basePath", f"{self.path}/data").parquet(*paths)
         return rows.select(*self.schema.names)
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        rows = self.stored(spark, self.partition_versions(spark, self.last_version(spark)))
+    def read(self, spark: SparkSession, parts: Collection[str] | None = None) -> DataFrame:
+        """Current rows, of the given partition values only if there are any given."""
+        versions = self.partition_versions(spark, self.last_version(spark))
+        if parts is not None:
+            versions = {part: written for part, written in versions.items() if part in parts}
+        rows = self.stored(spark, versions)
         return rows.where(~F.col(self.deleted)) if self.deleted else rows
 
+    def live_versions(self, spark: SparkSession) -> list[int]:
+        """Versions that hold current rows. Once no reader uses an older commit, other folders may be removed."""
+        return sorted(set(self.partition_versions(spark, self.last_version(spark)).values()))
+
     def upsert(self, changes: DataFrame, touched: list[str] | None = None) -> int:
         """Merge ``changes`` and return the version written.
 
