@@ -31,10 +31,16 @@ def bucket(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """Names of the files below a folder; their content is not read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     """``order`` decides which version of a key is newest; ``deleted`` names a boolean column marking tombstones,
-    which stay stored so that an older change cannot revive a row, and which ``read`` leaves out."""
+    which stay stored so that an older change cannot revive a row, and which ``read`` leaves out. ``partition`` is a
+    date, a number or plain text."""
 
     path: str
     schema: StructType
@@ -46,7 +52,7 @@ class KeyedTable:
     def last_version(self, spark: SparkSession) -> int | None:
         """Number of the newest commit, from the names of the commit files alone."""
         try:
-            files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{self.path}/commits")
+            files = _files(spark, f"{self.path}/commits")
         except AnalysisException:
             return None
         version = F.regexp_extract("path", r"version=(\d+)", 1).cast("long")
@@ -100,7 +106,9 @@ class KeyedTable:
         gather(merged, [self.partition]).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
             self.partition
         ).parquet(f"{self.path}/data/version={version}")
-        self._commit(spark, version, {**versions, **dict.fromkeys(touched, version)})
+        part = F.regexp_extract("path", f"{self.partition}=([^/]+)/", 1).alias("part")
+        written = _files(spark, f"{self.path}/data/version={version}").select(part).distinct().collect()
+        self._commit(spark, version, {**versions, **{row.part: version for row in written}})
         return version
 
     def _commit(self, spark: SparkSession, version: int, versions: dict[str, int]) -> None:

@@ -65,6 +65,13 @@ def test_untouched_partitions_are_not_rewritten(spark, table):
     assert state(spark, table) == {("a", 1): 1, ("b", 2): 3}
 
 
+def test_load_without_rows(spark, table):
+    table.upsert(rows(spark), touched=["2024-01-01"])
+    assert state(spark, table) == {}
+    table.upsert(rows(spark, ("a", 1, 1, 10, False)), touched=["2024-01-01", "2024-01-02"])
+    assert state(spark, table) == {("a", 1): 1}
+
+
 def test_empty_table_reads_empty(spark, table):
     assert table.last_version(spark) is None
     assert table.read(spark).count() == 0
