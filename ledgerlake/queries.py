@@ -27,6 +27,7 @@ QUERIES: dict[str, Query] = {}
 LOADED = dt.datetime(2024, 2, 1, 1, 0)
 RELOADED = dt.datetime(2024, 2, 2, 1, 0)
 BUCKETS = 8
+TRADES = specs.DEAL_FEED.only("C_ACCOUNT_CODE", "C_MATCHED_PRICE", "C_MATCHED_VOLUME")
 GOLD_TYPES = {
     "C_MARGIN_DEBT": "decimal(38,4)", "C_MBLINK_DEBT": "decimal(38,2)",
     "C_UTTB": "decimal(38,2)", "C_GTGD": "decimal(38,4)",
@@ -377,9 +378,8 @@ def back_data_daily(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _accounts(spark: SparkSession, folder: str) -> DataFrame:
-    changes = cdc.valid_changes(bindings.account_wire(spark, folder), specs.ACCOUNT_FEED).select(
-        "PK_ACCOUNT", "op", *cdc.VERSION_ORDER, "C_ACCOUNT_CODE", "C_ACCOUNT_BRANCH_CODE", "C_CHANNEL", "C_OPEN_DATE"
-    )
+    feed = specs.ACCOUNT_FEED.only("C_ACCOUNT_CODE", "C_ACCOUNT_BRANCH_CODE", "C_CHANNEL", "C_OPEN_DATE")
+    changes = cdc.valid_changes(bindings.account_wire(spark, folder), feed).drop("created")
     return latest.current_state(changes, ["PK_ACCOUNT"], cdc.VERSION_ORDER, F.col("op") == cdc.DELETE)
 
 
@@ -390,16 +390,14 @@ def back_data_known_accounts(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def front_data(spark: SparkSession, folder: str) -> DataFrame:
-    log = cdc.change_log(cdc.valid_changes(bindings.deal_wire(spark, folder), specs.DEAL_FEED), specs.DEAL_FEED)
+    log = cdc.change_log(cdc.valid_changes(bindings.deal_wire(spark, folder), TRADES), TRADES)
     return _typed(gold.front_data(log, dt.date(2024, 1, 15)))
 
 
 @register
 def front_data_current(spark: SparkSession, folder: str) -> DataFrame:
     """The same measures over all current deals, dated ``as_of``."""
-    changes = cdc.valid_changes(bindings.deal_wire(spark, folder), specs.DEAL_FEED).select(
-        "PK_FRONT_DEAL", "op", *cdc.VERSION_ORDER, "C_ACCOUNT_CODE", "C_MATCHED_PRICE", "C_MATCHED_VOLUME"
-    )
+    changes = cdc.valid_changes(bindings.deal_wire(spark, folder), TRADES).drop("created")
     deals = latest.current_state(changes, ["PK_FRONT_DEAL"], cdc.VERSION_ORDER, F.col("op") == cdc.DELETE)
     return _typed(gold.front_data_of(deals, dt.date(2024, 1, 15)))
 
@@ -465,7 +463,7 @@ def latest_version(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def cdc_parse(spark: SparkSession, folder: str) -> DataFrame:
-    return cdc.valid_changes(bindings.deal_wire(spark, folder), specs.DEAL_FEED).select(
+    return cdc.valid_changes(bindings.deal_wire(spark, folder), TRADES).select(
         "PK_FRONT_DEAL", "op", "ts_ms", F.col("scn").cast("bigint").alias("scn"), "C_ACCOUNT_CODE",
         "C_MATCHED_PRICE", "C_MATCHED_VOLUME",
     )

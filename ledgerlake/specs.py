@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql.types import StructType
 
@@ -99,6 +99,12 @@ class FeedSpec:
     def row(self) -> StructType:
         return schemas.struct(self.columns)
 
+    def only(self, *names: str) -> FeedSpec:
+        """The feed with its key and the named columns, for readers that need few: the others are not parsed."""
+        kept = {self.key, self.created_column, *names}
+        columns = [column.strip() for column in self.columns.split(",")]
+        return replace(self, columns=", ".join(column for column in columns if column.split()[0] in kept))
+
 
 ACCOUNT_FEED = FeedSpec("t_back_account", "PK_ACCOUNT", schemas.ACCOUNT_ROW, created_column="C_CREATE_TIME")
 DEAL_FEED = FeedSpec("t_front_deal", "PK_FRONT_DEAL", schemas.DEAL_ROW)
