@@ -45,6 +45,15 @@ def shift_to_local(df: DataFrame, columns: list[str], zone: str = MARKET_ZONE) -
     return df.withColumns({name: to_local(F.col(name), zone) for name in columns})
 
 
+def computed_once(expression: Column) -> Column:
+    """An expensive expression, such as parsed text, for a ``select`` whose result is filtered.
+
+    Spark pushes a filter below a projection by repeating its expressions, so text would be parsed again for every
+    condition. It does not push one below a generator, which this one-element explode is.
+    """
+    return F.explode(F.array(expression))
+
+
 def split_null_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """(rows with all keys, rejected rows with a NULL key)."""
     some_null = F.lit(False)

@@ -12,6 +12,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ledgerlake.functions.times import MARKET_ZONE, local_from_millis
 from ledgerlake.operators.keyed import KeyedTable, bucket
+from ledgerlake.operators.projections import computed_once
 from ledgerlake.schemas import change_envelope, struct
 from ledgerlake.sources.streams import StreamSource
 from ledgerlake.specs import FeedSpec
@@ -35,9 +36,8 @@ def parse_changes(lines: DataFrame, feed: FeedSpec) -> DataFrame:
     without key; ``value`` stays for the reject output.
     """
     row = feed.row
-    record = lines.select("value", F.from_json("value", change_envelope(row)).alias("record")).select(
-        "value", "record.payload.*"
-    )
+    parsed = computed_once(F.from_json("value", change_envelope(row)))
+    record = lines.select("value", parsed.alias("record")).select("value", "record.payload.*")
     created = (
         F.coalesce(f"after.{feed.created_column}", f"before.{feed.created_column}").cast("timestamp_ntz")
         if feed.created_column else F.lit(None).cast("timestamp_ntz")
@@ -56,7 +56,8 @@ def parse_changes(lines: DataFrame, feed: FeedSpec) -> DataFrame:
 def parse_rows(lines: DataFrame, feed: FeedSpec) -> DataFrame:
     """Plain JSON rows without envelope; broken text gives a row without key."""
     row = feed.row
-    record = lines.select("value", F.from_json("value", row).alias("record")).select("value", "record.*")
+    parsed = computed_once(F.from_json("value", row))
+    record = lines.select("value", parsed.alias("record")).select("value", "record.*")
     return record.withColumn(feed.key, _key(feed, F.col(feed.key)))
 
 

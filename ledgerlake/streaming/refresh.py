@@ -7,9 +7,10 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.times import MARKET_ZONE, between_days, period_start, to_local
+from ledgerlake.functions.times import MARKET_ZONE, period_start
 from ledgerlake.operators import tables
 from ledgerlake.plans import gold
+from ledgerlake.sources.warehouse import scan_days
 
 
 def touched_periods(rows: DataFrame, date_column: str, grain: str = "day") -> list[dt.date]:
@@ -51,12 +52,7 @@ def refresh_account_days(
     gold.write_account_days(fresh, path, grain)
 
 
-def refresh_turnover(
-    ticks: DataFrame, path: str, first: dt.date, end: dt.date, zone: str = MARKET_ZONE
-) -> None:
-    """Recompute the local days in ``[first, end)`` of the stored turnover, a table partitioned by ``C_DATE``."""
-    margin = dt.timedelta(days=1)
-    near = ticks.where(between_days(ticks, "Last_updated", first - margin, end + margin))
-    local_day = F.to_date(to_local(F.col("Last_updated"), zone))
-    inside = near.where(local_day.between(F.lit(first), F.lit(end - margin)))
-    tables.overwrite_partitions(gold.market_turnover(inside, zone), path, ["C_DATE"])
+def refresh_turnover(ticks: DataFrame, path: str, first: dt.date, end: dt.date, zone: str = MARKET_ZONE) -> None:
+    """Recompute the local days in ``[first, end)`` of the stored turnover from the tick table."""
+    days = scan_days(ticks, first, end)
+    tables.overwrite_partitions(gold.market_turnover(days, zone), path, ["C_DATE"])

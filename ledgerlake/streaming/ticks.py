@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerlake.functions.times import MARKET_ZONE, as_instant, as_utc
+from ledgerlake.functions.times import MARKET_ZONE, as_instant, as_utc, to_local
+from ledgerlake.operators.projections import computed_once
 from ledgerlake.schemas import TICK_CLASS, TICK_COLUMNS, TICK_COUNTS, TICK_VALUES, tick_body
 from ledgerlake.sources.streams import StreamSource
 
@@ -22,7 +23,7 @@ def message_class(type_url: Column) -> Column:
 def parse_ticks(lines: DataFrame, wanted: str = TICK_CLASS) -> DataFrame:
     """Flat ticks of JSON messages ``{type_url, value}`` of the wanted class."""
     message = F.from_json("value", f"type_url string, value {tick_body().simpleString()}")
-    messages = lines.select(message.alias("message")).select("message.type_url", F.col("message.value").alias("body"))
+    messages = lines.select(computed_once(message).alias("message")).select("message.type_url", F.col("message.value").alias("body"))
     return flatten_ticks(messages.where(message_class(F.col("type_url")) == wanted))
 
 
@@ -31,7 +32,8 @@ def parse_tick_bytes(records: DataFrame, descriptor: str, wanted: str = TICK_CLA
     executors can read."""
     from pyspark.sql.protobuf.functions import from_protobuf
 
-    outer = records.select(from_protobuf("value", "google.protobuf.Any", descriptor).alias("message"))
+    message = from_protobuf("value", "google.protobuf.Any", descriptor)
+    outer = records.select(computed_once(message).alias("message"))
     bodies = outer.where(message_class(F.col("message.type_url")) == wanted)
     return flatten_ticks(bodies.select(from_protobuf("message.value", wanted, descriptor).alias("body")))
 
@@ -50,11 +52,14 @@ def flatten_ticks(messages: DataFrame) -> DataFrame:
 
 
 def start_tick_table(
-    spark: SparkSession, source: StreamSource, path: str, checkpoint: str, wanted: str = TICK_CLASS
+    spark: SparkSession, source: StreamSource, path: str, checkpoint: str, wanted: str = TICK_CLASS,
+    zone: str = MARKET_ZONE,
 ) -> StreamingQuery:
-    """Append flat ticks to the tick table."""
+    """Append flat ticks to the tick table, stored by local day."""
+    flat = parse_ticks(source.open(spark), wanted)
+    stored = flat.withColumn("partition_date", F.to_date(to_local(F.col("Last_updated"), zone)))
     return (
-        parse_ticks(source.open(spark), wanted).writeStream.format("parquet").outputMode("append")
+        stored.writeStream.format("parquet").outputMode("append").partitionBy("partition_date")
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
     )
 

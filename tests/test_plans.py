@@ -9,6 +9,7 @@ from ledgerlake.operators.latest import latest_version
 from ledgerlake.plans import gold, silver
 from ledgerlake.queries import QUERIES
 from ledgerlake.sources import bindings, relational, warehouse
+from ledgerlake.streaming import cdc, ticks
 
 LOADED = dt.datetime(2024, 2, 1)
 
@@ -87,6 +88,15 @@ def test_columns_are_pruned(spark, folder):
     assert "ReadSchema: struct<c_custkey:bigint>" in text
 
 
+@pytest.mark.parametrize("frame", [
+    lambda spark, folder: cdc.valid_changes(bindings.deal_wire(spark, folder), specs.DEAL_FEED),
+    lambda spark, folder: cdc.rejects(bindings.deal_wire(spark, folder), specs.DEAL_FEED),
+    lambda spark, folder: ticks.parse_ticks(bindings.tick_wire(spark, folder)),
+])
+def test_text_is_parsed_once(spark, folder, frame):
+    assert plan(frame(spark, folder)).count("from_json(") == 1
+
+
 LAZY = ("back_data", "back_data_fullouter", "front_data", "dim_erc_ranking", "dim_back_account", "cdc_latest", "tick_parse", "market_turnover_daily")
 
 
