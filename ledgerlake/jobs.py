@@ -169,7 +169,7 @@ def run_turnover(spark: SparkSession, lake: Lake) -> None:
 def deals_of_change_log(spark: SparkSession, lake: Lake) -> DataFrame:
     """Current deals according to the change log, for checks against the keyed state."""
     log = warehouse.scan(spark, lake.log(specs.DEAL_FEED))
-    return current_state(log, [specs.DEAL_FEED.key], cdc.VERSION_ORDER, F.col("op") == cdc.DELETE)
+    return current_state(log, [specs.DEAL_FEED.key], specs.VERSION_ORDER, F.col("op") == specs.DELETE)
 
 
 def lake_of(config: dict) -> Lake:

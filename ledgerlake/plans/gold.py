@@ -14,6 +14,7 @@ from ledgerlake.functions.times import MARKET_ZONE, between_days, period_start,
 from ledgerlake.operators import tables
 from ledgerlake.operators.latest import current_state, latest_version
 from ledgerlake.operators.projections import publish, split_null_keys
+from ledgerlake.specs import DELETE, VERSION_ORDER
 
 MEASURES = ("C_MARGIN_DEBT", "C_MBLINK_DEBT", "C_UTTB", "C_GTGD")
 ACCOUNT_DAY = ["C_ACCOUNT_CODE", "C_DATE"]
@@ -179,8 +180,8 @@ def front_data(changes: DataFrame, as_of: dt.date) -> DataFrame:
     end = as_of + dt.timedelta(days=1)
     today = changes.where(
         between_days(changes, "partition_date", as_of, end) & between_days(changes, "updated_at", as_of, end)
-    ).select("PK_FRONT_DEAL", "op", "ts_ms", "scn", "C_ACCOUNT_CODE", "C_MATCHED_PRICE", "C_MATCHED_VOLUME")
-    deals = current_state(today, ["PK_FRONT_DEAL"], ["ts_ms", "scn"], F.col("op") == "d")
+    ).select("PK_FRONT_DEAL", "op", *VERSION_ORDER, "C_ACCOUNT_CODE", "C_MATCHED_PRICE", "C_MATCHED_VOLUME")
+    deals = current_state(today, ["PK_FRONT_DEAL"], VERSION_ORDER, F.col("op") == DELETE)
     return front_data_of(deals, as_of)
 
 

@@ -380,7 +380,7 @@ def back_data_daily(spark: SparkSession, folder: str) -> DataFrame:
 def _accounts(spark: SparkSession, folder: str) -> DataFrame:
     feed = specs.ACCOUNT_FEED.only("C_ACCOUNT_CODE", "C_ACCOUNT_BRANCH_CODE", "C_CHANNEL", "C_OPEN_DATE")
     changes = cdc.valid_changes(bindings.account_wire(spark, folder), feed).drop("created")
-    return latest.current_state(changes, ["PK_ACCOUNT"], cdc.VERSION_ORDER, F.col("op") == cdc.DELETE)
+    return latest.current_state(changes, ["PK_ACCOUNT"], specs.VERSION_ORDER, F.col("op") == specs.DELETE)
 
 
 @register
@@ -398,7 +398,7 @@ def front_data(spark: SparkSession, folder: str) -> DataFrame:
 def front_data_current(spark: SparkSession, folder: str) -> DataFrame:
     """The same measures over all current deals, dated ``as_of``."""
     changes = cdc.valid_changes(bindings.deal_wire(spark, folder), TRADES).drop("created")
-    deals = latest.current_state(changes, ["PK_FRONT_DEAL"], cdc.VERSION_ORDER, F.col("op") == cdc.DELETE)
+    deals = latest.current_state(changes, ["PK_FRONT_DEAL"], specs.VERSION_ORDER, F.col("op") == specs.DELETE)
     return _typed(gold.front_data_of(deals, dt.date(2024, 1, 15)))
 
 

@@ -205,6 +205,6 @@ def change_envelope(row: StructType) -> StructType:
     """Change record: the row before and after, the operation, its time and its place in the source log."""
     payload = StructType([
         StructField("before", row), StructField("after", row),
-        *struct("op string, ts_ms bigint, source struct<scn: string, ts_ms: bigint>").fields,
+        *struct("op string, ts_ms bigint, ts_ns bigint, source struct<scn: string>").fields,
     ])
     return StructType([StructField("payload", payload)])

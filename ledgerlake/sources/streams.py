@@ -54,5 +54,7 @@ class KafkaStream:
         }
 
     def open(self, spark: SparkSession) -> DataFrame:
+        """Record values; a record without value only marks a deleted key for the topic's compaction."""
         records = spark.readStream.format("kafka").options(**self.reader_options()).load()
-        return records.select(F.col("value").cast("string") if self.text else F.col("value"))
+        value = F.col("value").cast("string") if self.text else F.col("value")
+        return records.where(F.col("value").isNotNull()).select(value.alias("value"))

@@ -86,6 +86,11 @@ TABLES = {
 DAILY_FACTS = (ADVANCE_WITHDRAW, DEAL_HISTORY, DEBIT_BALANCE, MARGIN_BALANCE)
 
 
+UPSERTS = ("c", "u", "r")  # create, update, snapshot read
+DELETE = "d"
+VERSION_ORDER = ("ts_ms", "scn", "ts_ns")  # change time, log position, finer time within one position
+
+
 @dataclass(frozen=True)
 class FeedSpec:
     """One change feed: its row, its key and, if the row carries one, its creation time."""

@@ -15,11 +15,7 @@ from ledgerlake.operators.keyed import KeyedTable, bucket
 from ledgerlake.operators.projections import computed_once
 from ledgerlake.schemas import change_envelope, struct
 from ledgerlake.sources.streams import StreamSource
-from ledgerlake.specs import FeedSpec
-
-UPSERTS = ("c", "u", "r")  # create, update, snapshot read
-DELETE = "d"
-VERSION_ORDER = ("ts_ms", "scn")
+from ledgerlake.specs import DELETE, UPSERTS, VERSION_ORDER, FeedSpec
 
 
 def _key(feed: FeedSpec, value: Column) -> Column:
@@ -30,7 +26,7 @@ def _key(feed: FeedSpec, value: Column) -> Column:
 
 
 def parse_changes(lines: DataFrame, feed: FeedSpec) -> DataFrame:
-    """Change records of ``value``: key, op, ts_ms, scn, creation time and the columns of the row after the change.
+    """Change records of ``value``: key, op, order, creation time and the columns of the row after the change.
 
     Those are NULL for a delete, whose key comes from the row before. Text that is not a change record gives a row
     without key; ``value`` stays for the reject output.
@@ -48,6 +44,7 @@ def parse_changes(lines: DataFrame, feed: FeedSpec) -> DataFrame:
         "op",
         "ts_ms",
         F.col("source.scn").try_cast("decimal(38,0)").alias("scn"),
+        "ts_ns",
         created.alias("created"),
         *(F.col(f"after.{name}").alias(name) for name in row.names if name != feed.key),
     )
@@ -102,7 +99,7 @@ def state_schema(feed: FeedSpec) -> StructType:
     return StructType([
         StructField(feed.key, StringType()),
         *(field for field in feed.row.fields if field.name != feed.key),
-        *struct("__op int, ts_ms bigint, scn decimal(38,0), deleted boolean, bucket int").fields,
+        *struct("__op int, ts_ms bigint, scn decimal(38,0), ts_ns bigint, deleted boolean, bucket int").fields,
     ])
 
 

@@ -9,10 +9,10 @@ from ledgerlake.specs import ACCOUNT_FEED, DEAL_FEED
 from ledgerlake.streaming import cdc
 
 
-def record(op, ms, key=47926470.0, scn="1", **row):
+def record(op, ms, key=47926470.0, scn="1", ns=None, **row):
     row = {"PK_FRONT_DEAL": key, "C_ACCOUNT_CODE": "9091331", **row}
     before, after = (row, None) if op == "d" else (None, row)
-    return json.dumps({"schema": {}, "payload": {"before": before, "after": after, "op": op, "ts_ms": ms, "source": {"scn": scn}}})
+    return json.dumps({"schema": {}, "payload": {"before": before, "after": after, "op": op, "ts_ms": ms, "ts_ns": ns, "source": {"scn": scn}}})
 
 
 def lines(spark, *texts):
@@ -43,6 +43,11 @@ def test_equal_time_is_settled_by_the_log_position(state):
     assert state(record("u", 1, scn="9", C_MATCHED_PRICE=9.0), record("u", 1, scn="10", C_MATCHED_PRICE=10.0)) == {"47926470": 10.0}
 
 
+def test_changes_of_one_log_position_go_by_the_finer_time(state):
+    later = record("u", 1, ns=1_000_009, C_MATCHED_PRICE=1.0)
+    assert state(later, record("u", 1, ns=1_000_008, C_MATCHED_PRICE=9.0)) == {"47926470": 1.0}
+
+
 def test_snapshot_row_is_an_upsert(state):
     assert state(record("r", 1, C_MATCHED_PRICE=4.0)) == {"47926470": 4.0}
 
