@@ -21,9 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlake.operators.latest import latest_version
-from ledgerlake.operators.tables import gather
-
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+from ledgerlake.operators.tables import overwrite
 
 
 def bucket(keys: list[str], buckets: int) -> Column:
@@ -53,7 +51,9 @@ class KeyedTable:
         """Number of the newest commit, from the names of the commit files alone."""
         try:
             files = _files(spark, f"{self.path}/commits")
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
         version = F.regexp_extract("path", r"version=(\d+)", 1).cast("long")
         return files.select(F.max(version).alias("version")).first().version
@@ -90,27 +90,36 @@ class KeyedTable:
     def upsert(self, changes: DataFrame, touched: list[str] | None = None) -> int:
         """Merge ``changes`` and return the version written.
 
-        ``touched`` lists the partition values of the changes where the caller knows them, as a daily load does;
-        otherwise they are read from the changes, which then should be a stored table or a persisted batch.
+        ``touched`` lists the partition values of the changes where the caller knows them, as a daily load does.
+        Otherwise the newest change per key is first written aside by partition, which tells the partitions and
+        reads the source of the changes once. The first load of a table has nothing to merge with and needs neither.
         """
         spark = changes.sparkSession
         last = self.last_version(spark)
         version = 0 if last is None else last + 1
         versions = self.partition_versions(spark, last)
-        changes = changes.select(*self.schema.names)
-        if touched is None:
-            parts = changes.select(F.col(self.partition).cast("string").alias("part")).distinct()
-            touched = [row.part if row.part is not None else NULL_PARTITION for row in parts.collect()]
-        old = self.stored(spark, {part: versions[part] for part in touched if part in versions})
-        merged = latest_version(old.unionByName(changes), self.keys, self.order)
-        gather(merged, [self.partition]).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-            self.partition
-        ).parquet(f"{self.path}/data/version={version}")
-        part = F.regexp_extract("path", f"{self.partition}=([^/]+)/", 1).alias("part")
-        written = _files(spark, f"{self.path}/data/version={version}").select(part).distinct().collect()
-        self._commit(spark, version, {**versions, **{row.part: version for row in written}})
+        rows = changes.select(*self.schema.names)
+        if versions:
+            if touched is None:
+                aside = f"{self.path}/aside"
+                self._write(latest_version(rows, self.keys, self.order), aside)
+                touched = self._parts(spark, aside)
+                rows = spark.read.schema(self.schema).parquet(aside).select(*self.schema.names)
+            old = self.stored(spark, {part: versions[part] for part in touched if part in versions})
+            rows = old.unionByName(rows)
+        written = f"{self.path}/data/version={version}"
+        self._write(latest_version(rows, self.keys, self.order), written)
+        self._commit(spark, version, {**versions, **dict.fromkeys(self._parts(spark, written), version)})
         return version
 
+    def _write(self, rows: DataFrame, path: str) -> None:
+        overwrite(rows, path, [self.partition])
+
+    def _parts(self, spark: SparkSession, path: str) -> list[str]:
+        """Partition values that have files below a folder."""
+        part = F.regexp_extract("path", f"{self.partition}=([^/]+)/", 1).alias("part")
+        return [row.part for row in _files(spark, path).select(part).distinct().collect()]
+
     def _commit(self, spark: SparkSession, version: int, versions: dict[str, int]) -> None:
         rows = spark.createDataFrame(sorted(versions.items()), "part string, written bigint")
         rows.coalesce(1).write.mode("overwrite").json(f"{self.path}/commits/version={version}")

@@ -143,11 +143,7 @@ def start_rejects(
 
 def apply_changes(changes: DataFrame, feed: FeedSpec, table: KeyedTable, buckets: int) -> None:
     """Merge a batch of changes into the keyed state. Applying a batch again changes nothing."""
-    rows = state_rows(changes, feed, buckets).persist()
-    try:
-        table.upsert(rows)
-    finally:
-        rows.unpersist()
+    table.upsert(state_rows(changes, feed, buckets))
 
 
 def start_apply_changes(
