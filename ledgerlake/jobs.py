@@ -1,10 +1,11 @@
 """Jobs over one lake, for ``spark-submit``::
 
-    spark-submit --py-files ledgerlake.zip -m ledgerlake.jobs CONFIG.json JOB [--as-of 2024-01-11] [...]
+    spark-submit --py-files ledgerlake.zip ledgerlake/jobs.py CONFIG.json JOB [--as-of 2024-01-11] [...]
 
 The JSON file names the folders ``silver``, ``warehouse``, ``gold`` and ``checkpoints``, the ``jdbc`` options (``url``,
 ``user``, ``password``, ``driver``), the read predicates per table (``split``), and per feed the ``kafka`` settings of
-``KafkaStream``. No job reads the clock for its data: the day comes from ``--as-of``; load times are recorded only.
+``KafkaStream``; ``descriptor`` is the protobuf descriptor file of binary ticks. No job reads the clock for its data: the
+day comes from ``--as-of``; load times are recorded only.
 """
 
 from __future__ import annotations
@@ -45,6 +46,7 @@ class Lake:
     streams: dict[str, StreamSource] = field(default_factory=dict)
     buckets: int = 64
     delay: str = "10 minutes"
+    descriptor: str | None = None
 
     def fact(self, spec: specs.TableSpec) -> KeyedTable:
         return silver.warehouse_table(spec, f"{self.warehouse}/{spec.name}")
@@ -76,9 +78,9 @@ def load_silver(
 
 
 def publish_silver(spark: SparkSession, lake: Lake, spec: specs.TableSpec) -> None:
-    """Silver to the keyed warehouse table; dimensions without a partition are simply replaced."""
+    """Silver to the warehouse: an upsert for facts, which carry their partition in the key; dimensions are replaced."""
     published = silver.publish_table(warehouse.scan(spark, f"{lake.silver}/{spec.name}"), spec)
-    if spec.partition_by:
+    if set(spec.partition_by) & set(spec.primary_key):
         lake.fact(spec).upsert(published)
     else:
         tables.overwrite(published, f"{lake.warehouse}/{spec.name}")
@@ -156,13 +158,14 @@ def run_rejects(spark: SparkSession, lake: Lake, feed: specs.FeedSpec) -> None:
 
 def run_ticks(spark: SparkSession, lake: Lake) -> None:
     ticks.start_tick_table(
-        spark, lake.streams["ticks"], lake.ticks(), f"{lake.checkpoints}/ticks"
+        spark, lake.streams["ticks"], lake.ticks(), f"{lake.checkpoints}/ticks", lake.descriptor
     ).awaitTermination()
 
 
 def run_turnover(spark: SparkSession, lake: Lake) -> None:
+    path, checkpoint = f"{lake.gold}/market_data_closed", f"{lake.checkpoints}/turnover"
     ticks.start_turnover(
-        spark, lake.streams["ticks"], f"{lake.gold}/market_data_closed", f"{lake.checkpoints}/turnover", lake.delay
+        spark, lake.streams["ticks"], path, checkpoint, lake.delay, lake.descriptor
     ).awaitTermination()
 
 
@@ -178,7 +181,7 @@ def lake_of(config: dict) -> Lake:
         **{name: config[name].rstrip("/") for name in ("silver", "warehouse", "gold", "checkpoints")},
         source=JdbcSource(jdbc, config.get("split", {})) if jdbc else None,
         streams={name: KafkaStream(**options) for name, options in config.get("kafka", {}).items()},
-        **{name: config[name] for name in ("buckets", "delay") if name in config},
+        **{name: config[name] for name in ("buckets", "delay", "descriptor") if name in config},
     )
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ledgerlake.functions.times import MARKET_ZONE, period_start
 from ledgerlake.operators import tables

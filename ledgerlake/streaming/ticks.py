@@ -23,7 +23,9 @@ def message_class(type_url: Column) -> Column:
 def parse_ticks(lines: DataFrame, wanted: str = TICK_CLASS) -> DataFrame:
     """Flat ticks of JSON messages ``{type_url, value}`` of the wanted class."""
     message = F.from_json("value", f"type_url string, value {tick_body().simpleString()}")
-    messages = lines.select(computed_once(message).alias("message")).select("message.type_url", F.col("message.value").alias("body"))
+    messages = lines.select(computed_once(message).alias("message")).select(
+        "message.type_url", F.col("message.value").alias("body")
+    )
     return flatten_ticks(messages.where(message_class(F.col("type_url")) == wanted))
 
 
@@ -51,12 +53,17 @@ def flatten_ticks(messages: DataFrame) -> DataFrame:
     return messages.select(*(_tick_column(name) for name in TICK_COLUMNS))
 
 
+def read_ticks(records: DataFrame, descriptor: str | None = None, wanted: str = TICK_CLASS) -> DataFrame:
+    """Flat ticks of protobuf messages if a descriptor file is given, of JSON messages otherwise."""
+    return parse_tick_bytes(records, descriptor, wanted) if descriptor else parse_ticks(records, wanted)
+
+
 def start_tick_table(
-    spark: SparkSession, source: StreamSource, path: str, checkpoint: str, wanted: str = TICK_CLASS,
+    spark: SparkSession, source: StreamSource, path: str, checkpoint: str, descriptor: str | None = None,
     zone: str = MARKET_ZONE,
 ) -> StreamingQuery:
     """Append flat ticks to the tick table, stored by local day."""
-    flat = parse_ticks(source.open(spark), wanted)
+    flat = read_ticks(source.open(spark), descriptor)
     stored = flat.withColumn("partition_date", F.to_date(to_local(F.col("Last_updated"), zone)))
     return (
         stored.writeStream.format("parquet").outputMode("append").partitionBy("partition_date")
@@ -83,10 +90,11 @@ def turnover_stream(ticks: DataFrame, delay: str, zone: str = MARKET_ZONE) -> Da
 
 
 def start_turnover(
-    spark: SparkSession, source: StreamSource, path: str, checkpoint: str, delay: str, wanted: str = TICK_CLASS
+    spark: SparkSession, source: StreamSource, path: str, checkpoint: str, delay: str, descriptor: str | None = None,
+    zone: str = MARKET_ZONE,
 ) -> StreamingQuery:
     """Append the turnover of closed days."""
-    turnover = turnover_stream(parse_ticks(source.open(spark), wanted), delay)
+    turnover = turnover_stream(read_ticks(source.open(spark), descriptor), delay, zone)
     return (
         turnover.writeStream.format("parquet").outputMode("append")
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)

@@ -21,10 +21,11 @@ def lines(spark, *texts):
 
 @pytest.fixture
 def state(spark, tmp_path):
-    table = cdc.state_table(str(tmp_path / "state"), DEAL_FEED)
+    feed = DEAL_FEED.only("C_ACCOUNT_CODE", "C_MATCHED_PRICE")
+    table = cdc.state_table(str(tmp_path / "state"), feed)
 
     def apply(*texts):
-        cdc.apply_changes(cdc.valid_changes(lines(spark, *texts), DEAL_FEED), DEAL_FEED, table, 4)
+        cdc.apply_changes(cdc.valid_changes(lines(spark, *texts), feed), feed, table, 4)
         return {row.PK_FRONT_DEAL: row.C_MATCHED_PRICE for row in table.read(spark).collect()}
 
     return apply
@@ -115,6 +116,11 @@ def test_reject_stream(spark, tmp_path):
     assert [row.value for row in spark.read.text(out).collect()] == ["broken"]
 
 
+def test_feed_of_few_columns():
+    feed = ACCOUNT_FEED.only("C_CHANNEL")
+    assert [column.split()[0] for column in feed.columns.split(", ")] == ["PK_ACCOUNT", "C_CREATE_TIME", "C_CHANNEL"]
+
+
 def test_plain_rows(spark):
     text = lines(spark, '{"PK_FRONT_DEAL": 47926470.0, "C_MATCHED_PRICE": 2.5}', "broken")
     rows = [(row.PK_FRONT_DEAL, row.C_MATCHED_PRICE) for row in cdc.parse_rows(text, DEAL_FEED).collect()]

@@ -29,6 +29,8 @@ def lake(spark, tmp_path_factory):
     root, folder = str(tmp_path_factory.mktemp("lake")), "/root/testdata/sf0.001"
     loaded = [*zip(jobs.FACTS, bindings.facts(spark, folder), strict=True)]
     loaded.append((specs.RANKING_DETAIL, bindings.ranking_detail(spark, folder)))
+    users = spark.range(3).selectExpr("cast(id AS string) AS PK_FRONT_USER", "timestamp_ntz'2024-01-01' AS C_DATE_CREATE")
+    loaded.append((specs.FRONT_USER, users))
     for spec, df in loaded:
         tables.overwrite(widened(df, spec), f"{root}/source/{spec.source}")
     tables.overwrite(bindings.back_account(spark, folder), f"{root}/source/{jobs.OPEN_DATES}")
@@ -76,6 +78,14 @@ def test_ranking_backfill_and_month(spark, folder, lake):
     assert rows(spark.read.parquet(f"{lake.gold}/dim_erc_ranking").select(*expected.columns)) == rows(expected)
 
 
+def test_dimension_is_replaced(spark, lake):
+    for _ in range(2):
+        jobs.load_silver(spark, lake, specs.FRONT_USER, LOADED)
+        jobs.publish_silver(spark, lake, specs.FRONT_USER)
+    stored = spark.read.parquet(f"{lake.warehouse}/{specs.FRONT_USER.name}")
+    assert stored.count() == 3 and stored.columns == specs.FRONT_USER.schema.names
+
+
 def test_feeds(spark, lake):
     for feed in jobs.FEEDS.values():
         jobs.run_change_log(spark, lake, feed)
