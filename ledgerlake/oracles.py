@@ -194,7 +194,7 @@ ORACLES: dict[str, str] = {
         "advance_withdraw", f"SELECT {ADVANCE_COLUMNS} FROM advance_withdraw WHERE year(C_APPROVE_TIME) = 1998"
     ),
     "add_lineage": f"""
-        SELECT c_custkey, c_name, {LOADED} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to, TRUE AS is_current
+        SELECT c_custkey, c_name, {LOADED} AS valid_from, TRUE AS open_ended, TRUE AS is_current
         FROM customer""",
     "cast_decimals": over("deal_history", """
         SELECT PK_DEAL, CAST(C_MATCHED_PRICE AS DECIMAL(38,10)) AS C_MATCHED_PRICE,
@@ -237,9 +237,7 @@ ORACLES: dict[str, str] = {
         SELECT {SILVER_DEAL}, {LOADED} AS create_at,
                CAST(date_trunc('year', C_TRANSACTION_DATE) AS DATE) AS partition_year
         FROM deal_history"""),
-    "publish_select": over(
-        "deal_history", f"SELECT {SILVER_DEAL}, CAST(NULL AS TIMESTAMP) AS valid_to FROM deal_history"
-    ),
+    "publish_select": over("deal_history", f"SELECT {SILVER_DEAL} FROM deal_history"),
     "silver_ranking_partitions": over("ranking_detail", f"""
         SELECT *, CAST(CAST(C_YEAR AS INTEGER) AS VARCHAR) AS partition_year,
                CAST(CAST(C_MONTH AS INTEGER) AS VARCHAR) AS partition_month,

@@ -18,6 +18,8 @@ from ledgerlake.specs import DELETE, VERSION_ORDER
 
 MEASURES = ("C_MARGIN_DEBT", "C_MBLINK_DEBT", "C_UTTB", "C_GTGD")
 ACCOUNT_DAY = ["C_ACCOUNT_CODE", "C_DATE"]
+# Business dates whose day is the partition of their table; advances are stored by approval day instead.
+PARTITION_DATES = ("C_TRADING_DATE", "C_TRANSACTION_DATE")
 
 
 def _measure_rows(df: DataFrame, date_column: str, name: str, value: Column) -> DataFrame:
@@ -138,7 +140,7 @@ def rows_of_days(df: DataFrame, date_column: str, first: dt.date, end: dt.date)
     """Rows whose business date lies in ``[first, end)``. Where ``partition_date`` is the day of that date, the
     predicate is repeated on it, so that other partitions are not read."""
     days = df.where(between_days(df, date_column, first, end))
-    if "partition_date" in df.columns and date_column != "C_WITHDRAW_DATE":
+    if "partition_date" in df.columns and date_column in PARTITION_DATES:
         days = days.where(between_days(df, "partition_date", first, end))
     return days
 

@@ -112,7 +112,8 @@ def scan_partition_year(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def add_lineage(spark: SparkSession, folder: str) -> DataFrame:
     customers = bindings.table(spark, folder, "customer").select("c_custkey", "c_name")
-    return customers.withColumns(projections.lineage_columns(LOADED))
+    loaded = customers.withColumns(projections.lineage_columns(LOADED))
+    return loaded.withColumn("valid_to", F.col("valid_to").isNull()).withColumnRenamed("valid_to", "open_ended")
 
 
 @register
@@ -224,7 +225,8 @@ def bronze_to_silver(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def publish_select(spark: SparkSession, folder: str) -> DataFrame:
     stored = warehouse.scan(spark, _silver_deals(spark, folder))
-    return projections.publish(stored, _declared(specs.DEAL_HISTORY, bindings.deal_history(spark, folder)))
+    target = _declared(specs.DEAL_HISTORY, bindings.deal_history(spark, folder))
+    return projections.publish(stored, target).drop("valid_to")
 
 
 @register

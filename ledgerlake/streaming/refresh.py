@@ -40,7 +40,8 @@ def refresh_account_days(
 ) -> None:
     """Recompute the given periods of the stored ``back_data`` from the whole fact tables and replace them.
 
-    Late advances are the reason: they are extracted by approval time but belong to the day of withdrawal.
+    Late advances are the reason: they are extracted by approval time but belong to the day of withdrawal. Facts are
+    never deleted, so a period that had rows still has some.
     """
     fresh = gold.back_data(
         rows_of_periods(margin, "C_TRADING_DATE", periods, grain),

@@ -75,6 +75,18 @@ def test_day_scan_prunes_partitions(spark, folder, tmp_path):
     assert files and all("partition_year=1997" in name for name in files)
 
 
+def test_gold_day_prunes_the_facts_stored_by_it(spark, tmp_path):
+    path = str(tmp_path / "margin")
+    spark.sql(
+        "SELECT '1' AS C_ACCOUNT_CODE, timestamp_ntz'2024-01-01 10:00:00' + make_dt_interval(cast(id AS int)) AS "
+        "C_TRADING_DATE, to_date(timestamp_ntz'2024-01-01 10:00:00' + make_dt_interval(cast(id AS int))) AS "
+        "partition_date FROM range(3)"
+    ).write.partitionBy("partition_date").parquet(path)
+    day = gold.rows_of_days(spark.read.parquet(path), "C_TRADING_DATE", dt.date(2024, 1, 2), dt.date(2024, 1, 3))
+    assert re.search(r"PartitionFilters: \[[^\]]*partition_date", plan(day))
+    assert [row.C_TRADING_DATE for row in day.collect()] == [dt.datetime(2024, 1, 2, 10)]
+
+
 def test_extract_window_reaches_the_scan(spark, folder):
     source = relational.ParquetSource(folder, ".parquet")
     orders = relational.extract_full(spark, source, "orders")
