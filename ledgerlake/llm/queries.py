@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, topk
+from ledgerlake.llm import bpe, secrets, topk
+from ledgerlake.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,3 +54,53 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM scored
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
 """
+
+
+@register
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A new ledger, so every distinct text counts as unseen."""
+    documents = table(spark, sf_dir, "documents")
+    ledger = secrets.BlobLedger(spark, new_folder(spark, "blob-ledger"))
+    ledger.scan(documents, "doc_id", "text")
+    found = ledger.by_path(documents, "doc_id", "text")
+    counts = [F.size(rule.kind).cast("long").alias(f"n_{rule.kind}") for rule in secrets.RULES]
+    return found.select("doc_id", *counts, secrets.listed().alias("spans")).select(
+        "doc_id", *(f"n_{rule.kind}" for rule in secrets.RULES), F.sha2("spans", 256).alias("base_sha256"), "spans")
+
+
+def _spans_sql(name: str, rule: int, pattern: str, measured: int = 0, least: int = 0) -> str:
+    """Matches of one kind, with positions by the lengths of the matches and of the texts between them."""
+    return f"""{name} AS (
+    SELECT doc_id, {rule} AS rule, '{name}' AS kind, CAST(ends[i] - sizes[i] AS BIGINT) AS s, CAST(ends[i] AS BIGINT) AS e
+    FROM (
+        SELECT doc_id, sizes, kept, i, list_transform(range(1, len(sizes) + 1),
+               lambda j: list_sum(sizes[1:j]) + list_sum(gaps[1:j])) AS ends
+        FROM (
+            SELECT doc_id, list_transform(regexp_extract_all(t, {pattern}, 0), lambda x: length(x)) AS sizes,
+                   list_transform(regexp_extract_all(t, {pattern}, {measured}), lambda x: length(x) >= {least}) AS kept,
+                   list_transform(regexp_split_to_array(t, {pattern}), lambda x: length(x)) AS gaps
+            FROM texts WHERE regexp_matches(t, {pattern})
+        ), range(1, 100000) r(i)
+        WHERE i <= len(sizes)
+    ) WHERE kept[i]
+)"""
+
+
+_ASSIGN = """'((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'"""
+
+ORACLES["op8_secret_scan"] = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+{_spans_sql("assign", 0, _ASSIGN, 2, 8)},
+{_spans_sql("access", 1, "'AKIA[A-Z0-9]{12,}'")},
+{_spans_sql("hex", 2, "'[0-9a-f]{32,}'")},
+spans AS (SELECT * FROM assign UNION ALL SELECT * FROM access UNION ALL SELECT * FROM hex),
+counted AS (
+    SELECT doc_id, count(*) FILTER (rule = 0) AS n_assign, count(*) FILTER (rule = 1) AS n_access,
+           count(*) FILTER (rule = 2) AS n_hex,
+           string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rule) AS spans
+    FROM spans GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN counted USING (doc_id)
+"""
