@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, secrets, topk
+from ledgerlake.llm import bpe, secrets, topk, warc
 from ledgerlake.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,43 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), "doc_id", "text", RANKS, public_tokenizers.PATTERN)
 
 
+@register
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives are written, then read back: responses with their payloads, revisits by their headers alone."""
+    folder = new_folder(spark, "warc")
+    warc.write(warc.deduplicated(table(spark, sf_dir, "pages"), "page_id", "url", "html"), folder, "2024-01-01T00:00:00Z")
+    responses = warc.read(spark, folder).where("record_type = 'response'").withColumns({
+        "payload_bytes": F.octet_length("payload").cast("long"), "digest": warc.payload_digest(F.col("payload"))})
+    revisits = warc.read(spark, folder, payload=False).where("record_type = 'revisit'").withColumns({
+        "payload_bytes": F.col("payload_length").cast("long"), "digest": F.regexp_extract("payload_digest", "sha1:(.*)", 1)})
+
+    def page(column: str) -> Column:
+        number = F.regexp_extract(column, "<urn:page:(-?[0-9]+)>", 1)
+        return F.when(number != "", number.cast("long"))
+
+    return responses.unionByName(revisits).select(
+        page("record_id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type",
+        page("refers_to").alias("refers_to"))
+
+
+ORACLES["op5_warc"] = """
+WITH filled AS (
+    SELECT page_id, coalesce(html, '') AS payload, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id
+    FROM pages
+), hashed AS (
+    SELECT *, sha1(payload) AS h, (page_id IS NOT DISTINCT FROM first_id OR first_id IS NULL) AS response FROM filled
+)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda i:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+               (CAST('0x' || substr(h, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER), 1)
+       ), 'string_agg', '') AS payload_digest,
+       CASE WHEN response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN NOT response THEN first_id END AS refers_to
+FROM hashed
+"""
+
+
 @register
 def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
