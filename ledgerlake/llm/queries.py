@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, secrets, topk, warc
+from ledgerlake.llm import bpe, jaccard, secrets, topk, warc
 from ledgerlake.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,3 +141,8 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
        sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM documents LEFT JOIN counted USING (doc_id)
 """
+
+
+@register
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"), "doc_id", "text")
