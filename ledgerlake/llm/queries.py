@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, jaccard, secrets, topk, warc
+from ledgerlake.llm import bpe, jaccard, secrets, topk, toxicity, warc
 from ledgerlake.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,21 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), "doc_id", "text", RANKS, public_tokenizers.PATTERN)
 
 
+def remainder(doc_id: Column) -> Column:
+    """Fold of a document: crc32 of its id as text, modulo 5."""
+    return F.crc32(doc_id.cast("string")) % 5
+
+
+@register
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    train = documents.select("doc_id", "text").join(labels.select("doc_id", "toxic"), "doc_id").where(
+        remainder(F.col("doc_id")) != 0)
+    scored = toxicity.score(documents, "doc_id", "text", toxicity.train(train, "text", "toxic"))
+    return scored.select("doc_id", (remainder(F.col("doc_id")) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @register
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives are written, then read back: responses with their payloads, revisits by their headers alone."""

@@ -19,7 +19,9 @@ PIECE_BYTES = 1 << 19
 _ODD = 0x9E3779B97F4A7C15
 _MULTIPLIER = np.uint64(_ODD)
 _BYTE_VALUES = np.random.default_rng(20240229).integers(1, 2**63, 256).astype(np.uint64)
-_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+# All ASCII characters but letters and digits: what is between them are bare words, without punctuation.
+PUNCTUATION = np.array([byte < 128 and not chr(byte).isalnum() for byte in range(256)])
 
 
 @dataclass
@@ -73,13 +75,13 @@ def text_bytes(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndar
     return whole[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def words(texts: pa.Array) -> Words:
-    """Words of each text; a null text has none."""
+def words(texts: pa.Array, between: np.ndarray = SPACE) -> Words:
+    """Words of each text; a null text has none. ``between`` tells which bytes separate words."""
     data, offsets = text_bytes(texts)
     if not len(data):
         none = np.zeros(0, np.int64)
         return Words(none.astype(np.uint64), np.zeros(len(texts) + 1, np.int64), data, none, none)
-    solid = ~_SPACE[data]
+    solid = ~between[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     opens, closes = solid.copy(), solid.copy()
@@ -101,6 +103,17 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(32))
 
 
+def beginnings(found: Words, size: int) -> np.ndarray:
+    """Hash of the first ``size`` bytes of each word, at most 8."""
+    out = np.zeros(len(found.begin), np.uint64)
+    for step in range(size):
+        at = found.begin + step
+        inside = at < found.end
+        out = (out << np.uint64(8)) | np.where(inside, found.data[np.minimum(at, max(len(found.data) - 1, 0))], 0).astype(np.uint64) \
+            if len(found.data) else out
+    return mix(out + np.uint64(0x0B0E + size))
+
+
 def gram(hashes: np.ndarray, gaps: tuple[int, ...]) -> np.ndarray:
     """Hash of the words at i, i + gap, ... for each i that has them all, in the order of ``gaps`` (the first is 0)."""
     count = max(len(hashes) - max(gaps), 0)
