@@ -94,7 +94,7 @@ def urn(page_id: Column) -> Column:
 
 
 def write(records: DataFrame, folder: str, date: str) -> None:
-    """Writes the rows of ``deduplicated`` as archives, one per task. ``date`` is the time of capture."""
+    """Writes the rows of ``deduplicated`` as compressed archives, one per task. ``date`` is the time of capture."""
     response = F.col("record_type") == "response"
     printable = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
     headers = F.concat_ws(
@@ -111,7 +111,7 @@ def write(records: DataFrame, folder: str, date: str) -> None:
     )
     body = F.when(response, F.col("payload")).otherwise("")
     text = F.concat(headers, F.lit(END), body)  # the sink adds END, which closes the record
-    records.select(text.alias("value")).write.option("lineSep", END).text(folder)
+    records.select(text.alias("value")).write.option("lineSep", END).option("compression", "gzip").text(folder)
 
 
 def read(spark: SparkSession, folder: str, payload: bool = True) -> DataFrame:
