@@ -43,7 +43,9 @@ SIZE = 5
 LEAST = Fraction(3, 4)
 SMALL = 192
 PIVOTS = 64
-COMMON = 1 << 17
+COMMON = 1 << 18
+COMMON_OF_TASK = 1 << 16
+COUNTED = 1 << 22  # shingles that a task counts at a time
 HELD = 1 << 20  # prefix entries that a task combines at a time
 _SEED = np.uint64(0xA5A5_1234_77F0_0D01)
 
@@ -99,7 +101,7 @@ def _summaries(size: int):
                 batch.column("doc_id"), pa.array([len(x) for x in sets], pa.int32()),
                 pa.array([point_of(x) for x in sets], pa.int64()), pa.nulls(len(sets), pa.int64())], names)
             waiting += sets
-            if sum(map(len, waiting)) > HELD:
+            if sum(map(len, waiting)) > COUNTED:
                 met, counts = _most_frequent(met, counts, waiting)
                 waiting = []
         met, counts = _most_frequent(met, counts, waiting)
@@ -112,15 +114,15 @@ def _summaries(size: int):
 
 
 def _most_frequent(met: np.ndarray, counts: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent values with their counts, at most ``COMMON`` / 4."""
+    """The most frequent values with their counts, at most ``COMMON_OF_TASK``."""
     if not sets:
         return met, counts
     values, times = np.unique(np.concatenate(sets), return_counts=True)
     often = times > 1
     values, inverse = np.unique(np.concatenate((met, values[often])), return_inverse=True)
     times = np.bincount(inverse, np.concatenate((counts, times[often])), len(values)).astype(np.int64)
-    if len(values) > COMMON // 4:
-        kept = np.sort(np.argpartition(-times, COMMON // 4)[:COMMON // 4])
+    if len(values) > COMMON_OF_TASK:
+        kept = np.sort(np.argpartition(-times, COMMON_OF_TASK)[:COMMON_OF_TASK])
         values, times = values[kept], times[kept]
     return values, times
 
@@ -246,7 +248,7 @@ def roots(count: int, first: list[int], second: list[int]) -> np.ndarray:
 
 def _join_regions(members: DataFrame, size: int, least: Fraction, small: int, pivots: int) -> DataFrame:
     """Columns ``node`` and ``component`` of the texts that link, from rows of region, doc_id, point and text."""
-    found, level = None, 0
+    texts, found, level = members.select("doc_id", "point", "text"), None, 0
     while True:
         sizes = members.groupBy("region").agg(F.count("*").alias("texts"))
         large = stored(sizes.where(F.col("texts") > small), "large-regions")
@@ -260,7 +262,8 @@ def _join_regions(members: DataFrame, size: int, least: Fraction, small: int, pi
         measured = stored(_measured(members.join(large, "region"), size, least, pivots, level), "measured")
         links = links.union(measured.where("close").select("doc_id", F.col("pivot").alias("other")))
         found = stored(links if found is None else found.union(links), "links")
-        members = stored(_next_regions(measured, components(found), 1 - float(least)), "regions")
+        open_cells = stored(_next_regions(measured, components(found), 1 - float(least)), "open-regions")
+        members = open_cells.join(texts, "doc_id").select("region", "doc_id", "point", "text")
     return components(links if found is None else found.union(links))
 
 
@@ -333,23 +336,22 @@ def _measured(members: DataFrame, size: int, least: Fraction, pivots: int, level
         "part": F.explode(F.sequence(F.lit(0), F.col("parts") - 1)), "role": F.lit(0)})
     columns = ["region", "part", "role", "doc_id", "point", "text"]
     dealt = copies.select(columns).union(own.select(columns)).repartition("region", "part")
-    schema = "region long, doc_id long, point long, text string, pivot long, distance double, home boolean, close boolean"
+    schema = "region long, doc_id long, pivot long, distance double, home boolean, close boolean"
     return dealt.sortWithinPartitions("region", "part", "role", "point").mapInArrow(_distances(size, least), schema)
 
 
 def _distances(size: int, least: Fraction):
     radius = 1 - float(least)
-    schema = pa.schema([("region", pa.int64()), ("doc_id", pa.int64()), ("point", pa.int64()), ("text", pa.string()),
-                        ("pivot", pa.int64()), ("distance", pa.float64()), ("home", pa.bool_()),
-                        ("close", pa.bool_())])
+    schema = pa.schema([("region", pa.int64()), ("doc_id", pa.int64()), ("pivot", pa.int64()),
+                        ("distance", pa.float64()), ("home", pa.bool_()), ("close", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, names, sets, stale = None, [], [], True
         for batch in tokens.pieces(batches):
             out = []
             found = tokens.shingle_sets(tokens.words(batch.column("text")), size)
-            columns = [batch.column(name).to_pylist() for name in ("region", "part", "role", "doc_id", "point", "text")]
-            for region, part, role, key, point, text, values in zip(*columns, found, strict=True):
+            columns = [batch.column(name).to_pylist() for name in ("region", "part", "role", "doc_id")]
+            for region, part, role, key, values in zip(*columns, found, strict=True):
                 if (region, part) != now:
                     now, names, sets, stale = (region, part), [], [], True
                 if role == 0:
@@ -372,9 +374,9 @@ def _distances(size: int, least: Fraction):
                 nearest = int(np.argmin(distance)) if len(sets) else -1
                 home = nearest if nearest >= 0 and near[nearest] else -1
                 for q in np.flatnonzero(distance <= 2 * radius + 1e-9).tolist():
-                    out.append((region, key, point, text, names[q], float(distance[q]), q == home, bool(near[q])))
+                    out.append((region, key, names[q], float(distance[q]), q == home, bool(near[q])))
                 if home < 0:
-                    out.append((region, key, point, text, None, None, False, False))
+                    out.append((region, key, None, None, False, False))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
@@ -391,9 +393,9 @@ def _next_regions(measured: DataFrame, labels: DataFrame, radius: float) -> Data
     heads = names.withColumnsRenamed({"node": "pivot", "component": "pivot_label"})
     rows = stored(rows.join(heads, "pivot", "left").withColumn("pivot_label", F.coalesce("pivot_label", "pivot")), "labelled")
     outside = rows.where("pivot IS NULL").select(
-        F.xxhash64("region", F.lit(-1)).alias("region"), "doc_id", "point", "text")
+        F.xxhash64("region", F.lit(-1)).alias("region"), "doc_id")
     cells = rows.where("pivot IS NOT NULL AND (home OR label <> pivot_label)").withColumn("cell", F.xxhash64("region", "pivot"))
     others = cells.where("label <> pivot_label").groupBy("cell").agg(F.min("distance").alias("nearest_other"))
     open_cells = cells.join(stored(others, "open-cells"), "cell").where(
         F.expr("label <> pivot_label") | (F.col("distance") >= F.col("nearest_other") - radius - 1e-9))
-    return outside.union(open_cells.select(F.col("cell").alias("region"), "doc_id", "point", "text"))
+    return outside.union(open_cells.select(F.col("cell").alias("region"), "doc_id"))
