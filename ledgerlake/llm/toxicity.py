@@ -3,7 +3,7 @@ words are bare of punctuation.
 
 Training. A feature is present or absent in a text. Each coordinate has its own learning rate, from the sum of its
 squared gradients, and an L1 penalty that leaves most weights at 0. Rounds of training start from one state; in each, a
-task updates it over its own part of the sample, text by text, and Spark averages the states by coordinate. The weights
+task updates it over its own part of the sample in some passes, text by text, and Spark averages the states by coordinate. The weights
 that are not 0, at most 2**BITS of them, are what scoring sends to tasks.
 
 The sample of labelled texts is bounded: about ``sample`` of them, chosen by a hash of the text, or all if there are no
@@ -24,12 +24,13 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import features, tokens
 
-BITS = 20
+BITS = 19
 TEMPLATES = ((0,), (0, 1), (0, 2))
 BEGINNINGS = (5, 7)  # bytes
 SAMPLE = 24_000
 SHARDS = 4
-ROUNDS = 4
+ROUNDS = 2
+PASSES = 2  # over its part, by a task in a round
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 2.0, 0.5
 INTERCEPT = 1 << BITS
 
@@ -52,7 +53,7 @@ def train(labelled: DataFrame, text: str, label: str, sample: int = SAMPLE) -> t
     state = np.zeros((2, INTERCEPT + 1))
     for _ in range(ROUNDS):
         sent = spark.sparkContext.broadcast(state)
-        merged = shards.mapInArrow(_trainer(sent), "place long, z double, n double").groupBy("place").agg(
+        merged = shards.mapInArrow(_trainer(sent), "place int, z float, n float").groupBy("place").agg(
             F.sum("z").alias("z"), F.sum("n").alias("n")).toArrow()
         state = state.copy()
         places = merged.column("place").to_numpy()
@@ -69,29 +70,29 @@ def _trainer(sent):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z, n = sent.value[0].copy(), sent.value[1].copy()
-        some = False
+        examples = []  # the sample is bounded, so is a part of it
         for batch in tokens.pieces(batches):
-            some = True
-            labels = batch.column("label").to_numpy()
             found = tokens.words(batch.column("text"), tokens.PUNCTUATION)
             places, owners = features.distinct(*features.hashed(found, TEMPLATES, BITS, BEGINNINGS), BITS)
-            edges = np.searchsorted(owners, np.arange(batch.num_rows + 1))
-            for i, label in enumerate(labels):
-                at = places[edges[i]:edges[i + 1]]
-                zi, ni = z[at], n[at]
-                w = weights_of(zi, ni)
-                w0 = -z[INTERCEPT] / ((BETA + np.sqrt(n[INTERCEPT])) / ALPHA)
-                error = features.sigmoid(w.sum() + w0) - label
-                square = error * error
-                z[at] = zi + error - (np.sqrt(ni + square) - np.sqrt(ni)) / ALPHA * w
-                n[at] = ni + square
-                z[INTERCEPT] += error - (np.sqrt(n[INTERCEPT] + square) - np.sqrt(n[INTERCEPT])) / ALPHA * w0
-                n[INTERCEPT] += square
-        if some:
+            parts = np.split(places.astype(np.int32), np.searchsorted(owners, np.arange(1, batch.num_rows)))
+            examples += zip(parts, batch.column("label").to_pylist(), strict=True)
+        for at, label in examples * PASSES:
+            zi, ni = z[at], n[at]
+            w = weights_of(zi, ni)
+            w0 = -z[INTERCEPT] / ((BETA + np.sqrt(n[INTERCEPT])) / ALPHA)
+            error = features.sigmoid(w.sum() + w0) - label
+            square = error * error
+            z[at] = zi + error - (np.sqrt(ni + square) - np.sqrt(ni)) / ALPHA * w
+            n[at] = ni + square
+            z[INTERCEPT] += error - (np.sqrt(n[INTERCEPT] + square) - np.sqrt(n[INTERCEPT])) / ALPHA * w0
+            n[INTERCEPT] += square
+        if examples:
             z -= sent.value[0]
             n -= sent.value[1]
             places = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(z[places]), pa.array(n[places])], ["place", "z", "n"])
+            yield pa.RecordBatch.from_arrays([
+                pa.array(places.astype(np.int32)), pa.array(z[places].astype(np.float32)),
+                pa.array(n[places].astype(np.float32))], ["place", "z", "n"])
 
     return run
 
