@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, jaccard, secrets, topk, toxicity, warc
+from ledgerlake.llm import bpe, jaccard, quality, secrets, topk, toxicity, warc
 from ledgerlake.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -158,6 +158,13 @@ FROM documents LEFT JOIN counted USING (doc_id)
 """
 
 
+@register
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(documents, "text", quality.train(documents, "text"))
+    return scored.select("doc_id", "quality_score", (F.col("quality_score") >= 0.5).alias("kept"))
+
+
 @register
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"), "doc_id", "text")
