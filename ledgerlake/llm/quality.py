@@ -10,7 +10,7 @@ that shows what bad texts have in common is found even where the heuristics abst
 about ``sample`` texts chosen by a hash of the text, in rounds: each task takes gradient steps over its part, and Spark
 averages the weights by coordinate. Scoring covers every text, whole.
 
-Null texts are empty. A text without words gets no votes and has no features, so its score is that of the intercept,
+Null texts are empty. A text of few words gets no votes; one without words has no features, so its score is that of the intercept,
 which is more than a half where most texts are good. Equal texts score alike. An empty table trains nothing.
 """
 
@@ -104,8 +104,7 @@ def votes(texts: pa.Array, found: tokens.Words) -> np.ndarray:
         np.where(varied >= 0.7, GOOD, np.where(varied < 0.4, BAD, NONE)),
         np.where(short >= 0.3, GOOD, np.where(short < 0.2, BAD, NONE)),
     ])
-    cast[found.lengths < 8, -2:] = NONE  # shares of so few words say nothing
-    cast[found.lengths == 0] = NONE
+    cast[found.lengths < 8] = NONE  # shares of so few words say nothing
     return cast
 
 
