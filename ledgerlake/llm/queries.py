@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, decontaminate, jaccard, quality, secrets, topk, toxicity, warc
+from ledgerlake.llm import bpe, decontaminate, jaccard, lm, quality, secrets, topk, toxicity, warc
 from ledgerlake.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,16 +28,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@register
-def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digest(table(spark, sf_dir, "documents"), "doc_id", "text", RANKS, public_tokenizers.PATTERN)
-
-
 def remainder(doc_id: Column) -> Column:
     """Fold of a document: crc32 of its id as text, modulo 5."""
     return F.crc32(doc_id.cast("string")) % 5
 
 
+@register
+def op1_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), "doc_id", "text", remainder(F.col("doc_id")) == 1)
+
+
+@register
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(table(spark, sf_dir, "documents"), "doc_id", "text", RANKS, public_tokenizers.PATTERN)
+
+
 @register
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
