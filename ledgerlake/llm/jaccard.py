@@ -10,6 +10,7 @@ Distance is 1 - |x n y| / |x u y|; two texts link when it is at most the radius.
    link. Regions are summarised before the shuffle by intervals of sizes; overlapping intervals connect, and the
    connected texts are the first regions. Most texts are alone in theirs. (Texts as pivots cannot begin: nearly all
    distances between texts are 1, so no text is nearer to one of them than to another.)
+   Regions that come out large are divided once more in this way, by how common shingles are among their texts.
 3. Text pivots. A region of more than ``SMALL`` texts gets about ``PIVOTS`` of its texts as pivots, by hash. Each text
    measures its distance to all of them, links to those within the radius r and belongs to the Voronoi cell of the
    nearest if that is within r. It is replicated to the windows of other pivots at most 2 r away, for by the triangle
@@ -59,16 +60,8 @@ def join(docs: DataFrame, id_column: str, text: str, size: int = SIZE, least: Fr
     texts = sets.where("count IS NULL").select("doc_id", "n", "point")
     points = stored(texts.where("n > 0").groupBy("point").agg(F.min("doc_id").alias("first")), "points")
 
-    frequent = sets.where("count IS NOT NULL").groupBy("point").agg(F.sum("count").alias("count"))
-    common = frequent.where("count > 3").orderBy(F.desc("count"), "point").limit(COMMON).toArrow()
-    shingle = common.column("point").to_numpy().view(np.uint64)
-    order = np.argsort(shingle)
-    ranks = docs.sparkSession.sparkContext.broadcast((shingle[order], common.column("count").to_numpy()[order]))
-    near = rows.select("text").mapInArrow(
-        _prefixes(size, least, ranks), "pivot long, point long, low int, high int, other long")
-    near = near.repartition(F.coalesce("pivot", "point")).mapInArrow(_regions(least), "point long, other long")
-    regions = components(near)
-
+    frequent = sets.where("count IS NOT NULL").select("point", "count")
+    regions = _point_regions(rows, frequent, size, least)
     members = regions.join(points, F.col("node") == F.col("point")).select(
         F.col("first").alias("doc_id"), F.col("point"), F.col("component").alias("region"))
     members = rows.join(members, "doc_id").select("region", "doc_id", "point", "text")
@@ -82,6 +75,19 @@ def join(docs: DataFrame, id_column: str, text: str, size: int = SIZE, least: Fr
                       F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
 
 
+def _point_regions(rows: DataFrame, frequent: DataFrame, size: int, least: Fraction) -> DataFrame:
+    """Columns ``node``, a point, and ``component``, its region, for the points that are not alone in theirs."""
+    total = frequent.groupBy("point").agg(F.sum("count").alias("count")).where("count > 1")
+    common = total.orderBy(F.desc("count"), "point").limit(COMMON).toArrow()
+    shingle = common.column("point").to_numpy().view(np.uint64)
+    order = np.argsort(shingle)
+    ranks = rows.sparkSession.sparkContext.broadcast((shingle[order], common.column("count").to_numpy()[order]))
+    near = rows.select("text").mapInArrow(
+        _prefixes(size, least, ranks), "pivot long, point long, low int, high int, other long")
+    near = near.repartition(F.coalesce("pivot", "point")).mapInArrow(_regions(least), "point long, other long")
+    return components(near)
+
+
 def point_of(values: np.ndarray) -> int:
     """64-bit digest of a set of shingles."""
     total = np.add.reduce(tokens.mix(values ^ _SEED), dtype=np.uint64) if len(values) else np.uint64(0)
@@ -118,7 +124,7 @@ def _most_frequent(met: np.ndarray, counts: np.ndarray, sets: list[np.ndarray])
     if not sets:
         return met, counts
     values, times = np.unique(np.concatenate(sets), return_counts=True)
-    often = times > 1
+    often = times > (len(values) > COMMON_OF_TASK)
     values, inverse = np.unique(np.concatenate((met, values[often])), return_inverse=True)
     times = np.bincount(inverse, np.concatenate((counts, times[often])), len(values)).astype(np.int64)
     if len(values) > COMMON_OF_TASK:
@@ -259,9 +265,19 @@ def _join_regions(members: DataFrame, size: int, least: Fraction, small: int, pi
         if not some_large:
             break
         level += 1
+        if level == 1:
+            # Among the texts of large regions alone it is clearer which shingles are common, so that texts which only
+            # share passages part.
+            crowded = stored(members.join(large, "region").select("doc_id", "point", "text"), "crowded")
+            frequent = crowded.mapInArrow(_summaries(size), "doc_id long, n int, point long, count long")
+            parts = _point_regions(crowded, frequent.where("count IS NOT NULL").select("point", "count"), size, least)
+            members = stored(crowded.join(parts, F.col("point") == F.col("node")).select(
+                F.col("component").alias("region"), "doc_id", "point", "text"), "regions")
+            found = stored(links, "links")
+            continue
         measured = stored(_measured(members.join(large, "region"), size, least, pivots, level), "measured")
         links = links.union(measured.where("close").select("doc_id", F.col("pivot").alias("other")))
-        found = stored(links if found is None else found.union(links), "links")
+        found = stored(found.union(links), "links")
         open_cells = stored(_next_regions(measured, components(found), 1 - float(least)), "open-regions")
         members = open_cells.join(texts, "doc_id").select("region", "doc_id", "point", "text")
     return components(links if found is None else found.union(links))
