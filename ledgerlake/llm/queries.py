@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, decontaminate, jaccard, lm, quality, secrets, topk, toxicity, warc
+from ledgerlake.llm import bpe, decontaminate, jaccard, langid, lm, quality, secrets, topk, toxicity, warc
 from ledgerlake.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,6 +169,21 @@ FROM documents LEFT JOIN counted USING (doc_id)
 """
 
 
+@register
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages, with their markup and address, and documents, whose source counts as their host. The languages of
+    documents train the text model and are no evidence."""
+    documents, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    model = langid.train(documents, "text", "lang")
+    none = F.lit(None).cast("string")
+    of_pages = langid.pages_evidence(pages, "page_id", "url", "html", model.languages)
+    of_documents = langid.evidence(documents, F.col("doc_id"), F.col("text"), none, none, F.col("source"))
+    no_id = F.lit(None).cast("long")
+    found = langid.identify(of_pages, model).withColumns({"page_id": F.col("id"), "doc_id": no_id}).unionByName(
+        langid.identify(of_documents, model).withColumns({"page_id": no_id, "doc_id": F.col("id")}))
+    return found.select("doc_id", "page_id", "lang", "probability", "text_lang", "declared")
+
+
 @register
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
