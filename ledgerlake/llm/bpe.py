@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 from tokenizers import Tokenizer, models
 
 from ledgerlake.llm import tokens
@@ -156,23 +156,43 @@ def encode(docs: DataFrame, text: str, path: str, pattern: str, ids: str = "ids"
     return _mapped(kept, text, path, pattern, added, columns, schema)
 
 
-def digest(docs: DataFrame, id_column: str, text: str, path: str, pattern: str) -> DataFrame:
-    """Per document the number of tokens, a digest of its ids and one of the bytes they decode to."""
+def digest(docs: DataFrame, id_column: str, text: str, path: str, pattern: str, ids: bool = False) -> DataFrame:
+    """Per document the number of tokens, a digest of its ids and one of the bytes they decode to, and if wanted the
+    ids."""
     schema = StructType([docs.schema[id_column]])
     schema = schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
 
+    if ids:
+        schema = schema.add("ids", ArrayType(IntegerType(), False))
+
     def columns(coder: Codec, texts: list[str]) -> list[pa.Array]:
         encoded = coder.encode(texts)
-        return [
-            pa.array([len(ids) for ids in encoded], pa.int64()),
-            pa.array([hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest() for ids in encoded], pa.string()),
-            pa.array([hashlib.sha256(coder.decode_bytes(ids)).hexdigest() for ids in encoded], pa.string()),
+        out = [
+            pa.array([len(own) for own in encoded], pa.int64()),
+            pa.array([hashlib.sha256(" ".join(map(str, own)).encode()).hexdigest() for own in encoded], pa.string()),
+            pa.array([hashlib.sha256(coder.decode_bytes(own)).hexdigest() for own in encoded], pa.string()),
         ]
+        return [*out, pa.array(encoded, pa.list_(pa.int32()))] if ids else out
 
     kept = docs.select(id_column, *({text} - {id_column}))
     return _mapped(kept, text, path, pattern, schema.names[1:], columns, schema, drop=True)
 
 
+def decode(rows: DataFrame, ids: str, path: str, text: str = "text") -> DataFrame:
+    """The rows with the text of their ids in column ``text``, which is replaced if there; null ids give null."""
+    kept = rows.drop(text)
+    sent = rows.sparkSession.sparkContext.broadcast(tokenizer_text(path))
+    names = [*kept.columns, text]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = codec(sent.value, "")
+        for batch in batches:
+            texts = [None if own is None else coder.decode(own) for own in batch.column(ids).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names)
+
+    return kept.mapInArrow(run, StructType([*kept.schema.fields, StructField(text, StringType())]))
+
+
 def _mapped(docs: DataFrame, text: str, path: str, pattern: str, added: list[str],
             columns: Callable[[Codec, list[str]], list[pa.Array]], schema: StructType, drop: bool = False) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(tokenizer_text(path))

@@ -75,6 +75,14 @@ def join(docs: DataFrame, id_column: str, text: str, size: int = SIZE, least: Fr
                       F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, id_column: str, text: str) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of those that links reach. Rows without id stay; of rows that
+    repeat an id one stays, for ids stand for documents."""
+    ids = join(docs, id_column, text).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    kept = docs.where(F.col(id_column).isNotNull()).join(ids, F.col(id_column) == F.col("_kept"), "left_semi")
+    return kept.dropDuplicates([id_column]).union(docs.where(F.col(id_column).isNull()))
+
+
 def _point_regions(rows: DataFrame, frequent: DataFrame, size: int, least: Fraction) -> DataFrame:
     """Columns ``node``, a point, and ``component``, its region, for the points that are not alone in theirs."""
     total = frequent.groupBy("point").agg(F.sum("count").alias("count")).where("count > 1")

@@ -125,9 +125,9 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     ledger = secrets.BlobLedger(spark, new_folder(spark, "blob-ledger"))
     ledger.scan(documents, "doc_id", "text")
-    found = ledger.by_path(documents, "doc_id", "text")
+    found = ledger.by_path(documents.select("doc_id", "text"), "text")
     counts = [F.size(rule.kind).cast("long").alias(f"n_{rule.kind}") for rule in secrets.RULES]
-    return found.select("doc_id", *counts, secrets.listed().alias("spans")).select(
+    return found.select("row.doc_id", *counts, secrets.listed().alias("spans")).select(
         "doc_id", *(f"n_{rule.kind}" for rule in secrets.RULES), F.sha2("spans", 256).alias("base_sha256"), "spans")
 
 

@@ -119,19 +119,19 @@ class BlobLedger:
         pairs = _by_rule(due, rules, "known").where("NOT known").drop("known")
         pairs.write.mode("append").parquet(f"{self.folder}/scanned")
 
-    def by_path(self, versions: DataFrame, path: str, text: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-        """``path`` and, per rule, a column of its kind with the spans in the path's text; one row per row of
-        ``versions``."""
+    def by_path(self, versions: DataFrame, text: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+        """``row``, a row of ``versions`` as a struct, and per rule a column of its kind with the spans in the row's
+        text; one row per row of ``versions``."""
         kept = self.findings().where(F.struct("kind", "version").isin([_pair(rule) for rule in rules]))
         blobs = kept.groupBy("blob_id").agg(*[
             F.max(F.when(F.col("kind") == rule.kind, F.col("spans"))).alias(rule.kind) for rule in rules])
         # Written, so that the join reads both sides from shuffles and splits a blob that very many paths share.
         blobs.write.parquet(target := new_folder(self.spark, "findings"))
         blobs = self.spark.read.parquet(target)
-        paths = versions.select(F.col(path), blob_id(F.col(text)).alias("blob_id"))
+        rows = versions.select(F.struct("*").alias("row"), blob_id(F.col(text)).alias("blob_id"))
         empty = F.array().cast(SPANS)
-        return paths.join(blobs, "blob_id", "left").select(
-            F.col(path), *(F.coalesce(rule.kind, empty).alias(rule.kind) for rule in rules))
+        return rows.join(blobs, "blob_id", "left").select(
+            "row", *(F.coalesce(rule.kind, empty).alias(rule.kind) for rule in rules))
 
 
 def _pair(rule: Rule) -> Column:
@@ -156,3 +156,19 @@ def listed(rules: tuple[Rule, ...] = RULES) -> Column:
     texts = F.transform(F.array_sort(F.concat(*numbered)), lambda x: F.concat_ws(
         ":", F.get(kinds, x["rule"]), x["start"].cast("string"), x["end"].cast("string")))
     return F.array_join(texts, ",")
+
+
+def redacted(text: Column, rules: tuple[Rule, ...] = RULES, mark: str = "[secret]") -> Column:
+    """The text of a row of ``by_path`` with its spans replaced by ``mark``, spans that overlap by one."""
+    spans = F.array_sort(F.concat(*[F.col(rule.kind) for rule in rules]))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+
+    def step(state: Column, span: Column) -> Column:
+        between = F.array(F.substr(text, state["at"] + 1, span["start"] - state["at"]), F.lit(mark))
+        return F.struct(
+            F.greatest(state["at"], span["end"]).alias("at"),
+            F.when(span["start"] >= state["at"], F.concat(state["parts"], between)).otherwise(state["parts"]).alias("parts"))
+
+    done = F.aggregate(spans, start, step, lambda state: F.concat(
+        F.array_join(state["parts"], ""), F.substr(text, state["at"] + 1, F.length(text))))
+    return F.when(F.size(spans) > 0, done).otherwise(text)
