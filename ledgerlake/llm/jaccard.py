@@ -10,7 +10,8 @@ Distance is 1 - |x n y| / |x u y|; two texts link when it is at most the radius.
    link. Regions are summarised before the shuffle by intervals of sizes; overlapping intervals connect, and the
    connected texts are the first regions. Most texts are alone in theirs. (Texts as pivots cannot begin: nearly all
    distances between texts are 1, so no text is nearer to one of them than to another.)
-   Regions that come out large are divided once more in this way, by how common shingles are among their texts.
+   The texts of regions that come out large are divided once more in this way, now by exact counts of all their
+   shingles, so that texts which only share a few shingles part.
 3. Text pivots. A region of more than ``SMALL`` texts gets about ``PIVOTS`` of its texts as pivots, by hash. Each text
    measures its distance to all of them, links to those within the radius r and belongs to the Voronoi cell of the
    nearest if that is within r. It is replicated to the windows of other pivots at most 2 r away, for by the triangle
@@ -96,6 +97,36 @@ def _point_regions(rows: DataFrame, frequent: DataFrame, size: int, least: Fract
     return components(near)
 
 
+def _exact_point_regions(rows: DataFrame, size: int, least: Fraction) -> DataFrame:
+    """As ``_point_regions``, for rows of point and text, with the order of shingles by their exact counts. Shingles of
+    one text alone come first and connect nothing, so only the others are ordered."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tokens.pieces(batches):
+            sets = tokens.shingle_sets(tokens.words(batch.column("text")), size)
+            lengths = np.array([len(x) for x in sets], np.int64)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate(sets).view(np.int64)), pa.array(np.repeat(batch.column("point").to_numpy(), lengths)),
+                pa.array(np.repeat(lengths, lengths).astype(np.int32))], ["pivot", "point", "n"])
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if held := [batch for batch in batches if batch.num_rows]:
+            table = pa.Table.from_batches(held)
+            _, places, counts = np.unique(table.column("pivot").to_numpy(), return_inverse=True, return_counts=True)
+            table = table.append_column("count", pa.array(counts[places]))
+            yield from table.filter(pa.array(counts[places] > 1)).to_batches()
+
+    met = rows.select("point", "text").mapInArrow(listed, "pivot long, point long, n int").repartition("pivot")
+    met = met.mapInArrow(shared, "pivot long, point long, n int, count long")
+    reach = F.expr(f"n - (n * {least.numerator} + {least.denominator - 1}) div {least.denominator} + 1").cast("int")
+    ordered = met.groupBy("point", "n").agg(F.sort_array(F.collect_list(F.struct("count", "pivot"))).alias("met"))
+    first = F.greatest(reach - (F.col("n") - F.size("met")), F.lit(0))
+    near = ordered.select("point", "n", F.explode(F.slice("met", F.lit(1), first)).alias("x")).select(
+        F.col("x.pivot").alias("pivot"), "point", F.col("n").alias("low"), F.col("n").alias("high"),
+        F.lit(None).cast("long").alias("other"))
+    return components(near.repartition("pivot").mapInArrow(_regions(least), "point long, other long"))
+
+
 def point_of(values: np.ndarray) -> int:
     """64-bit digest of a set of shingles."""
     total = np.add.reduce(tokens.mix(values ^ _SEED), dtype=np.uint64) if len(values) else np.uint64(0)
@@ -274,11 +305,8 @@ def _join_regions(members: DataFrame, size: int, least: Fraction, small: int, pi
             break
         level += 1
         if level == 1:
-            # Among the texts of large regions alone it is clearer which shingles are common, so that texts which only
-            # share passages part.
             crowded = stored(members.join(large, "region").select("doc_id", "point", "text"), "crowded")
-            frequent = crowded.mapInArrow(_summaries(size), "doc_id long, n int, point long, count long")
-            parts = _point_regions(crowded, frequent.where("count IS NOT NULL").select("point", "count"), size, least)
+            parts = _exact_point_regions(crowded, size, least)
             members = stored(crowded.join(parts, F.col("point") == F.col("node")).select(
                 F.col("component").alias("region"), "doc_id", "point", "text"), "regions")
             found = stored(links, "links")
