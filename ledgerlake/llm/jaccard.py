@@ -45,8 +45,8 @@ SIZE = 5
 LEAST = Fraction(3, 4)
 SMALL = 192
 PIVOTS = 64
-COMMON = 1 << 18
-COMMON_OF_TASK = 1 << 16
+COMMON = 1 << 20
+COMMON_OF_TASK = 1 << 18
 COUNTED = 1 << 22  # shingles that a task counts at a time
 HELD = 1 << 20  # prefix entries that a task combines at a time
 _SEED = np.uint64(0xA5A5_1234_77F0_0D01)
@@ -90,7 +90,7 @@ def _point_regions(rows: DataFrame, frequent: DataFrame, size: int, least: Fract
     common = total.orderBy(F.desc("count"), "point").limit(COMMON).toArrow()
     shingle = common.column("point").to_numpy().view(np.uint64)
     order = np.argsort(shingle)
-    ranks = rows.sparkSession.sparkContext.broadcast((shingle[order], common.column("count").to_numpy()[order]))
+    ranks = rows.sparkSession.sparkContext.broadcast((shingle[order], common.column("count").to_numpy()[order].astype(np.int32)))
     near = rows.select("text").mapInArrow(
         _prefixes(size, least, ranks), "pivot long, point long, low int, high int, other long")
     near = near.repartition(F.coalesce("pivot", "point")).mapInArrow(_regions(least), "point long, other long")
