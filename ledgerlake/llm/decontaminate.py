@@ -106,8 +106,9 @@ def matches(docs: DataFrame, id_column: str, text: str, items: DataFrame, item_c
 
 def clean(docs: DataFrame, id_column: str, text: str, items: DataFrame, item_column: str, item_text: str) -> DataFrame:
     """The rows of ``docs`` that match no item."""
-    found = matches(docs, id_column, text, items, item_column, item_text).select(F.col("doc_id").alias("_matched")).distinct()
-    return docs.join(found, F.col(id_column).eqNullSafe(F.col("_matched")), "left_anti")
+    found = matches(docs, id_column, text, items, item_column, item_text).select("doc_id").distinct()
+    same = F.col(f"given.{id_column}").eqNullSafe(F.col("found.doc_id"))
+    return docs.alias("given").join(found.alias("found"), same, "left_anti")
 
 
 def _marks(texts: DataFrame, wanted: DataFrame, sizes: list[int]) -> DataFrame:

@@ -79,8 +79,8 @@ def join(docs: DataFrame, id_column: str, text: str, size: int = SIZE, least: Fr
 def one_of_each(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of those that links reach. Rows without id stay; of rows that
     repeat an id one stays, for ids stand for documents."""
-    ids = join(docs, id_column, text).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.where(F.col(id_column).isNotNull()).join(ids, F.col(id_column) == F.col("_kept"), "left_semi")
+    ids = join(docs, id_column, text).where("doc_id = component_id").select(F.col("doc_id").alias(id_column)).distinct()
+    kept = docs.where(F.col(id_column).isNotNull()).join(ids, id_column, "left_semi").select(docs.columns)
     return kept.dropDuplicates([id_column]).union(docs.where(F.col(id_column).isNull()))
 
 
