@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 NARROW = DecimalType(18, 6)
+STORED = DecimalType(38, 10)
+PRODUCT = DecimalType(38, 12)
 
 
 def margin_debt() -> Column:
@@ -48,21 +50,23 @@ def fits_narrow(column: str) -> Column:
 
 
 def traded_value(df: DataFrame) -> Column:
-    """Price times volume without loss.
+    """Price times volume, for every deal.
 
-    Wide decimals would lose digits in the product, and doubles depend on summation order; both are brought to six
-    decimals first; ``split_inexact_deals`` separates the rows that this would change.
+    The product of wide decimals is rounded to fit, and sums of doubles depend on their order. Where six decimals hold
+    both factors, as they nearly always do, the product is exact; elsewhere it is that of the stored decimals, rounded
+    to six. ``rounded_deals`` lists the latter.
     """
     price, volume = "C_MATCHED_PRICE", "C_MATCHED_VOLUME"
     if product_is_exact(df, price, volume):
         return F.col(price) * F.col(volume)
-    return narrowed(price) * narrowed(volume)
+    exact = narrowed(price) * narrowed(volume)
+    wide = F.col(price).cast(STORED) * F.col(volume).cast(STORED)
+    return F.when(fits_narrow(price) & fits_narrow(volume), exact.cast(PRODUCT)).otherwise(wide.cast(PRODUCT))
 
 
-def split_inexact_deals(deals: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(deals whose value is exact, rejected deals that six decimals cannot hold)."""
+def rounded_deals(deals: DataFrame) -> DataFrame:
+    """Deals whose value ``traded_value`` has to round."""
     price, volume = "C_MATCHED_PRICE", "C_MATCHED_VOLUME"
     if product_is_exact(deals, price, volume):
-        return deals, deals.where(F.lit(False))
-    exact = fits_narrow(price) & fits_narrow(volume)
-    return deals.where(exact), deals.where(~exact)
+        return deals.where(F.lit(False))
+    return deals.where(~(fits_narrow(price) & fits_narrow(volume)))

@@ -39,8 +39,7 @@ def advance_rows(advances: DataFrame) -> DataFrame:
 
 
 def deal_rows(deals: DataFrame) -> DataFrame:
-    exact, _ = measures.split_inexact_deals(deals)
-    return _measure_rows(exact, "C_TRANSACTION_DATE", "C_GTGD", measures.traded_value(deals))
+    return _measure_rows(deals, "C_TRANSACTION_DATE", "C_GTGD", measures.traded_value(deals))
 
 
 def measure_by_account_day(rows: DataFrame) -> DataFrame:
@@ -102,21 +101,21 @@ def back_data(margin: DataFrame, debit: DataFrame, advances: DataFrame, deals: D
 
 
 def back_data_rejects(margin: DataFrame, debit: DataFrame, advances: DataFrame, deals: DataFrame) -> DataFrame:
-    """Rows that ``back_data`` cannot place or cannot value exactly, with the reason."""
+    """Rows that ``back_data`` cannot place, and deals whose value it rounds, with the reason. The latter are in its
+    sums all the same."""
     parts = {
         "margin": margin_rows(margin), "debit": debit_rows(debit),
         "advance": advance_rows(advances), "deal": deal_rows(deals),
     }
-    _, inexact = measures.split_inexact_deals(deals)
     rejected = [
         split_null_keys(rows, ACCOUNT_DAY)[1].select(
             F.lit(name).alias("measure"), *ACCOUNT_DAY, F.lit("no account or date").alias("reason")
         )
         for name, rows in parts.items()
     ]
-    rejected.append(inexact.select(
+    rejected.append(measures.rounded_deals(deals).select(
         F.lit("deal").alias("measure"), "C_ACCOUNT_CODE", F.col("C_TRANSACTION_DATE").alias("C_DATE"),
-        F.lit("value has more than six decimals").alias("reason"),
+        F.lit("value is rounded").alias("reason"),
     ))
     return reduce(DataFrame.unionByName, rejected)
 
@@ -189,8 +188,7 @@ def front_data(changes: DataFrame, as_of: dt.date) -> DataFrame:
 
 def front_data_of(deals: DataFrame, as_of: dt.date) -> DataFrame:
     """Traded value per account of the current deals, dated ``as_of``."""
-    exact, _ = measures.split_inexact_deals(deals)
-    sums = exact.groupBy("C_ACCOUNT_CODE").agg(F.sum(measures.traded_value(deals)).alias("C_GTGD"))
+    sums = deals.groupBy("C_ACCOUNT_CODE").agg(F.sum(measures.traded_value(deals)).alias("C_GTGD"))
     zeros = [F.lit(0).alias(name) for name in MEASURES if name != "C_GTGD"]
     return _with_labels(sums.select("C_ACCOUNT_CODE", F.lit(as_of).alias("C_DATE"), *zeros, "C_GTGD"))
 

@@ -69,18 +69,19 @@ def deals(spark, rows, kind):
 
 def test_value_of_wide_decimals_is_exact(spark):
     df = deals(spark, [(Decimal("40000.123456"), Decimal("20.000001"))], "decimal(38,10)")
-    exact, rejected = measures.split_inexact_deals(df)
-    value = exact.select(measures.traded_value(df)).first()[0]
+    value = df.select(measures.traded_value(df)).first()[0]
     assert value == Decimal("40000.123456") * Decimal("20.000001")
-    assert rejected.count() == 0
+    assert measures.rounded_deals(df).count() == 0
 
 
-def test_values_beyond_six_decimals_are_rejected(spark):
-    rows = [(Decimal("1.0000000001"), Decimal(1)), (Decimal(10) ** 20, Decimal(1)), (None, Decimal(1)), (Decimal(2), Decimal(3))]
+def test_values_beyond_six_decimals_are_counted_and_listed(spark):
+    rows = [(Decimal("1.0000000001"), Decimal(1)), (Decimal(10) ** 20, Decimal(1)), (None, Decimal(1)), (Decimal(2), Decimal(3)),
+            (Decimal("1.2345678"), Decimal(1000))]
     df = deals(spark, rows, "decimal(38,10)")
-    exact, rejected = measures.split_inexact_deals(df)
-    assert sorted(r.C_MATCHED_PRICE for r in rejected.collect()) == [Decimal("1.0000000001"), Decimal(10) ** 20]
-    assert exact.count() == 2
+    assert sorted(r.C_MATCHED_PRICE for r in measures.rounded_deals(df).collect()) == [
+        Decimal("1.0000000001"), Decimal("1.2345678"), Decimal(10) ** 20]
+    values = [row[0] for row in df.select(measures.traded_value(df)).collect()]
+    assert values == [Decimal(1), Decimal(10) ** 20, None, Decimal(6), Decimal("1234.5678")]
 
 
 def test_narrow_decimals_are_multiplied_as_they_are(spark):
