@@ -5,7 +5,8 @@ all versions of a key share a partition. A load reads the stored rows of the par
 row per key and writes those partitions to a folder of their own, ``data/version=n``. A small commit file then names,
 for every partition, the version that holds it. Readers follow the newest commit, so a load that dies half-way leaves
 the table as it was, and its retry writes the same folder anew. Merging by ``order`` makes a repeated load harmless.
-One writer at a time.
+Of two writers at a time the second to commit fails and has to repeat its load. Rows without a full key are no version
+of anything; they are kept in ``rejects``.
 
 The driver only sees partition values: days or buckets, never keys.
 """
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlake.operators.latest import latest_version
+from ledgerlake.operators.projections import split_null_keys
 from ledgerlake.operators.tables import overwrite
 
 
@@ -90,7 +92,8 @@ class KeyedTable:
     def upsert(self, changes: DataFrame, touched: list[str] | None = None) -> int:
         """Merge ``changes`` and return the version written.
 
-        ``touched`` lists the partition values of the changes where the caller knows them, as a daily load does.
+        ``touched`` lists the partition values of the changes where the caller knows them, as a daily load does. A load
+        that holds others fails before it is committed.
         Otherwise the newest change per key is first written aside by partition, which tells the partitions and
         reads the source of the changes once. The first load of a table has nothing to merge with and needs neither.
         """
@@ -98,7 +101,9 @@ class KeyedTable:
         last = self.last_version(spark)
         version = 0 if last is None else last + 1
         versions = self.partition_versions(spark, last)
-        rows = changes.select(*self.schema.names)
+        rows, rejected = split_null_keys(changes.select(*self.schema.names), list(self.keys))
+        rejected.write.mode("overwrite").parquet(f"{self.path}/rejects/version={version}")
+        given = touched
         if versions:
             if touched is None:
                 aside = f"{self.path}/aside"
@@ -109,7 +114,11 @@ class KeyedTable:
             rows = old.unionByName(rows)
         written = f"{self.path}/data/version={version}"
         self._write(latest_version(rows, self.keys, self.order), written)
-        self._commit(spark, version, {**versions, **dict.fromkeys(self._parts(spark, written), version)})
+        parts = self._parts(spark, written)
+        if versions and given is not None and (missing := sorted(set(parts) - set(given))):
+            raise ValueError(f"the changes touch partitions that were not announced: {', '.join(missing)}")
+        if versions or parts:
+            self._commit(spark, version, {**versions, **dict.fromkeys(parts, version)})
         return version
 
     def _write(self, rows: DataFrame, path: str) -> None:
@@ -122,4 +131,4 @@ class KeyedTable:
 
     def _commit(self, spark: SparkSession, version: int, versions: dict[str, int]) -> None:
         rows = spark.createDataFrame(sorted(versions.items()), "part string, written bigint")
-        rows.coalesce(1).write.mode("overwrite").json(f"{self.path}/commits/version={version}")
+        rows.coalesce(1).write.mode("errorifexists").json(f"{self.path}/commits/version={version}")

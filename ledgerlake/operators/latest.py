@@ -12,7 +12,7 @@ def latest_version(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     """One row per key: the greatest by ``order``; ties are settled by the other columns, so a re-run agrees.
 
     An aggregation rather than a window: each task keeps one row per key before the shuffle, so a key that owns a
-    large part of the table sends one row per task.
+    large part of the table sends one row per task. It sorts on both sides of the shuffle, as structs are compared.
     """
     rest = [name for name in df.columns if name not in keys and name not in order]
     newest = F.max(F.struct(*order, *rest)).alias("newest")

@@ -47,9 +47,16 @@ def register_external(spark: SparkSession, table: str, path: str, location: str
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.catalog.createTable(table, path=path, source="parquet")
+    refresh_partitions(spark, table)
     return spark.table(table)
 
 
+def refresh_partitions(spark: SparkSession, table: str) -> None:
+    """Make the catalog know all stored partitions of a table; to be repeated after loads that add some."""
+    if any(column.isPartition for column in spark.catalog.listColumns(table)):
+        spark.catalog.recoverPartitions(table)
+
+
 def truncate(spark: SparkSession, path: str) -> None:
     """Empty an unpartitioned table, keeping its schema."""
     schema = spark.read.parquet(path).schema

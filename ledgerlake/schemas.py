@@ -6,7 +6,7 @@ the tables. ``struct`` turns a list into a ``StructType``.
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # --- fixed values: warehouse and gold tables, in column order ---
 
@@ -201,10 +201,13 @@ def tick_body() -> StructType:
     return StructType.fromDDL(", ".join([header, *text, *values, *counts, "Time timestamp"]))
 
 
+BROKEN = "_broken"  # text of a record that does not fit its columns
+
+
 def change_envelope(row: StructType) -> StructType:
     """Change record: the row before and after, the operation, its time and its place in the source log."""
     payload = StructType([
         StructField("before", row), StructField("after", row),
         *struct("op string, ts_ms bigint, ts_ns bigint, source struct<scn: string>").fields,
     ])
-    return StructType([StructField("payload", payload)])
+    return StructType([StructField("payload", payload), StructField(BROKEN, StringType())])

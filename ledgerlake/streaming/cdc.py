@@ -5,6 +5,7 @@ Functions on records work on batch and streaming frames alike.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,7 +14,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from ledgerlake.functions.times import MARKET_ZONE, local_from_millis
 from ledgerlake.operators.keyed import KeyedTable, bucket
 from ledgerlake.operators.projections import computed_once
-from ledgerlake.schemas import change_envelope, struct
+from ledgerlake.schemas import BROKEN, change_envelope, struct
 from ledgerlake.sources.streams import StreamSource
 from ledgerlake.specs import DELETE, UPSERTS, VERSION_ORDER, FeedSpec
 
@@ -29,15 +30,13 @@ def parse_changes(lines: DataFrame, feed: FeedSpec) -> DataFrame:
     """Change records of ``value``: key, op, order, creation time and the columns of the row after the change.
 
     Those are NULL for a delete, whose key comes from the row before. Text that is not a change record gives a row
-    without key; ``value`` stays for the reject output.
+    without key; ``broken`` marks records with a field that is not of its type; ``value`` stays for the reject output.
     """
     row = feed.row
-    parsed = computed_once(F.from_json("value", change_envelope(row)))
-    record = lines.select("value", parsed.alias("record")).select("value", "record.payload.*")
-    created = (
-        F.coalesce(f"after.{feed.created_column}", f"before.{feed.created_column}").cast("timestamp_ntz")
-        if feed.created_column else F.lit(None).cast("timestamp_ntz")
-    )
+    parsed = computed_once(F.from_json("value", change_envelope(row), {"columnNameOfCorruptRecord": BROKEN}))
+    record = lines.select("value", parsed.alias("record")).select("value", "record.payload.*", f"record.{BROKEN}")
+    given = F.coalesce(f"after.{feed.created_column}", f"before.{feed.created_column}") if feed.created_column else F.lit(None)
+    created = given.try_cast("timestamp_ntz")
     return record.select(
         "value",
         _key(feed, F.coalesce(f"after.{feed.key}", f"before.{feed.key}")).alias(feed.key),
@@ -46,6 +45,7 @@ def parse_changes(lines: DataFrame, feed: FeedSpec) -> DataFrame:
         F.col("source.scn").try_cast("decimal(38,0)").alias("scn"),
         "ts_ns",
         created.alias("created"),
+        (F.col(BROKEN).isNotNull() | (given.isNotNull() & created.isNull())).alias("broken"),
         *(F.col(f"after.{name}").alias(name) for name in row.names if name != feed.key),
     )
 
@@ -60,16 +60,16 @@ def parse_rows(lines: DataFrame, feed: FeedSpec) -> DataFrame:
 
 def is_valid(feed: FeedSpec) -> Column:
     known = F.col("op").isin(*UPSERTS, DELETE)
-    return F.coalesce(F.col(feed.key).isNotNull() & F.col("ts_ms").isNotNull() & known, F.lit(False))
+    return F.coalesce(F.col(feed.key).isNotNull() & F.col("ts_ms").isNotNull() & known & ~F.col("broken"), F.lit(False))
 
 
 def rejects(lines: DataFrame, feed: FeedSpec) -> DataFrame:
-    """Raw text of records without key or time, or with an unknown operation."""
+    """Raw text of records without key or time, with an unknown operation, or with a field that is not of its type."""
     return parse_changes(lines, feed).where(~is_valid(feed)).select("value")
 
 
 def valid_changes(lines: DataFrame, feed: FeedSpec) -> DataFrame:
-    return parse_changes(lines, feed).where(is_valid(feed)).drop("value")
+    return parse_changes(lines, feed).where(is_valid(feed)).drop("value", "broken")
 
 
 def op_flag() -> Column:
@@ -141,8 +141,23 @@ def start_rejects(
     )
 
 
+def check_buckets(spark: SparkSession, table: KeyedTable, buckets: int) -> None:
+    """Keep the number of buckets with the table, since another number would put keys into other buckets."""
+    path = f"{table.path}/buckets"
+    try:
+        stored = int(spark.read.text(path).first().value)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        spark.createDataFrame([(str(buckets),)], "value string").coalesce(1).write.text(path)
+        return
+    if stored != buckets:
+        raise ValueError(f"{table.path} has {stored} buckets, not {buckets}")
+
+
 def apply_changes(changes: DataFrame, feed: FeedSpec, table: KeyedTable, buckets: int) -> None:
     """Merge a batch of changes into the keyed state. Applying a batch again changes nothing."""
+    check_buckets(changes.sparkSession, table, buckets)
     table.upsert(state_rows(changes, feed, buckets))
 
 

@@ -72,6 +72,21 @@ def test_rejects(spark):
     assert cdc.valid_changes(text, DEAL_FEED).count() == 1
 
 
+def test_broken_fields_are_rejected(spark):
+    good = record("c", 1, C_MATCHED_PRICE=2.5)
+    bad = [record("c", 1, C_MATCHED_PRICE="abc"), good[:-3]]
+    assert sorted(row.value for row in cdc.rejects(lines(spark, good, *bad), DEAL_FEED).collect()) == sorted(bad)
+    times = [account("u", 5), account("u", 6, C_CREATE_TIME="soon")]
+    assert [row.value for row in cdc.rejects(lines(spark, *times), ACCOUNT_FEED).collect()] == times[1:]
+
+
+def test_number_of_buckets_stays_with_the_table(spark, tmp_path):
+    table = cdc.state_table(str(tmp_path / "state"), DEAL_FEED)
+    cdc.apply_changes(cdc.valid_changes(lines(spark, record("c", 1)), DEAL_FEED), DEAL_FEED, table, 2)
+    with pytest.raises(ValueError, match="2 buckets"):
+        cdc.apply_changes(cdc.valid_changes(lines(spark, record("u", 2)), DEAL_FEED), DEAL_FEED, table, 4)
+
+
 def account(op, ms, **row):
     row = {"PK_ACCOUNT": "A1", "C_ACCOUNT_CODE": "9091331", "C_CREATE_TIME": "2020-05-01T08:00:00", **row}
     before, after = (row, None) if op == "d" else (None, row)

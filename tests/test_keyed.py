@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import AnalysisException
 from ledgerlake import schemas
 from ledgerlake.operators.keyed import KeyedTable, bucket
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ def test_repeated_load_changes_nothing(spark, table):
     load = rows(spark, ("a", 1, 1, 10, False), ("b", None, 2, 10, False))
     assert table.upsert(load) == 0
     before = state(spark, table)
-    assert before == {("a", 1): 1, ("b", None): 2}
+    assert before == {("a", 1): 1}
     assert table.upsert(load) == 1
     assert state(spark, table) == before
 
@@ -81,3 +82,22 @@ def test_buckets_spread_keys(spark):
     counts = spark.range(4000).select(bucket(["id"], 8).alias("b")).groupBy("b").agg(F.count("*").alias("n")).collect()
     assert sorted(r.b for r in counts) == list(range(8))
     assert max(r.n for r in counts) < 700
+
+
+def test_rows_without_key_are_kept_apart(spark, table):
+    table.upsert(rows(spark, ("a", 1, 1, 10, False), (None, 1, 2, 10, False), (None, 1, 3, 10, False), ("b", None, 4, 10, False)))
+    assert state(spark, table) == {("a", 1): 1}
+    assert spark.read.parquet(f"{table.path}/rejects/version=0").count() == 3
+
+
+def test_unannounced_partition_fails_and_loses_nothing(spark, table):
+    table.upsert(rows(spark, ("a", 1, 1, 10, False), ("b", 2, 2, 10, False)))
+    with pytest.raises(ValueError, match="2024-01-02"):
+        table.upsert(rows(spark, ("c", 1, 3, 10, False), ("d", 2, 4, 10, False)), touched=["2024-01-01"])
+    assert state(spark, table) == {("a", 1): 1, ("b", 2): 2}
+
+
+def test_second_of_two_writers_fails(spark, table):
+    table.upsert(rows(spark, ("a", 1, 1, 10, False)))
+    with pytest.raises(AnalysisException):
+        table._commit(spark, 0, {"2024-01-01": 0})
