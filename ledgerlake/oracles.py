@@ -318,6 +318,8 @@ ORACLES: dict[str, str] = {
                CASE WHEN op <> 'd' THEN volume END AS C_MATCHED_VOLUME
         FROM changes"""),
     "cdc_plain_rows": "SELECT CAST(event_id AS VARCHAR) AS PK_FRONT_DEAL, value AS C_MATCHED_PRICE FROM events",
+    "register_partitioned": """
+        SELECT o_orderkey, o_custkey, CAST(year(o_orderdate) AS INTEGER) AS partition_year FROM orders""",
     "cdc_rejects": "SELECT props AS value FROM events",
     "cdc_latest": over("accounts", "SELECT * FROM accounts"),
     "cdc_change_log": over("changes", """

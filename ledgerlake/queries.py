@@ -256,6 +256,20 @@ def register_external(spark: SparkSession, folder: str) -> DataFrame:
     return spark.sql(f"SELECT * FROM {name}")
 
 
+@register
+def register_partitioned(spark: SparkSession, folder: str) -> DataFrame:
+    """A partitioned table, registered after its first load and told of the partitions of a second one."""
+    path = new_folder(spark, "partitioned")
+    name = f"silver_{path.rsplit('-', 1)[1][:12]}.orders"
+    orders = bindings.table(spark, folder, "orders").withColumn("partition_year", F.year("o_orderdate"))
+    first = F.col("partition_year") < 1996
+    tables.append(orders.where(first), f"{path}/orders", ["partition_year"])
+    tables.register_external(spark, name, f"{path}/orders", location=f"{path}/database")
+    tables.append(orders.where(~first), f"{path}/orders", ["partition_year"])
+    tables.refresh_partitions(spark, name)
+    return spark.sql(f"SELECT o_orderkey, o_custkey, partition_year FROM {name}")
+
+
 @register
 def append_managed_table(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "managed")
@@ -360,7 +374,7 @@ def full_outer_two(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def back_data(spark: SparkSession, folder: str) -> DataFrame:
-    return _typed(gold.back_data_of(bindings.account_day_measures(spark, folder)))
+    return _typed(gold.back_data(*bindings.facts(spark, folder)))
 
 
 @register

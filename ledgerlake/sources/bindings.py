@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.functions import measures
 from ledgerlake.plans import gold
 from ledgerlake.schemas import TICK_CLASS
 
@@ -194,30 +193,3 @@ def tick_wire(spark: SparkSession, folder: str) -> DataFrame:
     )
     message = F.struct(F.concat(F.lit("type.googleapis.com/"), kind).alias("type_url"), body.alias("value"))
     return table(spark, folder, "events").select(F.to_json(message).alias("value"))
-
-
-def account_day_measures(spark: SparkSession, folder: str) -> DataFrame:
-    """Measure rows of the four facts for ``gold.back_data_of``.
-
-    Three of the facts are views of the same order lines, so the lines are read and joined once: each gives a deal
-    row on the order date and, if it is a balance, a balance row on the ship date.
-    """
-    flag = F.col("l_returnflag")
-    amounts = order_lines(spark, folder).select(
-        "C_ACCOUNT_CODE", "o_orderdate", "l_shipdate", "l_returnflag",
-        *deal_amounts(), *margin_amounts(), *debit_amounts(),
-    )
-    lines = amounts.select(
-        "C_ACCOUNT_CODE", "o_orderdate", "l_shipdate", flag.isin("N", "R").alias("is_balance"),
-        measures.traded_value(amounts).alias("deal"),
-        F.when(flag == "N", measures.margin_debt()).alias("margin"),
-        F.when(flag == "R", measures.mblink_debt()).alias("debit"),
-    )
-    nothing = F.lit(None)
-    rows = lines.select("C_ACCOUNT_CODE", F.stack(
-        F.lit(2),
-        F.col("o_orderdate"), F.lit(True), F.col("deal"), nothing, nothing,
-        F.col("l_shipdate"), F.col("is_balance"), nothing, F.col("margin"), F.col("debit"),
-    ).alias("C_DATE", "placed", "C_GTGD", "C_MARGIN_DEBT", "C_MBLINK_DEBT"))
-    advances = gold.advance_rows(advance_withdraw(spark, folder))
-    return rows.where("placed").drop("placed").unionByName(advances, allowMissingColumns=True)

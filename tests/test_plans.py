@@ -52,11 +52,6 @@ def test_joined_form_shuffles_for_every_join(stored, no_broadcast):
     assert count(df, "Exchange") > 4
 
 
-def test_order_lines_are_read_once(spark, folder):
-    df = gold.back_data_of(bindings.account_day_measures(spark, folder))
-    assert plan(df).count("lineitem.parquet") == 1
-
-
 def test_newest_version_is_reduced_before_the_shuffle(spark, folder, no_broadcast):
     events = bindings.table(spark, folder, "events")
     df = latest_version(events, ["user_id"], ["ts", "event_id"])
