@@ -12,12 +12,14 @@ Distance is 1 - |x n y| / |x u y|; two texts link when it is at most the radius.
    distances between texts are 1, so no text is nearer to one of them than to another.)
    The texts of regions that come out large are divided once more in this way, now by exact counts of all their
    shingles, so that texts which only share a few shingles part.
-3. Text pivots. A region of more than ``SMALL`` texts gets about ``PIVOTS`` of its texts as pivots, by hash. Each text
+3. Text pivots. A region of more than ``MIDDLE`` texts gets about ``PIVOTS`` of its texts as pivots, by hash. Each text
    measures its distance to all of them, links to those within the radius r and belongs to the Voronoi cell of the
    nearest if that is within r. It is replicated to the windows of other pivots at most 2 r away, for by the triangle
    inequality a text within r of a member of the cell is at most that far from the pivot. Texts outside all cells form
    a region of their own. Cells in which all texts are connected already are finished; the others are joined again.
-   Regions of at most ``SMALL`` texts are joined pair by pair.
+   Smaller regions are joined text by text: whole if they have at most ``SMALL`` texts, else by pairs of parts of about
+   ``PART`` texts, so that no task gets a large one whole. (Edited copies of one text are mostly between one and two
+   radii apart, where windows hold all of a region; pivots pay off only for regions beyond that size.)
 
 Order only affects cost: how common a shingle is comes from per-task summaries of the most frequent ones, of which
 ``COMMON`` at most go to all tasks.
@@ -44,6 +46,8 @@ from ledgerlake.llm.components import components, stored
 SIZE = 5
 LEAST = Fraction(3, 4)
 SMALL = 192
+MIDDLE = 4096
+PART = 112
 PIVOTS = 64
 COMMON = 1 << 20
 COMMON_OF_TASK = 1 << 18
@@ -53,7 +57,7 @@ _SEED = np.uint64(0xA5A5_1234_77F0_0D01)
 
 
 def join(docs: DataFrame, id_column: str, text: str, size: int = SIZE, least: Fraction = LEAST, small: int = SMALL,
-         pivots: int = PIVOTS) -> DataFrame:
+         middle: int = MIDDLE, pivots: int = PIVOTS) -> DataFrame:
     """Columns ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id that links reach; a row per row of
     ``docs``."""
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -66,7 +70,7 @@ def join(docs: DataFrame, id_column: str, text: str, size: int = SIZE, least: Fr
     members = regions.join(points, F.col("node") == F.col("point")).select(
         F.col("first").alias("doc_id"), F.col("point"), F.col("component").alias("region"))
     members = rows.join(members, "doc_id").select("region", "doc_id", "point", "text")
-    links = _join_regions(stored(members, "regions"), size, least, small, pivots)
+    links = _join_regions(stored(members, "regions"), size, least, small, middle, pivots)
 
     named = points.join(links, F.col("first") == F.col("node"), "left").select(
         "point", F.coalesce("component", "first").alias("component"))
@@ -291,7 +295,7 @@ def roots(count: int, first: list[int], second: list[int]) -> np.ndarray:
 # --- regions of texts ---
 
 
-def _join_regions(members: DataFrame, size: int, least: Fraction, small: int, pivots: int) -> DataFrame:
+def _join_regions(members: DataFrame, size: int, least: Fraction, small: int, middle: int, pivots: int) -> DataFrame:
     """Columns ``node`` and ``component`` of the texts that link, from rows of region, doc_id, point and text."""
     texts, found, level = members.select("doc_id", "point", "text"), None, 0
     while True:
@@ -300,7 +304,7 @@ def _join_regions(members: DataFrame, size: int, least: Fraction, small: int, pi
         some_large = not large.isEmpty()
         within = members.join(large, "region", "left_anti") if some_large else members
         within = within.select("region", "doc_id", "point", "text").repartition("region").sortWithinPartitions("region")
-        links = within.mapInArrow(_pairs(size, least), "doc_id long, other long")
+        links = within.mapInArrow(_pairs(size, least, ["region"]), "doc_id long, other long")
         if not some_large:
             break
         level += 1
@@ -311,6 +315,11 @@ def _join_regions(members: DataFrame, size: int, least: Fraction, small: int, pi
                 F.col("component").alias("region"), "doc_id", "point", "text"), "regions")
             found = stored(links, "links")
             continue
+        crossed = members.join(large.where(F.col("texts") <= middle), "region")
+        links = links.union(_part_pairs(crossed, size, least))
+        large = large.where(F.col("texts") > middle)
+        if large.isEmpty():
+            break
         measured = stored(_measured(members.join(large, "region"), size, least, pivots, level), "measured")
         links = links.union(measured.where("close").select("doc_id", F.col("pivot").alias("other")))
         found = stored(found.union(links), "links")
@@ -319,11 +328,22 @@ def _join_regions(members: DataFrame, size: int, least: Fraction, small: int, pi
     return components(links if found is None else found.union(links))
 
 
-def _pairs(size: int, least: Fraction):
-    """Links within each region, reduced to one tree per connected set; a region is held whole."""
+def _part_pairs(members: DataFrame, size: int, least: Fraction) -> DataFrame:
+    """Links within regions that are dealt out as pairs of parts. Rows have the number of texts of their region."""
+    parts = F.ceil(F.col("texts") / PART).cast("int")
+    own = F.pmod(F.xxhash64("point"), parts).cast("int").alias("own")
+    rows = members.select("region", "doc_id", "point", "text", own, F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
+    keys = ["region", "first", "second"]
+    dealt = rows.select("region", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"),
+                        "doc_id", "point", "text").repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(_pairs(size, least, keys), "doc_id long, other long")
+
+
+def _pairs(size: int, least: Fraction, keys: list[str]):
+    """Links within each group of rows with equal keys, reduced to one tree per connected set; a group is held whole."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, sets in _groups(batches, size, ["region"]):
+        for ids, sets in _groups(batches, size, keys):
             if len(sets) < 2:
                 continue
             first, second = [], []

@@ -35,10 +35,11 @@ def all_pairs(rows):
     return {(key, len(sets[i]), least[root(i)] if sets[i] else key) for i, (key, _) in enumerate(rows)}
 
 
-@pytest.mark.parametrize("small", [8, 10**6])
-def test_equals_all_pairs(spark, near_copies, small):
+@pytest.mark.parametrize(("small", "middle"), [(8, 8), (4, 10**6), (10**6, 10**6)])
+def test_equals_all_pairs(spark, near_copies, monkeypatch, small, middle):
+    monkeypatch.setattr(jaccard, "PART", 5)
     docs = spark.createDataFrame(near_copies, SCHEMA).repartition(3).withColumns({"point": F.lit(1), "region": F.lit("x")})
-    found = jaccard.join(docs, "doc_id", "text", small=small, pivots=3).collect()
+    found = jaccard.join(docs, "doc_id", "text", small=small, middle=middle, pivots=3).collect()
     assert {tuple(row) for row in found} == all_pairs(near_copies)
     assert len(found) == len(near_copies)
 
