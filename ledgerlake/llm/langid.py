@@ -147,7 +147,7 @@ def _drawn(sums: Column, towards: Column) -> Column:
 def _declarations(judged: DataFrame, sums: list[Column], languages: list[str]) -> dict[str, list[float]]:
     """Per declared language the logarithm of how likely texts of each language declare it, if they declare any."""
     rows = judged.where(F.col("declared").isin(languages)).groupBy("declared").agg(*sums).collect()
-    counts = np.full((len(languages), len(languages)), 0.5)
+    counts = np.full((len(languages), len(languages)), 0.5) + STRENGTH * np.eye(len(languages))  # most declare their own
     for row in rows:
         counts[languages.index(row.declared)] += list(row)[1:]
     logs = np.log(counts / counts.sum(0))
