@@ -14,23 +14,25 @@ import argparse
 import datetime as dt
 import json
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake import session, specs
+from ledgerlake.functions.times import previous_month
 from ledgerlake.operators import tables
 from ledgerlake.operators.keyed import KeyedTable
 from ledgerlake.operators.latest import current_state
 from ledgerlake.plans import gold, silver
 from ledgerlake.sources import warehouse
-from ledgerlake.sources.relational import JdbcSource, Source, extract_columns, extract_previous_month
+from ledgerlake.sources.relational import JdbcSource, Source, extract_columns, extract_previous_month, hash_split
 from ledgerlake.sources.streams import KafkaStream, StreamSource
 from ledgerlake.streaming import cdc, refresh, ticks
 
 FEEDS = {feed.name: feed for feed in (specs.ACCOUNT_FEED, specs.DEAL_FEED)}
 FACTS = (specs.MARGIN_BALANCE, specs.DEBIT_BALANCE, specs.ADVANCE_WITHDRAW, specs.DEAL_HISTORY)
+READS = 8  # connections that read one table, unless the configuration splits it otherwise
 OPEN_DATES = "MISUSER.V_T_BACK_ACCOUNT"  # fixed value: the open-date view
 
 
@@ -74,6 +76,8 @@ def load_silver(
     first: dt.date | None = None, end: dt.date | None = None,
 ) -> None:
     """Source to silver: the whole table, or the days in ``[first, end)``."""
+    if first is not None and spec.date_column is None:
+        raise ValueError(f"{spec.name} has no business date to load days by")
     silver.source_to_silver(spark, lake.source, spec, f"{lake.silver}/{spec.name}", loaded_at, first, end)
 
 
@@ -90,6 +94,8 @@ def load_increment(
     spark: SparkSession, lake: Lake, spec: specs.TableSpec, as_of: dt.date, loaded_at: dt.datetime
 ) -> None:
     """The day (or month) before ``as_of`` from the source into the warehouse table."""
+    if spec not in (*specs.DAILY_FACTS, specs.RANKING_DETAIL):
+        raise ValueError(f"{spec.name} is not loaded by days or months")
     silver.incremental_load(spark, lake.source, spec, lake.fact(spec), as_of, loaded_at)
 
 
@@ -108,6 +114,11 @@ def refresh_back_data(spark: SparkSession, lake: Lake, as_of: dt.date) -> None:
         refresh.refresh_account_days(*lake.facts(spark, days), f"{lake.gold}/back_data", days)
 
 
+def build_back_data_rejects(spark: SparkSession, lake: Lake) -> None:
+    """Rows of the facts that belong to no account-day, and deals whose value is rounded."""
+    tables.overwrite(gold.back_data_rejects(*lake.facts(spark)), f"{lake.gold}/back_data_rejects")
+
+
 def build_front_data(spark: SparkSession, lake: Lake, as_of: dt.date) -> None:
     """Today's values, replacing yesterday's."""
     log = warehouse.scan(spark, lake.log(specs.DEAL_FEED))
@@ -116,7 +127,8 @@ def build_front_data(spark: SparkSession, lake: Lake, as_of: dt.date) -> None:
 
 def build_ranking(spark: SparkSession, lake: Lake, as_of: dt.date | None = None) -> None:
     """All rankings, or those of the month before ``as_of``; a month is replaced as a whole."""
-    detail = lake.fact(specs.RANKING_DETAIL).read(spark)
+    years = None if as_of is None else {str(previous_month(as_of)[0])}  # the table is stored by year
+    detail = lake.fact(specs.RANKING_DETAIL).read(spark, years)
     if as_of is not None:
         detail = extract_previous_month(detail, as_of)
     tables.overwrite_partitions(
@@ -148,6 +160,8 @@ def run_change_log(spark: SparkSession, lake: Lake, feed: specs.FeedSpec) -> Non
 
 def run_state(spark: SparkSession, lake: Lake, feed: specs.FeedSpec) -> None:
     checkpoint, source = f"{lake.checkpoints}/{feed.name}_state", lake.streams[feed.name]
+    if isinstance(source, KafkaStream):
+        source = replace(source, starting="earliest")  # a state needs all changes, whenever it is begun
     cdc.start_apply_changes(spark, source, feed, lake.state(feed), checkpoint, lake.buckets).awaitTermination()
 
 
@@ -177,9 +191,10 @@ def deals_of_change_log(spark: SparkSession, lake: Lake) -> DataFrame:
 
 def lake_of(config: dict) -> Lake:
     jdbc = config.get("jdbc")
+    split = {spec.source: hash_split(spec.key, READS) for spec in specs.TABLES.values()} | config.get("split", {})
     return Lake(
         **{name: config[name].rstrip("/") for name in ("silver", "warehouse", "gold", "checkpoints")},
-        source=JdbcSource(jdbc, config.get("split", {})) if jdbc else None,
+        source=JdbcSource(jdbc, split) if jdbc else None,
         streams={name: KafkaStream(**options) for name, options in config.get("kafka", {}).items()},
         **{name: config[name] for name in ("buckets", "delay", "descriptor") if name in config},
     )
@@ -193,6 +208,7 @@ def jobs(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> dict[str,
         "publish": lambda: publish_silver(spark, lake, spec),
         "increment": lambda: load_increment(spark, lake, spec, args.as_of, now),
         "back-data": lambda: build_back_data(spark, lake, args.first, args.end),
+        "back-data-rejects": lambda: build_back_data_rejects(spark, lake),
         "refresh": lambda: refresh_back_data(spark, lake, args.as_of),
         "front-data": lambda: build_front_data(spark, lake, args.as_of),
         "truncate-front-data": lambda: tables.truncate(spark, f"{lake.gold}/front_data"),

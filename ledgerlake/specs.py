@@ -14,7 +14,8 @@ class TableSpec:
     """One loaded table.
 
     ``date_column`` gives ``partition_date`` and the extract window; ``partition_texts`` maps string partition columns
-    to the columns they are cast from; ``casts`` holds types to force on load.
+    to the columns they are cast from; ``casts`` holds types to force on load; ``partition_in_key`` tells whether the
+    warehouse key includes the partition columns, as that of facts does.
     """
 
     name: str
@@ -24,6 +25,7 @@ class TableSpec:
     date_column: str | None = None
     partition_texts: dict[str, str] = field(default_factory=dict)
     casts: dict[str, str] = field(default_factory=dict)
+    partition_in_key: bool = True
 
     @property
     def partition_by(self) -> tuple[str, ...]:
@@ -33,8 +35,8 @@ class TableSpec:
 
     @property
     def primary_key(self) -> tuple[str, ...]:
-        """Key of the warehouse table; a fact key includes its partition columns, a dimension key does not."""
-        return (self.key,) if self.name.startswith("dim_") else (self.key, *self.partition_by)
+        """Key of the warehouse table."""
+        return (self.key, *self.partition_by) if self.partition_in_key else (self.key,)
 
     @property
     def schema(self) -> StructType:
@@ -70,10 +72,11 @@ RANKING_DETAIL = TableSpec(
 )
 BRANCH_BANK = TableSpec(
     "dim_t_list_branch_bank_adv_wdr", "BACK.T_LIST_BRANCH_BANK_ADV_WDR", "PK_BRANCH_BANK", schemas.BRANCH_BANK,
+    partition_in_key=False,
 )
 FRONT_USER = TableSpec(
     "dim_v_t_list_front_user", "MISUSER.V_T_LIST_FRONT_USER", "PK_FRONT_USER",
-    schemas.FRONT_USER, date_column="C_DATE_CREATE",
+    schemas.FRONT_USER, date_column="C_DATE_CREATE", partition_in_key=False,
 )
 
 TABLES = {

@@ -120,5 +120,13 @@ def test_config(tmp_path):
         "kafka": {"ticks": {"servers": "host:1", "assign": '{"t": [0]}', "text": False}},
     }
     lake = jobs.lake_of(json.loads(json.dumps(config)))
-    assert (lake.warehouse, lake.buckets, lake.source.split) == ("w", 8, {"T": ["a = 1"]})
+    assert (lake.warehouse, lake.buckets, lake.source.split["T"]) == ("w", 8, ["a = 1"])
+    assert all(len(lake.source.split[spec.source]) == jobs.READS for spec in specs.TABLES.values())
     assert lake.streams["ticks"] == KafkaStream("host:1", assign='{"t": [0]}', text=False)
+
+
+def test_jobs_refuse_tables_they_cannot_load(spark, lake):
+    with pytest.raises(ValueError, match="days or months"):
+        jobs.load_increment(spark, lake, specs.BRANCH_BANK, dt.date(2024, 1, 2), LOADED)
+    with pytest.raises(ValueError, match="no business date"):
+        jobs.load_silver(spark, lake, specs.RANKING_DETAIL, LOADED, dt.date(2024, 1, 1), dt.date(2024, 2, 1))
