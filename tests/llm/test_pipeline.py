@@ -26,7 +26,8 @@ def test_query_equals_sql(spark, folder, name):
 
 def test_stages(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
-    odd = [(-1, None, "en", "s", None), (-2, "", None, None, 0), (None, "some text without an id", "en", "s", 23), (-2, "", None, None, 0)]
+    odd = [(-1, None, "en", "s", None), (-2, "", None, None, 0), (None, "some text without an id", "en", "s", 23), (-2, "", None, None, 0),
+           (-3, "password = hunter2hunter2 ok", "en", "s", 28)]
     docs = docs.union(spark.createDataFrame(odd, docs.schema)).withColumn("row", F.lit(1))
     stages = dict(corpus_pipeline.STAGES)
     kept = corpus_pipeline.stored(stages["quality"](spark, docs, folder), "test-stage")
