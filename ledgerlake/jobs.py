@@ -183,6 +183,12 @@ def run_turnover(spark: SparkSession, lake: Lake) -> None:
     ).awaitTermination()
 
 
+def run_live_turnover(spark: SparkSession, lake: Lake) -> None:
+    """Turnover of all days that the tick table has news of, the running one included."""
+    refresh.start_turnover_refresh(
+        spark, lake.ticks(), f"{lake.gold}/market_data", f"{lake.checkpoints}/market_data").awaitTermination()
+
+
 def deals_of_change_log(spark: SparkSession, lake: Lake) -> DataFrame:
     """Current deals according to the change log, for checks against the keyed state."""
     log = warehouse.scan(spark, lake.log(specs.DEAL_FEED))
@@ -220,6 +226,7 @@ def jobs(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> dict[str,
         "state": lambda: run_state(spark, lake, feed),
         "rejects": lambda: run_rejects(spark, lake, feed),
         "ticks": lambda: run_ticks(spark, lake),
+        "turnover-live": lambda: run_live_turnover(spark, lake),
         "turnover-stream": lambda: run_turnover(spark, lake),
     }
 

@@ -346,6 +346,10 @@ ORACLES: dict[str, str] = {
                CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS TotalTrades,
                CAST({money('value')} * 100 AS BIGINT) AS TotalValuesTraded, ts AS "Time", 0 AS other_values
         FROM events WHERE event_type <> 'error'""",
+    "market_turnover_live": over("last_ticks", """
+        SELECT C_DATE, CAST(SUM(TotalValuesTraded) AS BIGINT) AS total_market_value
+        FROM last_ticks WHERE IndexCode <> 'error'
+        GROUP BY C_DATE"""),
     "market_turnover_stream": over("last_ticks", """
         SELECT C_DATE, CAST(SUM(TotalValuesTraded) AS BIGINT) AS total_market_value
         FROM last_ticks WHERE IndexCode <> 'error'

@@ -598,6 +598,19 @@ def tick_flatten(spark: SparkSession, folder: str) -> DataFrame:
     return stored.select(*filled, empty.alias("other_values"))
 
 
+@register
+def market_turnover_live(spark: SparkSession, folder: str) -> DataFrame:
+    """Two deliveries of ticks for the same days, the open one included; the second corrects what the first gave."""
+    path = new_folder(spark, "turnover")
+    wire = bindings.tick_wire(spark, folder).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(2)))
+    for part in range(2):
+        wire.where(F.col("part") == part).select("value").write.mode("append").text(f"{path}/wire")
+        ticks.start_tick_table(spark, FileStream(f"{path}/wire"), f"{path}/ticks", f"{path}/checkpoint").awaitTermination()
+        refresh.start_turnover_refresh(
+            spark, f"{path}/ticks", f"{path}/table", f"{path}/refresh-checkpoint").awaitTermination()
+    return warehouse.scan(spark, f"{path}/table")
+
+
 @register
 def market_turnover_stream(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "turnover")

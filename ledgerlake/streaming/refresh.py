@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.functions.times import MARKET_ZONE, period_start
 from ledgerlake.operators import tables
@@ -56,3 +58,23 @@ def refresh_turnover(ticks: DataFrame, path: str, first: dt.date, end: dt.date,
     """Recompute the local days in ``[first, end)`` of the stored turnover from the tick table."""
     days = scan_days(ticks, first, end)
     tables.overwrite_partitions(gold.market_turnover(days, zone), path, ["C_DATE"])
+
+
+def start_turnover_refresh(
+    spark: SparkSession, ticks: str, path: str, checkpoint: str, zone: str = MARKET_ZONE
+) -> StreamingQuery:
+    """Bring the stored turnover up to date with everything new in the tick table, then stop.
+
+    The local days of new ticks are recomputed from the whole tick table and replaced, so the running day shows and a
+    late tick corrects its day, however late. A batch that is repeated recomputes the same days.
+    """
+
+    def recompute(batch: DataFrame, _batch_id: int) -> None:
+        days = touched_periods(batch, "partition_date")
+        stored = batch.sparkSession.read.parquet(ticks).where(F.col("partition_date").isin(days))
+        tables.overwrite_partitions(gold.market_turnover(stored, zone), path, ["C_DATE"])
+
+    return (
+        spark.readStream.schema(spark.read.parquet(ticks).schema).parquet(ticks).writeStream.foreachBatch(recompute)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
