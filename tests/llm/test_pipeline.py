@@ -16,7 +16,7 @@ from ledgerlake.llm.queries import ORACLES, QUERIES, RANKS
 
 def test_all_ten_are_registered():
     assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
-    assert registered.queries()["pipeline"] is corpus_pipeline.run
+    assert registered.queries()["pipeline"].__wrapped__ is corpus_pipeline.run
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
