@@ -216,9 +216,15 @@ def erc_ranking_of_known(detail: DataFrame, accounts: DataFrame) -> DataFrame:
     return ranking.join(origins, "C_ORIGIN_ACCOUNT_CODE", "left_semi").select(*ranking.columns)
 
 
+def one_per_account(accounts: DataFrame) -> DataFrame:
+    """Of the rows that share an account code the one changed last; rows without code go."""
+    order = [name for name in VERSION_ORDER if name in accounts.columns]
+    return latest_version(accounts.where(F.col("C_ACCOUNT_CODE").isNotNull()), ["C_ACCOUNT_CODE"], order)
+
+
 def back_account_dim(accounts: DataFrame) -> DataFrame:
-    """Current accounts with branch and channel names."""
-    return accounts.where(F.col("C_ACCOUNT_CODE").isNotNull()).select(
+    """One row per current account, with branch and channel names."""
+    return one_per_account(accounts).select(
         labels.origin_account(F.col("C_ACCOUNT_CODE")).alias("C_ORIGIN_ACCOUNT_CODE"),
         "C_ACCOUNT_CODE",
         "C_OPEN_DATE",
@@ -228,8 +234,9 @@ def back_account_dim(accounts: DataFrame) -> DataFrame:
 
 
 def account_open_dates(accounts: DataFrame, open_dates: DataFrame) -> DataFrame:
-    """Current accounts with the open date from the open-date view."""
-    return accounts.drop("C_OPEN_DATE").join(open_dates, "C_ACCOUNT_CODE").select(
+    """One row per current account with the open date from the open-date view, the latest if that has several."""
+    opened = open_dates.groupBy("C_ACCOUNT_CODE").agg(F.max("C_OPEN_DATE").alias("C_OPEN_DATE"))
+    return one_per_account(accounts).drop("C_OPEN_DATE").join(opened, "C_ACCOUNT_CODE").select(
         "C_ACCOUNT_CODE", "C_OPEN_DATE", "C_ACCOUNT_BRANCH_CODE", "C_CHANNEL"
     )
 

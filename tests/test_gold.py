@@ -8,6 +8,7 @@ import pytest
 from ledgerlake.plans import gold
 from ledgerlake.sources import bindings
 from ledgerlake.streaming import refresh
+from pyspark.sql import functions as F
 
 DAY = dt.datetime(2024, 6, 3)
 
@@ -150,3 +151,14 @@ def test_one_account_with_most_rows(spark):
     result = by_key(gold.back_data(margin(spark, rows), *empty))
     assert result["1111111", DAY].C_MARGIN_DEBT == 3000
     assert len(result) == 301
+
+
+def test_one_row_per_account_code(spark):
+    accounts = spark.createDataFrame(
+        [("k1", "1234567", "17", "MBB", 5), ("k2", "1234567", "18", "WEB", 9), ("k3", None, "17", "WEB", 1)],
+        "PK_ACCOUNT string, C_ACCOUNT_CODE string, C_ACCOUNT_BRANCH_CODE string, C_CHANNEL string, ts_ms long",
+    ).withColumns({"C_OPEN_DATE": F.lit(None).cast("date")})
+    assert [row.C_CHANNEL_NAME for row in gold.back_account_dim(accounts).collect()] == ["MBS"]
+    opened = spark.createDataFrame([("1234567", dt.date(2020, 1, 1)), ("1234567", dt.date(2021, 1, 1))], "C_ACCOUNT_CODE string, C_OPEN_DATE date")
+    found = gold.account_open_dates(accounts, opened).collect()
+    assert [(row.C_OPEN_DATE, row.C_CHANNEL) for row in found] == [(dt.date(2021, 1, 1), "WEB")]
