@@ -11,8 +11,10 @@ Training. Counts cover all training texts. Softmax weights start at 0 with the c
 takes adaptive gradient steps over its part of the training texts, batch by batch, and Spark averages the weights of
 every feature over the tasks that met it, by how often they did.
 
-Scoring. Counts per word do not fit into one task for a large corpus, so each block of texts, those of one input file,
-gets the counts of its own words: distinct words per block are counted, summed by word, and sent back to their blocks.
+Scoring. Counts per word do not fit into one task for a large corpus, so each block of texts gets the counts of its own
+words: distinct words per block are counted, summed by word, and sent back to their blocks. A block is a run of texts
+that one task reads, ``BLOCK_BYTES`` at most and one text; it is stored with the texts, so files of any size, equal texts
+and frames that come out of shuffles make bounded blocks, and each pass sees the same ones.
 
 Null texts are empty: one end. Texts of any length are scored whole. Rows without id train and are scored like others;
 repeated rows count as often as they occur. Without training texts every token is unknown. Words are compared by 64-bit
@@ -26,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +49,8 @@ RATE = 0.4
 SHARDS = 4096
 ROUNDS = 1
 COUNTED = 1 << 22
+BLOCK_BYTES = 1 << 26  # of text
+ROW_BYTES = 32  # what a row counts for besides its text
 END, START = np.uint64(0x1D0F_5EED_0000_0001), np.uint64(0x1D0F_5EED_0000_0002)
 END_ENDING = -1
 
@@ -95,13 +100,11 @@ def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes, endings, starts
 
 
-def score(docs: DataFrame, id_column: str, text: str, held_out: Column) -> DataFrame:
+def score(docs: DataFrame, id_column: str, text: str, held_out: Column, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score. Rows that ``held_out`` selects
     train nothing."""
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text).cast("string").alias("text"), held_out.alias("held_out"))
-    if not docs.inputFiles():
-        rows = stored(rows, "lm-texts")
-    rows = rows.withColumn("block", F.xxhash64(F.input_file_name()))
+    rows = in_blocks(rows, block_bytes)
 
     counted = rows.select("text", "held_out", "block").mapInArrow(_count, "block long, hash long, ending int, count long")
     summed = counted.repartition("hash").mapInArrow(
@@ -124,6 +127,27 @@ def score(docs: DataFrame, id_column: str, text: str, held_out: Column) -> DataF
                                           "train_tokens long, base_score double, score double")
 
 
+# --- blocks ---
+
+
+def in_blocks(rows: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows, stored, with the block of each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = 0
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = before + np.cumsum(sizes + ROW_BYTES)
+            starts = np.concatenate(([before], ends[:-1]))[:len(ends)]
+            task = batch.column("block").to_numpy()
+            yield batch.set_column(batch.num_columns - 1, "block", pa.array((task << 32) + starts // block_bytes))
+            before = int(ends[-1]) if len(ends) else before
+
+    numbered = rows.withColumn("block", F.spark_partition_id().cast("long"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return stored(numbered.mapInArrow(run, f"doc_id {kind}, text string, held_out boolean, block long"), "lm-texts")
+
+
 # --- counts ---
 
 
