@@ -2,8 +2,8 @@
 
 Four kinds of evidence about a text are combined as if independent given the language:
 
-- the text itself: naive Bayes over hashed byte trigrams, trained on a bounded sample of labelled texts. Trigrams
-  overlap, so their log likelihoods are tempered: n of them count as n * EVIDENCE / (n + EVIDENCE);
+- the text itself: naive Bayes over hashed byte trigrams, trained on a sample of labelled texts that is bounded per
+  language, rare languages with up to ``EACH`` texts. Every language of the labels has a class. Trigrams overlap, so their log likelihoods are tempered: n of them count as n * EVIDENCE / (n + EVIDENCE);
 - the language that markup declares, by how often texts of each language declare which;
 - the suffix of the address and
 - its host, as a prior that is smoothed hierarchically: a host's share of languages is drawn towards that of its suffix,
@@ -11,7 +11,7 @@ Four kinds of evidence about a text are combined as if independent given the lan
   is left out.
 
 Shares and declarations are counted over the whole corpus by the posteriors of the texts alone, in grouped
-aggregations. Only what the number of languages bounds reaches the driver; hosts and suffixes are joined.
+aggregations. Only what the number of languages bounds reaches the driver (the trigram table has 128 KB for each); hosts and suffixes are joined.
 
 Null texts are empty and count as no evidence; null or unknown declarations, hosts and suffixes likewise. Ties go to the
 language that is more common in the sample, then to the alphabet. Rows are judged one by one; repeated rows count as
@@ -32,8 +32,8 @@ from ledgerlake.llm import tokens
 from ledgerlake.llm.components import stored
 
 BITS = 15
-LANGUAGES = 64
 SAMPLE = 8_000
+EACH = 100
 EVIDENCE = 50.0
 STRENGTH = 4.0
 
@@ -61,28 +61,32 @@ def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def train(labelled: DataFrame, text: str, language: str, sample: int = SAMPLE) -> TextModel:
     rows = labelled.where(F.col(language).isNotNull()).select(
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), F.col(language).cast("string").alias("language"))
-    shares = rows.groupBy("language").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "language").limit(LANGUAGES).collect()
+    shares = rows.groupBy("language").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "language").collect()
     languages = [row.language for row in shares]
     total = sum(row.n for row in shares)
-    chance = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / float(1 << 20)
-    chosen = rows.where(F.col("language").isin(languages)).where(chance < sample / max(total, 1))
+    place = {name: i for i, name in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((len(languages), 1 << BITS), np.int64)
+        met, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in tokens.pieces(batches):
             values, edges = grams(batch.column("text"))
-            own = np.array([languages.index(x) for x in batch.column("language").to_pylist()], np.int64)
-            keys = np.repeat(own, np.diff(edges)) << BITS | values
-            counts += np.bincount(keys, minlength=counts.size).reshape(counts.shape)
-        number, gram = np.nonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(gram), pa.array(counts[number, gram])], ["number", "gram", "n"])
-
-    counts = np.full((1 << BITS, max(len(languages), 1)), 0.5)
+            own = np.array([place[x] for x in batch.column("language").to_pylist()], np.int64)
+            keys, times = np.unique(np.repeat(own, np.diff(edges)) << BITS | values, return_counts=True)
+            met, at = np.unique(np.concatenate((met, keys)), return_inverse=True)
+            counts = np.bincount(at, np.concatenate((counts, times)), len(met)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(met >> BITS), pa.array(met & ((1 << BITS) - 1)), pa.array(counts)], ["number", "gram", "n"])
+
+    counts = np.full((1 << BITS, max(len(languages), 1)), 0.5, np.float32)
     if languages:
+        chance = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / float(1 << 20)
+        shown = {row.language: max(sample / total, EACH / row.n) for row in shares}
+        bound = F.create_map(*[F.lit(x) for pair in shown.items() for x in pair])
+        chosen = rows.where(chance < F.try_element_at(bound, F.col("language")))
         met = chosen.mapInArrow(count, "number long, gram long, n long").groupBy("number", "gram").agg(F.sum("n").alias("n")).toArrow()
         counts[met.column("gram").to_numpy(), met.column("number").to_numpy()] += met.column("n").to_numpy()
     prior = np.array([row.n + 1.0 for row in shares]) / (total + len(shares)) if shares else np.ones(1)
-    return TextModel(languages, prior, np.log(counts / counts.sum(0)).astype(np.float32))
+    return TextModel(languages, prior, np.log(counts / counts.sum(0, np.float64)).astype(np.float32))
 
 
 def pages_evidence(pages: DataFrame, page_id: str, url: str, html: str, languages: list[str]) -> DataFrame:
@@ -126,11 +130,12 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
         F.col("host").alias("of_host"), F.col("suffix").alias("host_suffix"), "host_sum",
         F.coalesce("suffix_share", F.array(*map(F.lit, share))).alias("suffix_share"))
     joined = judged.join(stored(hosts, "hosts"), (F.col("host") == F.col("of_host")) & F.col("suffix").eqNullSafe(F.col("host_suffix")), "left")
+    table = rows.sparkSession.createDataFrame(list(declared.items()), "of_declared string, said array<double>")
+    joined = joined.join(F.broadcast(table), F.col("declared") == F.col("of_declared"), "left")
     others = F.zip_with("host_sum", "own", lambda total, own: F.greatest(total - own, F.lit(0.0)))
     prior = F.coalesce(_drawn(others, F.col("suffix_share")), F.array(*map(F.lit, share)))
     fused = F.zip_with(F.col("text_log"), prior, lambda log, p: log + F.log(p))
-    table = F.create_map(*[x for language, logs in declared.items() for x in (F.lit(language), F.array(*map(F.lit, logs)))])
-    said = F.coalesce(F.try_element_at(table, F.col("declared")), F.array(*[F.lit(0.0)] * count))
+    said = F.coalesce("said", F.array(*[F.lit(0.0)] * count))
     fused = F.zip_with(fused, said, lambda a, b: a + b)
     out = joined.select("id", "declared", "text_lang", fused.alias("logs")).withColumn("top", F.array_max("logs"))
     mass = F.aggregate(F.transform("logs", lambda x: F.exp(x - F.col("top"))), F.lit(0.0), lambda a, b: a + b)
