@@ -48,6 +48,7 @@ LEAST = Fraction(3, 4)
 SMALL = 192
 MIDDLE = 4096
 PART = 112
+LARGE_PART = 512
 PIVOTS = 64
 COMMON = 1 << 20
 COMMON_OF_TASK = 1 << 18
@@ -324,13 +325,24 @@ def _join_regions(members: DataFrame, size: int, least: Fraction, small: int, mi
         links = links.union(measured.where("close").select("doc_id", F.col("pivot").alias("other")))
         found = stored(found.union(links), "links")
         open_cells = stored(_next_regions(measured, components(found), 1 - float(least)), "open-regions")
-        members = open_cells.join(texts, "doc_id").select("region", "doc_id", "point", "text")
+        stuck = stored(_stuck(open_cells, large), "stuck-regions")
+        found = stored(found.union(_part_pairs(members.join(stuck, "region"), size, least, LARGE_PART)), "links")
+        open_cells = open_cells.join(stuck.select(F.col("region").alias("parent")), "parent", "left_anti")
+        members = stored(open_cells.join(texts, "doc_id").select("region", "doc_id", "point", "text"), "regions")
     return components(links if found is None else found.union(links))
 
 
-def _part_pairs(members: DataFrame, size: int, least: Fraction) -> DataFrame:
+def _stuck(open_cells: DataFrame, large: DataFrame) -> DataFrame:
+    """The regions, with their number of texts, that pivots do not divide."""
+    cells = open_cells.groupBy("parent", "region").agg(F.count("*").alias("n"))
+    sums = cells.groupBy("parent").agg(F.max("n").alias("largest"), F.sum("n").alias("every"))
+    return sums.join(large.withColumnRenamed("region", "parent"), "parent").where(
+        "2 * largest > texts OR every > 2 * texts").select(F.col("parent").alias("region"), "texts")
+
+
+def _part_pairs(members: DataFrame, size: int, least: Fraction, part: int = PART) -> DataFrame:
     """Links within regions that are dealt out as pairs of parts. Rows have the number of texts of their region."""
-    parts = F.ceil(F.col("texts") / PART).cast("int")
+    parts = F.ceil(F.col("texts") / part).cast("int")
     own = F.pmod(F.xxhash64("point"), parts).cast("int").alias("own")
     rows = members.select("region", "doc_id", "point", "text", own, F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
     keys = ["region", "first", "second"]
@@ -465,9 +477,9 @@ def _next_regions(measured: DataFrame, labels: DataFrame, radius: float) -> Data
     heads = names.withColumnsRenamed({"node": "pivot", "component": "pivot_label"})
     rows = stored(rows.join(heads, "pivot", "left").withColumn("pivot_label", F.coalesce("pivot_label", "pivot")), "labelled")
     outside = rows.where("pivot IS NULL").select(
-        F.xxhash64("region", F.lit(-1)).alias("region"), "doc_id")
+        F.col("region").alias("parent"), F.xxhash64("region", F.lit(-1)).alias("region"), "doc_id")
     cells = rows.where("pivot IS NOT NULL AND (home OR label <> pivot_label)").withColumn("cell", F.xxhash64("region", "pivot"))
     others = cells.where("label <> pivot_label").groupBy("cell").agg(F.min("distance").alias("nearest_other"))
     open_cells = cells.join(stored(others, "open-cells"), "cell").where(
         F.expr("label <> pivot_label") | (F.col("distance") >= F.col("nearest_other") - radius - 1e-9))
-    return outside.union(open_cells.select(F.col("cell").alias("region"), "doc_id"))
+    return outside.union(open_cells.select(F.col("region").alias("parent"), F.col("cell").alias("region"), "doc_id"))
