@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, decontaminate, jaccard, langid, lm, quality, secrets, topk, toxicity, warc
+from ledgerlake.llm import bpe, decontaminate, jaccard, langid, lm, pq, quality, secrets, topk, toxicity, warc
 from ledgerlake.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -194,3 +194,56 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@register
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq.encode(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+
+
+def _codes_sql() -> str:
+    """Rounds as a chain of common table expressions; a squared distance is x.x - 2 x.e + e.e, exact in doubles."""
+    steps = ["""
+rows AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v, row_number() OVER () AS r
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+    SELECT r, p, x, list_inner_product(x, x) AS xx
+    FROM (SELECT r, p, v[p * len(v) // 4 + 1 : (p + 1) * len(v) // 4] AS x FROM rows, range(4) t(p))
+), book0 AS MATERIALIZED (
+    SELECT p, i, x AS e, list_inner_product(x, x) AS ee FROM parts JOIN (
+        SELECT r, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS i FROM rows QUALIFY i < 256
+    ) USING (r)
+)"""]
+    for number in range(5):
+        steps.append(f"""
+near{number} AS MATERIALIZED (
+    SELECT r, parts.p, arg_min(i, (xx - 2 * list_inner_product(x, e) + ee, i)) AS i,
+           min(xx - 2 * list_inner_product(x, e) + ee) AS d
+    FROM parts JOIN book{number} b ON parts.p = b.p GROUP BY r, parts.p
+)""")
+        if number < 4:
+            steps.append(f"""
+mean{number} AS (
+    SELECT p, i, list(floor(s / c) ORDER BY k) AS e FROM (
+        SELECT parts.p, n.i, k, sum(x[k]) AS s, count(*) AS c
+        FROM parts JOIN near{number} n ON parts.r = n.r AND parts.p = n.p, range(1, len(x) + 1) t(k)
+        GROUP BY parts.p, n.i, k
+    ) GROUP BY p, i
+), book{number + 1} AS MATERIALIZED (
+    SELECT p, i, e, list_inner_product(e, e) AS ee FROM (
+        SELECT b.p, b.i, coalesce(m.e, b.e) AS e FROM book{number} b LEFT JOIN mean{number} m ON b.p = m.p AND b.i = m.i)
+)""")
+    return f"""WITH {",".join(steps)},
+digest AS (
+    SELECT sha256(string_agg(array_to_string(list_transform(e, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ','), ','
+                             ORDER BY p, i)) AS codebooks_sha256 FROM book4
+), coded AS (
+    SELECT r, string_agg(format('{{:02x}}', i), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM near4 GROUP BY r
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM rows JOIN coded USING (r), digest"""
+
+
+ORACLES["op13_vector_codes"] = _codes_sql()
