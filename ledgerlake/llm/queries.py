@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, decontaminate, jaccard, langid, lm, pq, quality, secrets, topk, toxicity, warc
+from ledgerlake.llm import bpe, decontaminate, jaccard, langid, lm, neighbours, pq, quality, secrets, topk, toxicity, warc
 from ledgerlake.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -196,6 +196,32 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+@register
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_duplicates(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
+ORACLES["op12_embedding_near_dedup"] = """
+WITH RECURSIVE rows AS (
+    SELECT row_number() OVER () AS r, vec_id, CASE
+        WHEN len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+         AND len(list_filter(embedding, lambda x: x <> 0)) > 0 THEN CAST(embedding AS DOUBLE[]) END AS v
+    FROM embeddings
+), links AS MATERIALIZED (
+    SELECT a.r AS a, b.r AS b FROM rows a JOIN rows b ON a.r <> b.r AND list_cosine_similarity(a.v, b.v) >= 0.95
+), reach AS (
+    SELECT r AS a, r AS b FROM rows
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), named AS (
+    SELECT reach.a AS r, min(rows.vec_id) AS component_id FROM reach JOIN rows ON reach.b = rows.r GROUP BY reach.a
+)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = rows.r) AS n_links, component_id,
+       vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM rows JOIN named USING (r)
+"""
+
+
 @register
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq.encode(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
