@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, decontaminate, jaccard, langid, lm, neighbours, pq, quality, secrets, topk, toxicity, warc
+from ledgerlake.llm import bpe, decontaminate, jaccard, langid, lm, neighbours, pq, quality, secrets, spelling, topk, toxicity, warc
 from ledgerlake.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -196,6 +196,61 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+@register
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def _crc_steps(value: str, times: int) -> str:
+    """SQL of ``times`` steps of the checksum's shift register."""
+    for _ in range(times):
+        value = f"list_transform({value}, lambda c: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)"
+    return value
+
+
+# The checksum goes byte by byte through a table that its own shift register gives; bytes come from the hexadecimal text.
+# Near words share a text with one code point left out, at the same place if they are equally long.
+ORACLES["op11_spelling_variants"] = f"""
+WITH RECURSIVE crc AS MATERIALIZED (SELECT {_crc_steps("range(0, 256)", 8)} AS t),
+runs AS (
+    SELECT doc_id, lower_run AS run, count(*) AS c FROM (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[a-z\u00C0-\u00FF]+')) AS lower_run
+        FROM documents
+    ) WHERE length(lower_run) >= 5 GROUP BY ALL
+), hashed AS (
+    SELECT run, c, xor(4294967295, list_reduce(
+        list_prepend(4294967295, list_transform(range(0, length(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+        lambda s, b: xor(s >> 8, t[(xor(s, b) & 255) + 1]))) AS h
+    FROM (SELECT run, c, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS h FROM runs), crc
+), words AS MATERIALIZED (
+    SELECT word, CAST(sum(c) AS BIGINT) AS n FROM (
+        SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c
+        FROM hashed
+    ) WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3
+), cut AS MATERIALIZED (
+    SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM words, range(1, length(word) + 1) t(i)
+), near AS MATERIALIZED (
+    SELECT a.word AS word, b.word AS other FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT cut.word, words.word FROM cut JOIN words ON cut.rest = words.word
+    UNION SELECT words.word, cut.word FROM cut JOIN words ON cut.rest = words.word
+), best AS (
+    SELECT near.word, count(*) AS n_near, arg_min(near.other, (-o.n, near.other)) AS other, max(o.n) AS other_n
+    FROM near JOIN words o ON near.other = o.word GROUP BY near.word
+), formed AS MATERIALIZED (
+    SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * n THEN other END AS form,
+           CASE WHEN other_n >= 2 * n THEN other_n END AS form_n
+    FROM words LEFT JOIN best USING (word)
+), steps AS (
+    SELECT word, word AS at FROM formed
+    UNION ALL
+    SELECT steps.word, formed.form FROM steps JOIN formed ON steps.at = formed.word WHERE formed.form IS NOT NULL
+)
+SELECT f.word, f.form, steps.at AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN steps ON f.word = steps.word JOIN formed l ON steps.at = l.word AND l.form IS NULL
+"""
+
+
 @register
 def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.near_duplicates(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
