@@ -4,7 +4,8 @@
 
 The JSON file names the folders ``silver``, ``warehouse``, ``gold`` and ``checkpoints``, the ``jdbc`` options (``url``,
 ``user``, ``password``, ``driver``), the read predicates per table (``split``), and per feed the ``kafka`` settings of
-``KafkaStream``; ``descriptor`` is the protobuf descriptor file of binary ticks. No job reads the clock for its data: the
+``KafkaStream``; ``descriptor`` is the protobuf descriptor file of binary ticks, ``database`` the catalog database in which
+loaded silver tables are registered, if they are. No job reads the clock for its data: the
 day comes from ``--as-of``; load times are recorded only.
 """
 
@@ -21,14 +22,16 @@ from pyspark.sql import functions as F
 
 from ledgerlake import session, specs
 from ledgerlake.functions.times import previous_month
-from ledgerlake.operators import tables
+from ledgerlake.operators import reports, tables
+from ledgerlake.operators.dayindex import DayIndex
 from ledgerlake.operators.keyed import KeyedTable
 from ledgerlake.operators.latest import current_state
 from ledgerlake.plans import gold, silver
 from ledgerlake.sources import warehouse
 from ledgerlake.sources.relational import JdbcSource, Source, extract_columns, extract_previous_month, hash_split
 from ledgerlake.sources.streams import KafkaStream, StreamSource
-from ledgerlake.streaming import cdc, refresh, ticks
+from ledgerlake.streaming import cdc, refresh, sums, ticks
+from ledgerlake.streaming.compaction import CompactedLog
 
 FEEDS = {feed.name: feed for feed in (specs.ACCOUNT_FEED, specs.DEAL_FEED)}
 FACTS = (specs.MARGIN_BALANCE, specs.DEBIT_BALANCE, specs.ADVANCE_WITHDRAW, specs.DEAL_HISTORY)
@@ -49,10 +52,27 @@ class Lake:
     buckets: int = 64
     delay: str = "10 minutes"
     descriptor: str | None = None
+    database: str | None = None
 
     def fact(self, spec: specs.TableSpec) -> KeyedTable:
         return silver.warehouse_table(spec, f"{self.warehouse}/{spec.name}")
 
+    def index(self, spec: specs.TableSpec) -> DayIndex | None:
+        """Withdraw days of advances, which are stored by the day of approval."""
+        return DayIndex(f"{self.warehouse}/{spec.name}_days", "C_WITHDRAW_DATE") if spec is specs.ADVANCE_WITHDRAW else None
+
+    def day_state(self) -> KeyedTable:
+        return sums.day_state_table(f"{self.warehouse}/t_front_deal_days")
+
+    def account_sums(self) -> KeyedTable:
+        return sums.account_sums_table(f"{self.gold}/front_data_sums")
+
+    def account_dim(self) -> KeyedTable:
+        return sums.account_dim_table(f"{self.gold}/dim_back_account_keyed")
+
+    def compacted_log(self, feed: specs.FeedSpec) -> CompactedLog:
+        return CompactedLog(self.log(feed), f"{self.silver}/{feed.name}_log_compacted")
+
     def state(self, feed: specs.FeedSpec) -> KeyedTable:
         return cdc.state_table(f"{self.warehouse}/{feed.name}", feed)
 
@@ -63,12 +83,29 @@ class Lake:
         return f"{self.silver}/market_data_index"
 
     def facts(self, spark: SparkSession, days: list[dt.date] | None = None) -> tuple[DataFrame, ...]:
-        """The facts in the argument order of ``gold.back_data``. Given days, those stored by business day are read
-        for these days only; advances are stored by approval day and stay whole."""
-        parts = {day.isoformat() for day in days} if days is not None else None
-        return tuple(
-            self.fact(spec).read(spark, None if spec is specs.ADVANCE_WITHDRAW else parts) for spec in FACTS
-        )
+        """The facts in the argument order of ``gold.back_data``. Given days, only partitions that may hold rows of these days are
+        read; those of advances, which are stored by approval day, come from their index."""
+        def parts(spec: specs.TableSpec) -> set[str] | None:
+            if not days:
+                return None
+            index = self.index(spec)
+            if index is None:
+                return {day.isoformat() for day in days}
+            found = [index.parts(spark, first, end) for first, end in _runs(days)]
+            return None if None in found else set().union(*found)
+
+        return tuple(self.fact(spec).read(spark, parts(spec)) for spec in FACTS)
+
+
+def _runs(days: list[dt.date]) -> list[tuple[dt.date, dt.date]]:
+    """The days as ranges without gaps."""
+    out: list[tuple[dt.date, dt.date]] = []
+    for day in sorted(days):
+        if out and out[-1][1] == day:
+            out[-1] = (out[-1][0], day + dt.timedelta(days=1))
+        else:
+            out.append((day, day + dt.timedelta(days=1)))
+    return out
 
 
 def load_silver(
@@ -78,16 +115,19 @@ def load_silver(
     """Source to silver: the whole table, or the days in ``[first, end)``."""
     if first is not None and spec.date_column is None:
         raise ValueError(f"{spec.name} has no business date to load days by")
-    silver.source_to_silver(spark, lake.source, spec, f"{lake.silver}/{spec.name}", loaded_at, first, end)
+    path = f"{lake.silver}/{spec.name}"
+    rows = silver.source_to_silver(spark, lake.source, spec, path, loaded_at, first, end)
+    reports.record_load(spark, f"{lake.silver}/loads", spec.name, rows, loaded_at)
+    if lake.database:
+        tables.register_external(spark, f"{lake.database}.{spec.name}", path)
 
 
 def publish_silver(spark: SparkSession, lake: Lake, spec: specs.TableSpec) -> None:
-    """Silver to the warehouse: an upsert for facts, which carry their partition in the key; dimensions are replaced."""
+    """Silver to the warehouse, an upsert by primary key."""
     published = silver.publish_table(warehouse.scan(spark, f"{lake.silver}/{spec.name}"), spec)
-    if set(spec.partition_by) & set(spec.primary_key):
-        lake.fact(spec).upsert(published)
-    else:
-        tables.overwrite(published, f"{lake.warehouse}/{spec.name}")
+    if index := lake.index(spec):
+        index.add(published)
+    lake.fact(spec).upsert(published)
 
 
 def load_increment(
@@ -96,7 +136,7 @@ def load_increment(
     """The day (or month) before ``as_of`` from the source into the warehouse table."""
     if spec not in (*specs.DAILY_FACTS, specs.RANKING_DETAIL):
         raise ValueError(f"{spec.name} is not loaded by days or months")
-    silver.incremental_load(spark, lake.source, spec, lake.fact(spec), as_of, loaded_at)
+    silver.incremental_load(spark, lake.source, spec, lake.fact(spec), as_of, loaded_at, lake.index(spec))
 
 
 def build_back_data(spark: SparkSession, lake: Lake, first: dt.date, end: dt.date) -> None:
@@ -105,13 +145,20 @@ def build_back_data(spark: SparkSession, lake: Lake, first: dt.date, end: dt.dat
     gold.write_account_days(gold.back_data_days(*lake.facts(spark, days), first, end), f"{lake.gold}/back_data")
 
 
-def refresh_back_data(spark: SparkSession, lake: Lake, as_of: dt.date) -> None:
-    """Recompute the days that the advances approved the day before ``as_of`` belong to."""
-    approved = (as_of - dt.timedelta(days=1)).isoformat()
-    late = lake.fact(specs.ADVANCE_WITHDRAW).read(spark, {approved})
-    days = refresh.touched_periods(late, "C_WITHDRAW_DATE")
-    if days:
-        refresh.refresh_account_days(*lake.facts(spark, days), f"{lake.gold}/back_data", days)
+def refresh_products(spark: SparkSession, lake: Lake, as_of: dt.date | None = None) -> None:
+    """Bring every derived table up to date with its sources, at the cost of what has changed in them: account-days, rankings,
+    the account dimension and, given ``as_of``, the values of that day. Market turnover follows its ticks (``turnover-live``)."""
+    facts = {name: lake.fact(spec) for name, spec in zip(refresh.BUSINESS_DATES, FACTS, strict=True)}
+    products = (
+        refresh.account_days_product(facts, f"{lake.gold}/back_data", read=lake.facts),
+        refresh.ranking_product(lake.fact(specs.RANKING_DETAIL), f"{lake.gold}/dim_erc_ranking"),
+    )
+    for product in products:
+        refresh.refresh_product(spark, product, f"{lake.gold}/seen/{product.name}")
+    sums.update_account_dim(spark, lake.state(specs.ACCOUNT_FEED), lake.account_dim(), lake.buckets)
+    if as_of is not None:
+        sums.update_account_sums(spark, lake.day_state(), lake.account_sums())
+        tables.overwrite(sums.front_data(spark, lake.account_sums(), as_of), f"{lake.gold}/front_data")
 
 
 def build_back_data_rejects(spark: SparkSession, lake: Lake) -> None:
@@ -127,8 +174,8 @@ def build_front_data(spark: SparkSession, lake: Lake, as_of: dt.date) -> None:
 
 def build_ranking(spark: SparkSession, lake: Lake, as_of: dt.date | None = None) -> None:
     """All rankings, or those of the month before ``as_of``; a month is replaced as a whole."""
-    years = None if as_of is None else {str(previous_month(as_of)[0])}  # the table is stored by year
-    detail = lake.fact(specs.RANKING_DETAIL).read(spark, years)
+    months = None if as_of is None else {"/".join(map(str, previous_month(as_of)))}
+    detail = lake.fact(specs.RANKING_DETAIL).read(spark, months)
     if as_of is not None:
         detail = extract_previous_month(detail, as_of)
     tables.overwrite_partitions(
@@ -165,6 +212,40 @@ def run_state(spark: SparkSession, lake: Lake, feed: specs.FeedSpec) -> None:
     cdc.start_apply_changes(spark, source, feed, lake.state(feed), checkpoint, lake.buckets).awaitTermination()
 
 
+def run_day_state(spark: SparkSession, lake: Lake) -> None:
+    """Newest version of each deal and local day, from the deal feed."""
+    feed, source, table = specs.DEAL_FEED, lake.streams[specs.DEAL_FEED.name], lake.day_state()
+    if isinstance(source, KafkaStream):
+        source = replace(source, starting="earliest")
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        sums.add_day_changes(cdc.change_log(batch, feed), table, cdc.batch_source(batch), batch_id)
+
+    cdc.valid_changes(source.open(spark), feed).writeStream.foreachBatch(add).option(
+        "checkpointLocation", f"{lake.checkpoints}/{feed.name}_days").trigger(availableNow=True).start().awaitTermination()
+
+
+def keyed_tables(lake: Lake) -> list[KeyedTable]:
+    facts = [lake.fact(spec) for spec in specs.TABLES.values()]
+    return [*facts, *(lake.state(feed) for feed in FEEDS.values()), lake.day_state(), lake.account_sums(), lake.account_dim()]
+
+
+def fold_tables(spark: SparkSession, lake: Lake, least: int = 8) -> None:
+    """Merge the deltas of partitions that have gathered ``least`` of them, in all keyed tables."""
+    for table in keyed_tables(lake):
+        table.fold(spark, least)
+
+
+def expire_tables(spark: SparkSession, lake: Lake, keep: int = 20) -> None:
+    """Remove old versions of all keyed tables. A product that was not refreshed for that many versions is rebuilt by hand."""
+    for table in keyed_tables(lake):
+        table.expire(spark, keep)
+
+
+def compact_log(spark: SparkSession, lake: Lake, feed: specs.FeedSpec, before: dt.date) -> None:
+    lake.compacted_log(feed).compact(spark, before)
+
+
 def run_rejects(spark: SparkSession, lake: Lake, feed: specs.FeedSpec) -> None:
     checkpoint, source = f"{lake.checkpoints}/{feed.name}_rejects", lake.streams[feed.name]
     cdc.start_rejects(spark, source, feed, f"{lake.silver}/{feed.name}_rejects", checkpoint).awaitTermination()
@@ -191,7 +272,7 @@ def run_live_turnover(spark: SparkSession, lake: Lake) -> None:
 
 def deals_of_change_log(spark: SparkSession, lake: Lake) -> DataFrame:
     """Current deals according to the change log, for checks against the keyed state."""
-    log = warehouse.scan(spark, lake.log(specs.DEAL_FEED))
+    log = lake.compacted_log(specs.DEAL_FEED).read(spark)
     return current_state(log, [specs.DEAL_FEED.key], specs.VERSION_ORDER, F.col("op") == specs.DELETE)
 
 
@@ -202,7 +283,7 @@ def lake_of(config: dict) -> Lake:
         **{name: config[name].rstrip("/") for name in ("silver", "warehouse", "gold", "checkpoints")},
         source=JdbcSource(jdbc, split) if jdbc else None,
         streams={name: KafkaStream(**options) for name, options in config.get("kafka", {}).items()},
-        **{name: config[name] for name in ("buckets", "delay", "descriptor") if name in config},
+        **{name: config[name] for name in ("buckets", "delay", "descriptor", "database") if name in config},
     )
 
 
@@ -215,7 +296,7 @@ def jobs(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> dict[str,
         "increment": lambda: load_increment(spark, lake, spec, args.as_of, now),
         "back-data": lambda: build_back_data(spark, lake, args.first, args.end),
         "back-data-rejects": lambda: build_back_data_rejects(spark, lake),
-        "refresh": lambda: refresh_back_data(spark, lake, args.as_of),
+        "refresh": lambda: refresh_products(spark, lake, args.as_of),
         "front-data": lambda: build_front_data(spark, lake, args.as_of),
         "truncate-front-data": lambda: tables.truncate(spark, f"{lake.gold}/front_data"),
         "ranking": lambda: build_ranking(spark, lake, args.as_of),
@@ -224,6 +305,10 @@ def jobs(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> dict[str,
         "turnover": lambda: build_turnover(spark, lake, args.first, args.end),
         "change-log": lambda: run_change_log(spark, lake, feed),
         "state": lambda: run_state(spark, lake, feed),
+        "day-state": lambda: run_day_state(spark, lake),
+        "fold": lambda: fold_tables(spark, lake),
+        "expire": lambda: expire_tables(spark, lake),
+        "compact-log": lambda: compact_log(spark, lake, feed, args.as_of),
         "rejects": lambda: run_rejects(spark, lake, feed),
         "ticks": lambda: run_ticks(spark, lake),
         "turnover-live": lambda: run_live_turnover(spark, lake),

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.operators import storage
+
 
 def gather(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows of a partition brought together before a partitioned write, so that each partition gets few files.
@@ -30,6 +32,47 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
     ).parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition: str, values: Iterable[str]) -> None:
+    """Put ``df`` in the place of the partitions with these values of one column. A partition that ``df`` has no rows for is
+    removed, which ``overwrite_partitions`` alone would leave as it was. A run that breaks off can be repeated."""
+    spark = df.sparkSession
+    folders = [f"{path}/{partition}={value}" for value in values]
+    before = {folder: set(storage.children(spark, folder)) for folder in folders}
+    overwrite_partitions(df, path, [partition])
+    for folder, files in before.items():
+        if files and set(storage.children(spark, folder)) == files:  # files that were written anew have new names
+            storage.remove(spark, folder)
+
+
+def update_where(
+    spark: SparkSession, path: str, partition_by: Sequence[str], condition: Column, values: dict[str, Column]
+) -> list[tuple]:
+    """Set columns of the rows for which ``condition`` is true and return the partitions that were rewritten.
+
+    Only partitions that have such rows are rewritten; the files of all others stay as they are. The condition is
+    pushed down to the scan that finds them. Partition columns themselves cannot be set.
+    """
+    if moved := set(values) & set(partition_by):
+        raise ValueError(f"partition columns cannot be updated: {', '.join(sorted(moved))}")
+    stored = spark.read.parquet(path)
+    found = [tuple(row) for row in stored.where(condition).select(*partition_by).distinct().collect()]  # partition values only
+    if not found:
+        return []
+    affected = F.lit(False)
+    for one in found:
+        same = F.lit(True)
+        for name, value in zip(partition_by, one, strict=True):
+            same = same & F.col(name).eqNullSafe(F.lit(value).cast(stored.schema[name].dataType))
+        affected = affected | same
+    hit = F.coalesce(condition, F.lit(False))
+    rows = stored.where(affected).select(*(
+        F.when(hit, values[name].cast(field.dataType)).otherwise(F.col(name)).alias(name) if name in values else F.col(name)
+        for name, field in ((field.name, field) for field in stored.schema.fields)
+    ))
+    overwrite_partitions(rows, path, partition_by)
+    return sorted(found, key=str)
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     gather(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 

@@ -161,15 +161,19 @@ def known_accounts(gold: DataFrame, accounts: DataFrame) -> DataFrame:
     return gold.join(accounts.select("C_ACCOUNT_CODE"), "C_ACCOUNT_CODE", "left_semi").select(*gold.columns)
 
 
-def write_account_days(gold: DataFrame, path: str, grain: str = "day") -> None:
+def write_account_days(gold: DataFrame, path: str, grain: str = "day", periods: list[dt.date] | None = None) -> None:
     """Replace the stored days (or months, years) that ``gold`` holds. A re-run does not duplicate rows.
 
-    With a coarser grain than a day, ``gold`` has to hold whole periods.
+    With a coarser grain than a day, ``gold`` has to hold whole periods. Given ``periods``, those that ``gold`` has no rows for
+    are removed.
     """
     rows = publish(gold, schemas.struct(schemas.BACK_DATA)).withColumn(
         f"partition_{grain}", period_start("C_DATE", grain)
     )
-    tables.overwrite_partitions(rows, path, [f"partition_{grain}"])
+    if periods is None:
+        tables.overwrite_partitions(rows, path, [f"partition_{grain}"])
+    else:
+        tables.replace_partitions(rows, path, f"partition_{grain}", [period.isoformat() for period in periods])
 
 
 def front_data(changes: DataFrame, as_of: dt.date) -> DataFrame:
@@ -189,6 +193,11 @@ def front_data(changes: DataFrame, as_of: dt.date) -> DataFrame:
 def front_data_of(deals: DataFrame, as_of: dt.date) -> DataFrame:
     """Traded value per account of the current deals, dated ``as_of``."""
     sums = deals.groupBy("C_ACCOUNT_CODE").agg(F.sum(measures.traded_value(deals)).alias("C_GTGD"))
+    return front_data_of_sums(sums, as_of)
+
+
+def front_data_of_sums(sums: DataFrame, as_of: dt.date) -> DataFrame:
+    """Account sums of traded value, dated ``as_of``, in the columns of ``back_data``."""
     zeros = [F.lit(0).alias(name) for name in MEASURES if name != "C_GTGD"]
     return _with_labels(sums.select("C_ACCOUNT_CODE", F.lit(as_of).alias("C_DATE"), *zeros, "C_GTGD"))
 

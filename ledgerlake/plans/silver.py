@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.functions.times import period_start, previous_month
-from ledgerlake.operators import tables
+from ledgerlake.operators import reports, tables
+from ledgerlake.operators.dayindex import DayIndex
 from ledgerlake.operators.keyed import KeyedTable
 from ledgerlake.operators.projections import cast_columns, lineage_columns, partition_columns, publish
 from ledgerlake.sources.relational import Source, extract_day_before, extract_days, extract_previous_month
@@ -46,19 +47,19 @@ def source_to_silver(
     loaded_at: dt.datetime,
     first: dt.date | None = None,
     end: dt.date | None = None,
-) -> None:
-    """Full load, or a backfill of ``[first, end)`` in one job that replaces only the partitions it holds."""
-    rows = source.table(spark, spec.source)
-    if first is None or end is None:
-        tables.overwrite(to_silver(rows, spec, loaded_at), path, spec.partition_by)
-    else:
-        window = extract_days(rows, spec.date_column, first, end)
-        tables.overwrite_partitions(to_silver(window, spec, loaded_at), path, spec.partition_by)
+) -> int:
+    """Full load, or a backfill of ``[first, end)`` in one job that replaces only the partitions it holds; the number of
+    rows written."""
+    rows, write = source.table(spark, spec.source), tables.overwrite
+    if first is not None and end is not None:
+        rows, write = extract_days(rows, spec.date_column, first, end), tables.overwrite_partitions
+    return reports.write_counted(to_silver(rows, spec, loaded_at), lambda df: write(df, path, spec.partition_by))
 
 
 def warehouse_table(spec: TableSpec, path: str) -> KeyedTable:
-    """Keyed table of a fact; the later load wins. Ranking detail is stored by year."""
-    return KeyedTable(path, spec.schema, spec.primary_key, ("valid_from",), spec.partition_by[0])
+    """Keyed table of a fact or a dimension; the later load wins. Ranking detail is stored by year and month, a dimension, whose key
+    does not hold its partition, as a whole."""
+    return KeyedTable(path, spec.schema, spec.primary_key, ("valid_from",), spec.partition_by if spec.partition_in_key else ())
 
 
 def incremental_load(
@@ -68,8 +69,10 @@ def incremental_load(
     table: KeyedTable,
     as_of: dt.date,
     loaded_at: dt.datetime,
+    index: DayIndex | None = None,
 ) -> int:
-    """Load the day before ``as_of`` (the month before it for month tables) into the keyed table."""
+    """Load the day before ``as_of`` (the month before it for month tables) into the keyed table. ``index`` is told the days
+    of the load first."""
     rows = source.table(spark, spec.source)
     if spec.partition_texts:
         window = extract_previous_month(rows, as_of)
@@ -78,7 +81,9 @@ def incremental_load(
         window = extract_day_before(rows, spec.date_column, as_of)
         touched = {"partition_date": (as_of - dt.timedelta(days=1)).isoformat()}
     silver = publish(to_silver(window, spec, loaded_at), table.schema)
-    return table.upsert(silver, [touched[table.partition]])
+    if index:
+        index.add(silver)
+    return table.upsert(silver, ["/".join(touched[name] for name in table.partition_by)])
 
 
 def publish_table(silver: DataFrame, spec: TableSpec) -> DataFrame:

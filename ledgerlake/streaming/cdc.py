@@ -155,19 +155,30 @@ def check_buckets(spark: SparkSession, table: KeyedTable, buckets: int) -> None:
         raise ValueError(f"{table.path} has {stored} buckets, not {buckets}")
 
 
-def apply_changes(changes: DataFrame, feed: FeedSpec, table: KeyedTable, buckets: int) -> None:
-    """Merge a batch of changes into the keyed state. Applying a batch again changes nothing."""
+def apply_changes(
+    changes: DataFrame, feed: FeedSpec, table: KeyedTable, buckets: int, source: str | None = None, batch: int | None = None
+) -> None:
+    """Add a batch of changes to the keyed state, at the cost of the batch. Applying a batch again changes nothing."""
     check_buckets(changes.sparkSession, table, buckets)
-    table.upsert(state_rows(changes, feed, buckets))
+    table.append_delta(state_rows(changes, feed, buckets), source, batch)
+
+
+def batch_source(batch: DataFrame) -> str:
+    """Identity of the streaming query that a micro-batch belongs to; a new checkpoint makes a new query."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
 def start_apply_changes(
     spark: SparkSession, source: StreamSource, feed: FeedSpec, table: KeyedTable, checkpoint: str, buckets: int
 ) -> StreamingQuery:
-    """Bring the keyed state up to date with everything that waits in the source, then stop."""
+    """Bring the keyed state up to date with everything that waits in the source, then stop.
+
+    Every micro-batch becomes a delta of the state, and its number is stored with it, so one that comes again after a crash is
+    skipped. ``table.fold`` merges the deltas from time to time.
+    """
 
-    def merge(batch: DataFrame, _batch_id: int) -> None:
-        apply_changes(batch, feed, table, buckets)
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        apply_changes(batch, feed, table, buckets, batch_source(batch), batch_id)
 
     return (
         valid_changes(source.open(spark), feed).writeStream.foreachBatch(merge)

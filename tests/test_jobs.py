@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from ledgerlake import jobs, specs
@@ -56,7 +57,7 @@ def test_daily_loads_and_gold(spark, folder, lake):
         for spec in specs.DAILY_FACTS:
             jobs.load_increment(spark, lake, spec, day + dt.timedelta(days=1), LOADED)
     jobs.build_back_data(spark, lake, first, end)
-    jobs.refresh_back_data(spark, lake, end)
+    jobs.refresh_products(spark, lake)
     margin, debit, _, deals = bindings.facts(spark, folder)
     approved = lake.fact(specs.ADVANCE_WITHDRAW).read(spark)
     expected = gold.back_data_days(margin, debit, approved, deals, first, end)
@@ -78,12 +79,22 @@ def test_ranking_backfill_and_month(spark, folder, lake):
     assert rows(spark.read.parquet(f"{lake.gold}/dim_erc_ranking").select(*expected.columns)) == rows(expected)
 
 
-def test_dimension_is_replaced(spark, lake):
-    for _ in range(2):
-        jobs.load_silver(spark, lake, specs.FRONT_USER, LOADED)
-        jobs.publish_silver(spark, lake, specs.FRONT_USER)
-    stored = spark.read.parquet(f"{lake.warehouse}/{specs.FRONT_USER.name}")
-    assert stored.count() == 3 and stored.columns == specs.FRONT_USER.schema.names
+def test_dimension_is_upserted(spark, lake):
+    """A partial reload adds and replaces rows; it loses none."""
+    spec = specs.FRONT_USER
+    jobs.load_silver(spark, lake, spec, LOADED)
+    jobs.publish_silver(spark, lake, spec)
+    users = spark.range(2, 5).selectExpr("cast(id AS string) AS PK_FRONT_USER", "timestamp_ntz'2024-03-01' AS C_DATE_CREATE")
+    tables.overwrite(widened(users, spec), f"{lake.silver}/part/{spec.source}")
+    part = replace(lake, source=relational.ParquetSource(f"{lake.silver}/part"), database="registered_silver")
+    jobs.load_silver(spark, part, spec, LOADED + dt.timedelta(days=1))
+    jobs.publish_silver(spark, part, spec)
+    stored = lake.fact(spec).read(spark)
+    assert stored.columns == spec.schema.names
+    assert {(row.PK_FRONT_USER, row.C_DATE_CREATE.month) for row in stored.collect()} == {("0", 1), ("1", 1), ("2", 3), ("3", 3), ("4", 3)}
+    assert spark.table(f"registered_silver.{spec.name}").count() == 3
+    loads = spark.read.parquet(f"{lake.silver}/loads").where(F.col("table_name") == spec.name)
+    assert sorted(row.row_count for row in loads.collect()) == [3, 3]
 
 
 def test_feeds(spark, lake):
@@ -101,7 +112,18 @@ def test_feeds(spark, lake):
     assert dimension.count() == lake.state(specs.ACCOUNT_FEED).read(spark).count() > 0
     assert spark.read.parquet(f"{lake.gold}/mv_t_back_account").count() > 0
     jobs.build_front_data(spark, lake, dt.date(2024, 1, 15))
-    assert spark.read.parquet(f"{lake.gold}/front_data").count() > 0
+    whole = rows(spark.read.parquet(f"{lake.gold}/front_data"))
+    assert whole
+    jobs.run_day_state(spark, lake)
+    jobs.refresh_products(spark, lake, dt.date(2024, 1, 15))
+    assert rows(spark.read.parquet(f"{lake.gold}/front_data")) == whole
+    incremental = lake.account_dim().read(spark).select(*dimension.columns)
+    assert rows(incremental) == rows(dimension)
+    jobs.compact_log(spark, lake, specs.DEAL_FEED, dt.date(2024, 1, 20))
+    assert rows(jobs.deals_of_change_log(spark, lake).select(columns)) == rows(from_log)
+    jobs.fold_tables(spark, lake, least=1)
+    jobs.expire_tables(spark, lake)
+    assert rows(lake.state(specs.DEAL_FEED).read(spark).select(columns)) == rows(from_log)
 
 
 def test_turnover(spark, lake):
