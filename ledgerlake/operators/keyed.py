@@ -183,8 +183,8 @@ class KeyedTable:
         Only partitions that differ are read, and where these only gained deltas, only the keys of the new deltas."""
         was = Commit() if old is None else self.commit(spark, old)
         now = self.commit(spark, new)
-        grown, other = {}, []
-        for part in sorted({*was.parts, *now.parts}):
+        grown, other = {}, [] if was.parts else sorted(now.parts)
+        for part in sorted({*was.parts, *now.parts}) if was.parts else ():
             a, b = was.parts.get(part, Part()), now.parts.get(part, Part())
             if a != b:
                 if a.base == b.base and b.deltas[:len(a.deltas)] == a.deltas:
@@ -205,6 +205,9 @@ class KeyedTable:
             row = F.struct(*rest)
             return rows.select(*self.keys, (F.when(~F.col(self.deleted), row) if self.deleted else row).alias(name))
 
+        if not was.parts:  # a first load: all rows are new
+            first = side(sides[1], "after")
+            return first.where("after IS NOT NULL").select(*self.keys, F.lit(None).cast(first.schema["after"].dataType).alias("before"), "after")
         both = side(sides[0], "before").join(side(sides[1], "after"), list(self.keys), "full_outer")
         return both.where(~F.col("before").eqNullSafe(F.col("after")))
 

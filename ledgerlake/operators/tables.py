@@ -36,7 +36,8 @@ def replace_partitions(df: DataFrame, path: str, partition: str, values: Iterabl
     """Put ``df`` in the place of the partitions with these values of one column. A partition that ``df`` has no rows for is
     removed, which ``overwrite_partitions`` alone would leave as it was. A run that breaks off can be repeated."""
     spark = df.sparkSession
-    folders = [f"{path}/{partition}={value}" for value in values]
+    known = storage.children(spark, path)
+    folders = [f"{path}/{name}" for value in values if (name := f"{partition}={value}") in known]
     before = {folder: set(storage.children(spark, folder)) for folder in folders}
     overwrite_partitions(df, path, [partition])
     for folder, files in before.items():

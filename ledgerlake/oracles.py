@@ -171,6 +171,31 @@ def _front(view: str) -> str:
 
 
 GOLD = over("gold", "SELECT * FROM gold")
+STORED_GOLD = over("gold", """
+        SELECT * REPLACE (CAST(C_MARGIN_DEBT AS DECIMAL(38,0)) AS C_MARGIN_DEBT,
+                          CAST(C_MBLINK_DEBT AS DECIMAL(38,0)) AS C_MBLINK_DEBT,
+                          CAST(C_UTTB AS DECIMAL(38,10)) AS C_UTTB, CAST(C_GTGD AS DECIMAL(38,18)) AS C_GTGD)
+        FROM gold""")
+MOVED_ADVANCES = f"""
+        SELECT * REPLACE (C_WITHDRAW_DATE + CASE WHEN C_WITHDRAW_DATE >= '1997-05-01' AND C_WITHDRAW_DATE < '1997-06-01'
+                                                 THEN CAST(PK_ADVANCE_WITHDRAW AS INTEGER) % 3 * 20 ELSE 0 END * INTERVAL 1 DAY
+                              AS C_WITHDRAW_DATE)
+        FROM ({VIEWS["advance_withdraw"]})"""
+LOG = over("changes", """
+        SELECT CAST(user_id AS VARCHAR) AS PK_ACCOUNT,
+               CASE WHEN op = 'c' THEN updated_at ELSE CAST(date_trunc('day', ts) AS TIMESTAMP) END AS created_at,
+               updated_at, op, CASE WHEN op <> 'd' THEN account_code END AS C_ACCOUNT_CODE,
+               CASE WHEN op = 'd' THEN NULL WHEN event_type = 'click' THEN 'MBB' ELSE 'WEB' END AS C_CHANNEL,
+               CAST(updated_at AS DATE) AS partition_date, ts_ms, event_id AS scn
+        FROM changes""")
+LOST_KEYS = "CASE WHEN right(C_ACCOUNT_CODE, 1) <> '7' THEN C_ACCOUNT_CODE END AS C_ACCOUNT_CODE"
+
+
+def _rejected(measure: str, view: str, date: str) -> str:
+    return f"""
+        SELECT '{measure}' AS measure, {LOST_KEYS}, CASE WHEN right(C_ACCOUNT_CODE, 1) <> '3' THEN {date} END AS C_DATE,
+               'no account or date' AS reason
+        FROM {view} WHERE right(C_ACCOUNT_CODE, 1) IN ('3', '7')"""
 DEAL_STATE = over("deals_current", """
     SELECT PK_FRONT_DEAL, account_code AS C_ACCOUNT_CODE, value AS C_MATCHED_PRICE, volume AS C_MATCHED_VOLUME,
            0 AS __op, ts_ms
@@ -303,11 +328,38 @@ ORACLES: dict[str, str] = {
     "market_turnover_daily": over("last_ticks", """
         SELECT C_DATE, CAST(SUM(TotalValuesTraded) AS BIGINT) AS total_market_value
         FROM last_ticks GROUP BY C_DATE ORDER BY C_DATE"""),
-    "refresh_touched_days": over("gold", """
-        SELECT * REPLACE (CAST(C_MARGIN_DEBT AS DECIMAL(38,0)) AS C_MARGIN_DEBT,
-                          CAST(C_MBLINK_DEBT AS DECIMAL(38,0)) AS C_MBLINK_DEBT,
-                          CAST(C_UTTB AS DECIMAL(38,10)) AS C_UTTB, CAST(C_GTGD AS DECIMAL(38,18)) AS C_GTGD)
-        FROM gold"""),
+    "refresh_touched_days": STORED_GOLD,
+    "refresh_moved_rows": STORED_GOLD.replace(VIEWS["advance_withdraw"], MOVED_ADVANCES),
+    "refresh_ranking": over("ranking", f"SELECT *, {RANKING_KEY} FROM ranking").replace(
+        "MIN(o_orderpriority) AS", "CASE WHEN year(o_orderdate) = 1997 AND month(o_orderdate) IN (3, 12) THEN 'REVISED' "
+        "ELSE MIN(o_orderpriority) END AS"),
+    "back_data_indexed": over("gold", "SELECT * FROM gold WHERE CAST(C_DATE AS DATE) BETWEEN DATE '1997-05-01' AND DATE '1997-05-31'"),
+    "back_data_rejects": over("margin_balance debit_balance advance_withdraw deal_history", " UNION ALL ".join((
+        _rejected("margin", "margin_balance", "C_TRADING_DATE"), _rejected("debit", "debit_balance", "C_TRANSACTION_DATE"),
+        _rejected("advance", "advance_withdraw", "C_WITHDRAW_DATE"), _rejected("deal", "deal_history", "C_TRANSACTION_DATE")))),
+    "upsert_partial_touch": over("advance_withdraw", """
+        SELECT PK_ADVANCE_WITHDRAW, C_ACCOUNT_CODE, C_WITHDRAW_DATE, C_APPROVE_TIME,
+               CAST(C_CASH_VOLUME + CASE WHEN year(C_APPROVE_TIME) = 1997 THEN 1 ELSE 0 END AS DECIMAL(15,2)) AS C_CASH_VOLUME,
+               CAST(C_APPROVE_TIME AS DATE) AS partition_date,
+               CAST(date_trunc('year', C_APPROVE_TIME) AS DATE) AS partition_year
+        FROM advance_withdraw"""),
+    "update_rows_by_predicate": """
+        SELECT o_orderkey, o_orderstatus,
+               CASE WHEN o_orderstatus = 'P' AND o_orderkey % 2 = 0 THEN 'REVISED' ELSE o_orderpriority END AS o_orderpriority,
+               CAST(year(o_orderdate) AS INTEGER) AS partition_year
+        FROM orders""",
+    "cdc_apply_deltas": DEAL_STATE,
+    "front_data_by_deltas": _front("deals_today"),
+    "dim_back_account_incremental": over("changes", f"""
+        SELECT left(code, 6) AS C_ORIGIN_ACCOUNT_CODE, code AS C_ACCOUNT_CODE,
+               CASE CAST(event_id % 25 AS VARCHAR) WHEN '17' THEN 'KDS' ELSE 'SSG' END AS C_BRANCH_NAME,
+               CASE event_type WHEN 'click' THEN 'MB' ELSE 'MBS' END AS C_CHANNEL_NAME
+        FROM (
+            SELECT *, {account('user_id + CASE WHEN ts_ms >= 1705000000000 THEN 1 ELSE 0 END')} AS code FROM changes
+            QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts_ms DESC, event_id DESC) = 1)
+        WHERE op <> 'd'
+        QUALIFY row_number() OVER (PARTITION BY code ORDER BY ts_ms DESC, event_id DESC) = 1"""),
+    "change_log_compacted": LOG,
     "latest_version": """
         SELECT user_id, ts, event_id, event_type, value
         FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place FROM events)
@@ -322,13 +374,7 @@ ORACLES: dict[str, str] = {
         SELECT o_orderkey, o_custkey, CAST(year(o_orderdate) AS INTEGER) AS partition_year FROM orders""",
     "cdc_rejects": "SELECT props AS value FROM events",
     "cdc_latest": over("accounts", "SELECT * FROM accounts"),
-    "cdc_change_log": over("changes", """
-        SELECT CAST(user_id AS VARCHAR) AS PK_ACCOUNT,
-               CASE WHEN op = 'c' THEN updated_at ELSE CAST(date_trunc('day', ts) AS TIMESTAMP) END AS created_at,
-               updated_at, op, CASE WHEN op <> 'd' THEN account_code END AS C_ACCOUNT_CODE,
-               CASE WHEN op = 'd' THEN NULL WHEN event_type = 'click' THEN 'MBB' ELSE 'WEB' END AS C_CHANNEL,
-               CAST(updated_at AS DATE) AS partition_date, ts_ms, event_id AS scn
-        FROM changes"""),
+    "cdc_change_log": LOG,
     "cdc_apply_changes": DEAL_STATE,
     "cdc_restart_idempotent": DEAL_STATE,
     "dim_back_account_stream": over("accounts", """

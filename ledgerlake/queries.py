@@ -13,12 +13,14 @@ from ledgerlake import schemas, specs
 from ledgerlake.functions import labels
 from ledgerlake.functions.times import local_from_millis, utc_from_millis
 from ledgerlake.operators import latest, projections, reports, tables
+from ledgerlake.operators.dayindex import DayIndex
 from ledgerlake.operators.keyed import KeyedTable
 from ledgerlake.plans import gold, silver
 from ledgerlake.session import new_folder
 from ledgerlake.sources import bindings, relational, warehouse
 from ledgerlake.sources.streams import FileStream
-from ledgerlake.streaming import cdc, refresh, ticks
+from ledgerlake.streaming import cdc, refresh, sums, ticks
+from ledgerlake.streaming.compaction import CompactedLog
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -236,7 +238,7 @@ def silver_ranking_partitions(spark: SparkSession, folder: str) -> DataFrame:
     detail = bindings.ranking_detail(spark, folder)
     spec = specs.RANKING_DETAIL
     schema = _declared(spec, detail)
-    table = KeyedTable(f"{path}/table", schema, spec.primary_key, ("valid_from",), "partition_year")
+    table = KeyedTable(f"{path}/table", schema, spec.primary_key, ("valid_from",), spec.partition_by)
     tables.overwrite(detail, f"{path}/source/{spec.source}")
     source = relational.ParquetSource(f"{path}/source")
     full = silver.to_silver(source.table(spark, spec.source), spec, LOADED)
@@ -304,6 +306,40 @@ def upsert_by_key(spark: SparkSession, folder: str) -> DataFrame:
     return table.read(spark).drop("valid_to", "is_current")
 
 
+def _keyed_fact(rows: DataFrame, spec: specs.TableSpec, path: str, grain: str = "year") -> tuple[KeyedTable, DataFrame]:
+    """A keyed table for ``rows`` as loaded, stored by month or year, and the loaded rows."""
+    loaded = _as_loaded(rows, spec, LOADED, grain)
+    return KeyedTable(path, loaded.schema, spec.primary_key, ("valid_from",), f"partition_{grain}"), loaded
+
+
+def _as_loaded(rows: DataFrame, spec: specs.TableSpec, loaded_at: dt.datetime, grain: str = "year") -> DataFrame:
+    loaded = silver.to_silver(rows, spec, loaded_at).drop("valid_to", "is_current")
+    return loaded.withColumn(f"partition_{grain}", F.trunc("partition_date", grain))
+
+
+@register
+def upsert_partial_touch(spark: SparkSession, folder: str) -> DataFrame:
+    """A full load, then corrections of one year, announced, which rewrite that year alone."""
+    advances = bindings.advance_withdraw(spark, folder)
+    table, loaded = _keyed_fact(advances, specs.ADVANCE_WITHDRAW, new_folder(spark, "touch"))
+    table.upsert(loaded)
+    corrected = relational.extract_year(advances, "C_APPROVE_TIME", 1997).withColumn(
+        "C_CASH_VOLUME", (F.col("C_CASH_VOLUME") + 1).cast("decimal(15,2)"))
+    table.upsert(_as_loaded(corrected, specs.ADVANCE_WITHDRAW, RELOADED), ["1997-01-01"])
+    return table.read(spark).drop("valid_from")
+
+
+@register
+def update_rows_by_predicate(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(spark, "update")
+    orders = bindings.table(spark, folder, "orders").select(
+        "o_orderkey", "o_orderstatus", "o_orderpriority", F.year("o_orderdate").alias("partition_year"))
+    tables.overwrite(orders, path, ["partition_year"])
+    pending = (F.col("o_orderstatus") == "P") & (F.col("o_orderkey") % 2 == 0)
+    tables.update_where(spark, path, ["partition_year"], pending, {"o_orderpriority": F.lit("REVISED")})
+    return warehouse.scan(spark, path)
+
+
 @register
 def incremental_load(spark: SparkSession, folder: str) -> DataFrame:
     """Three daily loads of the deal history, one of them run twice."""
@@ -377,9 +413,49 @@ def back_data(spark: SparkSession, folder: str) -> DataFrame:
     return _typed(gold.back_data(*bindings.facts(spark, folder)))
 
 
+FACTS = (specs.MARGIN_BALANCE, specs.DEBIT_BALANCE, specs.ADVANCE_WITHDRAW, specs.DEAL_HISTORY)
+
+
+def _keyed_facts(spark: SparkSession, folder: str, path: str) -> dict[str, KeyedTable]:
+    """The four facts in keyed tables, as jobs store them."""
+    out = {}
+    for name, spec, rows in zip(refresh.BUSINESS_DATES, FACTS, bindings.facts(spark, folder), strict=True):
+        out[name], loaded = _keyed_fact(rows, spec, f"{path}/{name}")
+        out[name].upsert(loaded)
+    return out
+
+
 @register
 def back_data_four_tables(spark: SparkSession, folder: str) -> DataFrame:
-    return _typed(gold.back_data(*bindings.facts(spark, folder)))
+    """From four stored tables."""
+    stored = _keyed_facts(spark, folder, new_folder(spark, "facts"))
+    return _typed(gold.back_data(*(table.read(spark) for table in stored.values())))
+
+
+@register
+def back_data_indexed(spark: SparkSession, folder: str) -> DataFrame:
+    """A month of withdraw days from advances stored by approval month; the index names the partitions that are read."""
+    path = new_folder(spark, "indexed")
+    margin, debit, advances, deals = bindings.facts(spark, folder)
+    table, loaded = _keyed_fact(advances, specs.ADVANCE_WITHDRAW, f"{path}/table", "month")
+    index = DayIndex(f"{path}/days", "C_WITHDRAW_DATE", "partition_month")
+    index.add(loaded)
+    table.upsert(loaded)
+    first, end = dt.date(1997, 5, 1), dt.date(1997, 6, 1)
+    stored = table.read(spark, index.parts(spark, first, end))
+    return _typed(gold.back_data_days(margin, debit, stored, deals, first, end))
+
+
+@register
+def back_data_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Facts of which some have lost their account and others their date."""
+    dates = [*refresh.BUSINESS_DATES.values()]
+    facts = [
+        rows.withColumn(date, F.when(~F.col("C_ACCOUNT_CODE").endswith("3"), F.col(date))).withColumn(
+            "C_ACCOUNT_CODE", F.when(~F.col("C_ACCOUNT_CODE").endswith("7"), F.col("C_ACCOUNT_CODE")))
+        for rows, date in zip(bindings.facts(spark, folder), dates, strict=True)
+    ]
+    return gold.back_data_rejects(*facts)
 
 
 @register
@@ -468,6 +544,44 @@ def refresh_touched_days(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.scan(spark, path).drop("partition_year")
 
 
+@register
+def refresh_moved_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Account-days by day; then advances of one month turn out to be of other days, and the days they have left and those they
+    have come to are recomputed."""
+    path = new_folder(spark, "moved")
+    facts = _keyed_facts(spark, folder, path)
+    product = refresh.account_days_product(facts, f"{path}/gold")
+    refresh.refresh_product(spark, product, f"{path}/seen")
+    advances = bindings.advance_withdraw(spark, folder)
+    later = F.make_dt_interval((F.col("PK_ADVANCE_WITHDRAW").cast("int") % 3 * 20).cast("int"))
+    moved = advances.where("C_WITHDRAW_DATE >= '1997-05-01' AND C_WITHDRAW_DATE < '1997-06-01'").withColumn(
+        "C_WITHDRAW_DATE", (F.col("C_WITHDRAW_DATE") + later).cast(advances.schema["C_WITHDRAW_DATE"].dataType))
+    facts["advances"].append_delta(_as_loaded(moved, specs.ADVANCE_WITHDRAW, RELOADED))
+    for _ in range(2):
+        refresh.refresh_product(spark, product, f"{path}/seen")
+    return warehouse.scan(spark, f"{path}/gold").drop("partition_day")
+
+
+@register
+def refresh_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    """All rankings; then the detail of two months is corrected and only what these give is replaced."""
+    path, spec = new_folder(spark, "ranking"), specs.RANKING_DETAIL
+    detail = bindings.ranking_detail(spark, folder)
+
+    def loaded(rows: DataFrame, loaded_at: dt.datetime) -> DataFrame:
+        return silver.to_silver(rows, spec, loaded_at).drop("valid_to", "is_current")
+
+    table = KeyedTable(f"{path}/detail", loaded(detail, LOADED).schema, spec.primary_key, ("valid_from",), spec.partition_by)
+    product = refresh.ranking_product(table, f"{path}/gold")
+    table.upsert(loaded(detail, LOADED))
+    refresh.refresh_product(spark, product, f"{path}/seen")
+    corrected = detail.where("C_YEAR = 1997 AND C_MONTH IN (3, 12)").withColumn(
+        "C_SYNTHETIC_ANNOUCED_RANKING", F.lit("REVISED"))
+    table.upsert(loaded(corrected, RELOADED), ["1997/3", "1997/12"])
+    refresh.refresh_product(spark, product, f"{path}/seen")
+    return warehouse.scan(spark, f"{path}/gold")
+
+
 # --- change feeds and ticks ---
 
 
@@ -543,6 +657,68 @@ def cdc_apply_changes(spark: SparkSession, folder: str) -> DataFrame:
     return _deal_state(table, spark)
 
 
+@register
+def cdc_apply_deltas(spark: SparkSession, folder: str) -> DataFrame:
+    """Several batches, each a delta of the state, some of them folded in between and all at the end."""
+    path = new_folder(spark, "deltas")
+    feed, table = specs.DEAL_FEED, cdc.state_table(f"{path}/table", specs.DEAL_FEED)
+    changes = cdc.valid_changes(bindings.deal_wire(spark, folder), feed)
+    for number, part in enumerate((3, 1, 0, 2, 1)):
+        cdc.apply_changes(changes.where(F.col("scn") % 4 == part), feed, table, BUCKETS, "batches", number)
+        if number == 2:
+            table.fold(spark, least=2)
+    table.fold(spark)
+    return _deal_state(table, spark)
+
+
+@register
+def front_data_by_deltas(spark: SparkSession, folder: str) -> DataFrame:
+    """Sums per account and day kept by signed changes: batches out of order of time, with late changes, one fed twice."""
+    path = new_folder(spark, "sums")
+    state, totals = sums.day_state_table(f"{path}/state"), sums.account_sums_table(f"{path}/sums")
+    log = cdc.change_log(cdc.valid_changes(bindings.deal_wire(spark, folder), TRADES), TRADES)
+    for part in (2, 0, 1, 0):
+        sums.add_day_changes(log.where(F.col("scn") % 3 == part), state)
+        sums.update_account_sums(spark, state, totals)
+    return _typed(sums.front_data(spark, totals, dt.date(2024, 1, 15)))
+
+
+MOVED_FROM = 1_705_000_000_000
+
+
+@register
+def dim_back_account_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Account codes touched by each of two deliveries are recomputed; in the second one all accounts change their code."""
+    path = new_folder(spark, "accounts")
+    feed = specs.ACCOUNT_FEED
+    state, dim = cdc.state_table(f"{path}/state", feed), sums.account_dim_table(f"{path}/dim")
+    changes = cdc.valid_changes(bindings.account_wire(spark, folder, MOVED_FROM), feed)
+    later = F.col("ts_ms") >= MOVED_FROM
+    for number, part in enumerate((changes.where(~later), changes.where(later))):
+        cdc.apply_changes(part, feed, state, BUCKETS, "deliveries", number)
+        sums.update_account_dim(spark, state, dim, BUCKETS)
+    return sums.account_dim(spark, dim).drop("C_OPEN_DATE")
+
+
+@register
+def change_log_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """The change log in three deliveries; closed days are folded after two of them and again after the third, which has
+    more rows for these days."""
+    path = new_folder(spark, "log")
+    wire = bindings.account_wire(spark, folder).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(3)))
+    log = CompactedLog(f"{path}/log", f"{path}/compacted")
+    for part in range(3):
+        wire.where(F.col("part") == part).select("value").write.mode("append").text(f"{path}/wire")
+        cdc.start_change_log(
+            spark, FileStream(f"{path}/wire"), specs.ACCOUNT_FEED, log.log, f"{path}/checkpoint").awaitTermination()
+        if part:
+            log.compact(spark, dt.date(2024, 1, 20), least=1 + part)
+    return log.read(spark).select(
+        "PK_ACCOUNT", "created_at", "updated_at", "op", "C_ACCOUNT_CODE", "C_CHANNEL", "partition_date", "ts_ms",
+        F.col("scn").cast("bigint").alias("scn"),
+    )
+
+
 @register
 def cdc_restart_idempotent(spark: SparkSession, folder: str) -> DataFrame:
     """The later half of the changes first, a restart for the earlier half, then everything again."""

@@ -167,15 +167,19 @@ def deal_wire(spark: SparkSession, folder: str) -> DataFrame:
     return _changes(spark, folder).select(_change_text(row))
 
 
-def account_wire(spark: SparkSession, folder: str) -> DataFrame:
-    """Account change records, one per event; one account per user."""
+def account_wire(spark: SparkSession, folder: str, moved_from: int | None = None) -> DataFrame:
+    """Account change records, one per event; one account per user. From the time ``moved_from`` (epoch milliseconds) on, every
+    account has the code of the next user."""
+    changes = _changes(spark, folder)
+    moved = F.lit(0) if moved_from is None else (F.col("ts_ms") >= moved_from).cast("int")
+    changes = changes.withColumn("holder", F.col("user_id") + moved)
     row = F.struct(
-        F.col("user_id").cast("string").alias("PK_ACCOUNT"), account_code("user_id").alias("C_ACCOUNT_CODE"),
+        F.col("user_id").cast("string").alias("PK_ACCOUNT"), account_code("holder").alias("C_ACCOUNT_CODE"),
         (F.col("event_id") % 25).cast("string").alias("C_ACCOUNT_BRANCH_CODE"),
         F.when(F.col("event_type") == "click", "MBB").otherwise("WEB").alias("C_CHANNEL"),
         F.date_format(F.date_trunc("day", "ts"), "yyyy-MM-dd'T'HH:mm:ss").alias("C_CREATE_TIME"),
     )
-    return _changes(spark, folder).select(_change_text(row))
+    return changes.select(_change_text(row))
 
 
 def tick_wire(spark: SparkSession, folder: str) -> DataFrame:

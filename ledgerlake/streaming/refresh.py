@@ -48,12 +48,12 @@ def rows_of_periods(df: DataFrame, date_column: str, periods: list[dt.date], gra
     is a predicate of its own, because it reaches the scan of other tables."""
     if not periods:
         return df.limit(0)
-    enclosing = gold.rows_of_days(df, date_column, periods[0], _period_end(periods[-1], grain))
-    if "partition_date" in df.columns and date_column in gold.PARTITION_DATES:
-        kind = df.schema["partition_date"].dataType
-        if grain == "day":
-            return enclosing.where(F.col("partition_date").isin([F.lit(day.isoformat()).cast(kind) for day in periods]))
-    return enclosing.where(period_start(date_column, grain).isin(periods))
+    chosen = gold.rows_of_days(df, date_column, periods[0], _period_end(periods[-1], grain))
+    # As text, since a list of thousands of days takes long to hand over value by value.
+    days = ", ".join(f"DATE '{period}'" for period in periods)
+    if grain == "day" and "partition_date" in df.columns and date_column in gold.PARTITION_DATES:
+        return chosen.where(f"partition_date IN ({days})")
+    return chosen.withColumn("_period", period_start(date_column, grain)).where(f"_period IN ({days})").drop("_period")
 
 
 def refresh_account_days(
