@@ -23,13 +23,13 @@ VIEWS = {
                {money('l_extendedprice')} AS C_MATCHED_PRICE, {money('l_quantity')} AS C_MATCHED_VOLUME
         FROM {LINES}""",
     "margin_balance": f"""
-        SELECT {account('o_custkey')} AS C_ACCOUNT_CODE, l_shipdate AS C_TRADING_DATE,
+        SELECT {LINE_KEY} AS C_DEFAULT_PRIMARY_KEY, {account('o_custkey')} AS C_ACCOUNT_CODE, l_shipdate AS C_TRADING_DATE,
                {money('l_extendedprice')} AS C_INTERM_LOAN,
                {money('l_extendedprice')} * {money('l_discount')} AS C_INTERM_LOAN_OUT,
                {money('l_quantity')} AS C_OUTTERM_LOAN, {money('l_tax')} AS C_OUTTERM_LOAN_OUT
         FROM {LINES} WHERE l_returnflag = 'N'""",
     "debit_balance": f"""
-        SELECT {account('o_custkey')} AS C_ACCOUNT_CODE, l_shipdate AS C_TRANSACTION_DATE,
+        SELECT {LINE_KEY} AS PK_TLO_DEBIT_BALANCE, {account('o_custkey')} AS C_ACCOUNT_CODE, l_shipdate AS C_TRANSACTION_DATE,
                {money('l_extendedprice')} AS C_INTERM_BALANCE, {money('l_tax')} AS C_INTERM_CASH_OUT,
                {money('l_quantity')} AS C_OUTTERM_BALANCE, {money('l_discount')} AS C_OUTTERM_CASH_OUT,
                {money('l_quantity')} AS C_MBS_EXPIRE_DEBIT, {money('l_tax')} AS C_TLO_COL_1
@@ -191,6 +191,37 @@ LOG = over("changes", """
 LOST_KEYS = "CASE WHEN right(C_ACCOUNT_CODE, 1) <> '7' THEN C_ACCOUNT_CODE END AS C_ACCOUNT_CODE"
 
 
+# Per table: view, key, business date of its days and the column it is loaded by.
+DAILY = {
+    "fact_t_back_advance_withdraw": ("advance_withdraw", "PK_ADVANCE_WITHDRAW", "C_APPROVE_TIME"),
+    "fact_t_back_deal_history": ("deal_history", "PK_DEAL", "C_TRANSACTION_DATE"),
+    "fact_t_tlo_debit_balance_history": ("debit_balance", "PK_TLO_DEBIT_BALANCE", "C_TRANSACTION_DATE"),
+    "fact_t_margin_extra_balance_his": ("margin_balance", "C_DEFAULT_PRIMARY_KEY", "C_TRADING_DATE"),
+}
+FACT_VIEWS = " ".join(view for view, _, _ in DAILY.values())
+
+
+def _summary(table: str, source: str, key: str, part: str) -> str:
+    return f"""
+        SELECT '{table}' AS table_name, COUNT(*) AS rows, COUNT(DISTINCT {key}) AS keys, COUNT(DISTINCT {part}) AS partitions,
+               MIN({part}) AS first_partition, MAX({part}) AS last_partition, COUNT(*) AS current_rows
+        FROM {source}"""
+
+
+def _silver_tables(where: str) -> str:
+    """Summaries of all seven tables, the daily ones cut by ``where`` on their day."""
+    parts = []
+    for table, (view, key, date) in DAILY.items():
+        day = f"CAST({date} AS DATE)"
+        parts.append(_summary(table, f"(SELECT * FROM {view} WHERE {where.format(day=day)})", key, f"CAST({day} AS VARCHAR)"))
+    parts.append(_summary("fact_v_t_erc_monthly_detail", "ranking_detail", "PK_MONTHLY_DETAIL_ID",
+                          "(CAST(C_YEAR AS INTEGER) || '/' || CAST(C_MONTH AS INTEGER))"))
+    parts.append(_summary("dim_t_list_branch_bank_adv_wdr", "supplier", "s_suppkey", "''"))
+    parts.append(_summary("dim_v_t_list_front_user", "customer", "c_custkey",
+                          "CAST(DATE '2024-01-01' + CAST(c_custkey % 28 AS INTEGER) AS VARCHAR)"))
+    return over(f"{FACT_VIEWS} ranking_detail", " UNION ALL ".join(parts))
+
+
 def _rejected(measure: str, view: str, date: str) -> str:
     return f"""
         SELECT '{measure}' AS measure, {LOST_KEYS}, CASE WHEN right(C_ACCOUNT_CODE, 1) <> '3' THEN {date} END AS C_DATE,
@@ -262,6 +293,16 @@ ORACLES: dict[str, str] = {
         SELECT {SILVER_DEAL}, {LOADED} AS create_at,
                CAST(date_trunc('year', C_TRANSACTION_DATE) AS DATE) AS partition_year
         FROM deal_history"""),
+    "bronze_to_silver_days": f"""
+        SELECT CAST(c_custkey AS VARCHAR) AS PK_FRONT_USER, CAST(day AS TIMESTAMP) AS C_DATE_CREATE, day AS partition_date,
+               {LOADED} AS valid_from, {LOADED} AS create_at
+        FROM (SELECT c_custkey, DATE '2024-01-01' + CAST(c_custkey % 28 AS INTEGER) AS day FROM customer)""",
+    "bronze_to_silver_tables": _silver_tables("TRUE"),
+    "source_to_silver_tables": _silver_tables("{day} BETWEEN DATE '1997-04-01' AND DATE '1997-05-31'"),
+    "incremental_load_facts": over(FACT_VIEWS, " UNION ALL ".join(f"""
+        SELECT '{table}' AS table_name, {key} AS key, C_ACCOUNT_CODE, CAST({date} AS DATE) AS partition_date
+        FROM {view} WHERE CAST({date} AS DATE) BETWEEN DATE '1997-05-27' AND DATE '1997-05-28'"""
+        for table, (view, key, date) in DAILY.items())),
     "publish_select": over("deal_history", f"SELECT {SILVER_DEAL} FROM deal_history"),
     "silver_ranking_partitions": over("ranking_detail", f"""
         SELECT *, CAST(CAST(C_YEAR AS INTEGER) AS VARCHAR) AS partition_year,

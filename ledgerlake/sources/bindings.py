@@ -128,6 +128,29 @@ def ranking_detail(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def front_user(spark: SparkSession, folder: str) -> DataFrame:
+    """One front user per customer."""
+    created = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("c_custkey") % 28).cast("int")).cast("timestamp_ntz")
+    return table(spark, folder, "customer").select(
+        F.col("c_custkey").cast("string").alias("PK_FRONT_USER"), created.alias("C_DATE_CREATE"))
+
+
+def branch_bank(spark: SparkSession, folder: str) -> DataFrame:
+    """One bank branch per supplier."""
+    return table(spark, folder, "supplier").select(F.col("s_suppkey").cast("string").alias("PK_BRANCH_BANK"))
+
+
+def sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """All loaded tables, by the name of their spec."""
+    margin, debit, advances, deals = facts(spark, folder)
+    return {
+        "fact_t_back_advance_withdraw": advances, "fact_t_back_deal_history": deals,
+        "fact_t_tlo_debit_balance_history": debit, "fact_t_margin_extra_balance_his": margin,
+        "fact_v_t_erc_monthly_detail": ranking_detail(spark, folder),
+        "dim_t_list_branch_bank_adv_wdr": branch_bank(spark, folder), "dim_v_t_list_front_user": front_user(spark, folder),
+    }
+
+
 def index_tick(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select(
         F.col("event_type").alias("IndexCode"), F.col("ts").alias("Last_updated"),
