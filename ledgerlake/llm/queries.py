@@ -125,7 +125,7 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     ledger = secrets.BlobLedger(spark, new_folder(spark, "blob-ledger"))
     ledger.scan(documents, "doc_id", "text")
-    found = ledger.by_path(documents.select("doc_id", "text"), "text")
+    found = ledger.by_path(documents, "text", carried=["doc_id"])
     counts = [F.size(rule.kind).cast("long").alias(f"n_{rule.kind}") for rule in secrets.RULES]
     return found.select("row.doc_id", *counts, secrets.listed().alias("spans")).select(
         "doc_id", *(f"n_{rule.kind}" for rule in secrets.RULES), F.sha2("spans", 256).alias("base_sha256"), "spans")
@@ -143,8 +143,7 @@ def _spans_sql(name: str, rule: int, pattern: str, measured: int = 0, least: int
                    list_transform(regexp_extract_all(t, {pattern}, {measured}), lambda x: length(x) >= {least}) AS kept,
                    list_transform(regexp_split_to_array(t, {pattern}), lambda x: length(x)) AS gaps
             FROM texts WHERE regexp_matches(t, {pattern})
-        ), range(1, 100000) r(i)
-        WHERE i <= len(sizes)
+        ), range(1, len(sizes) + 1) r(i)
     ) WHERE kept[i]
 )"""
 

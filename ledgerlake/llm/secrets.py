@@ -11,7 +11,9 @@ next one, and the repeated findings are equal rows that reading drops. One write
 
 Spans are code points, end exclusive, found left to right without overlap per rule. Java's regular expressions give the
 matches and the texts between them, and a running sum of their lengths gives the positions. Null texts are empty and
-have no findings; texts are scanned whole. A path may have several rows; each is joined to the findings of its text.
+have no findings; texts are scanned whole. A path may have several rows; each is joined to the findings of its text. An empty
+table adds nothing, and a ledger without rows reads as empty. Further columns of the versions, whatever their names, stay inside
+the struct that ``by_path`` returns; a column that is named like a kind does no harm there.
 """
 
 from __future__ import annotations
@@ -119,16 +121,18 @@ class BlobLedger:
         pairs = _by_rule(due, rules, "known").where("NOT known").drop("known")
         pairs.write.mode("append").parquet(f"{self.folder}/scanned")
 
-    def by_path(self, versions: DataFrame, text: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    def by_path(self, versions: DataFrame, text: str, rules: tuple[Rule, ...] = RULES, carried: list[str] | None = None) -> DataFrame:
         """``row``, a row of ``versions`` as a struct, and per rule a column of its kind with the spans in the row's
-        text; one row per row of ``versions``."""
+        text; one row per row of ``versions``. ``carried`` names the columns of the struct, all unless given; without the text
+        among them only short rows are moved to meet the findings."""
         kept = self.findings().where(F.struct("kind", "version").isin([_pair(rule) for rule in rules]))
         blobs = kept.groupBy("blob_id").agg(*[
             F.max(F.when(F.col("kind") == rule.kind, F.col("spans"))).alias(rule.kind) for rule in rules])
         # Written, so that the join reads both sides from shuffles and splits a blob that very many paths share.
         blobs.write.parquet(target := new_folder(self.spark, "findings"))
         blobs = self.spark.read.parquet(target)
-        rows = versions.select(F.struct("*").alias("row"), blob_id(F.col(text)).alias("blob_id"))
+        row = F.struct(*(F.col(name) for name in versions.columns if carried is None or name in carried))
+        rows = versions.select(row.alias("row"), blob_id(F.col(text)).alias("blob_id"))
         empty = F.array().cast(SPANS)
         return rows.join(blobs, "blob_id", "left").select(
             "row", *(F.coalesce(rule.kind, empty).alias(rule.kind) for rule in rules))
