@@ -2,8 +2,8 @@
 
 Each step points every node, or every larger neighbour of a node, at the smallest node it knows of; the number of steps
 grows with the logarithm of the longest path. Minima are aggregated before the shuffle and stored, so the joins that
-follow read both sides from shuffles and split a node that has very many links. Nothing is collected but two sums that
-tell when nothing changes any more.
+follow read both sides from shuffles and split a node that has very many links. It ends when all links are stars; nothing
+is collected but whether they are.
 """
 
 from __future__ import annotations
@@ -29,9 +29,8 @@ def components(links: DataFrame) -> DataFrame:
     first, second = links.columns
     ends = F.least(first, second), F.greatest(first, second)
     now = links.where(F.col(first) != F.col(second)).select(ends[1].alias("node"), ends[0].alias("to")).distinct()
-    now, before = stored(now, "links"), None
-    while (state := _summary(now)) != before:
-        before = state
+    now = stored(now, "links")
+    while not _are_stars(now):
         both = now.union(now.select("to", "node"))
         least = both.groupBy("node").agg(F.min("to").alias("low")).select("node", F.least("node", "low").alias("low"))
         large = both.join(stored(least, "least"), "node").where("to > node").select(
@@ -44,7 +43,10 @@ def components(links: DataFrame) -> DataFrame:
     return named.union(now.select("to", "to").distinct())
 
 
-def _summary(links: DataFrame) -> tuple[int, int]:
-    mixed = F.xxhash64("node", "to").cast("decimal(38,0)")
-    row = links.agg(F.count("*"), F.sum(mixed)).first()
-    return row[0], row[1]
+def _are_stars(links: DataFrame) -> bool:
+    """Whether every node points at one other, which points at none. Nodes point at smaller ones, so the one that a star's
+    nodes point at is then the smallest of all that are connected with it."""
+    ends = links.select("node", F.lit(1).alias("out"), F.lit(0).alias("into")).union(
+        links.select("to", F.lit(0), F.lit(1)))
+    counts = ends.groupBy("node").agg(F.sum("out").alias("out"), F.sum("into").alias("into"))
+    return counts.where("out > 1 OR (out = 1 AND into > 0)").isEmpty()

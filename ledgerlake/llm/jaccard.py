@@ -1,6 +1,6 @@
 """Exact Jaccard self-join of texts in the metric space of their shingle sets.
 
-Distance is 1 - |x n y| / |x u y|; two texts link when it is at most the radius. The join has three parts.
+Distance is 1 - |x n y| / |x u y|; two texts link when it is at most the radius r. The join has three parts.
 
 1. Texts with equal sets become one point, which stands for all of them.
 2. Point pivots. Sets of one shingle are points of the space as well, and only the texts that hold the shingle are
@@ -10,23 +10,26 @@ Distance is 1 - |x n y| / |x u y|; two texts link when it is at most the radius.
    link. Regions are summarised before the shuffle by intervals of sizes; overlapping intervals connect, and the
    connected texts are the first regions. Most texts are alone in theirs. (Texts as pivots cannot begin: nearly all
    distances between texts are 1, so no text is nearer to one of them than to another.)
-   The texts of regions that come out large are divided once more in this way, now by exact counts of all their
-   shingles, so that texts which only share a few shingles part.
-3. Text pivots. A region of more than ``MIDDLE`` texts gets about ``PIVOTS`` of its texts as pivots, by hash. Each text
-   measures its distance to all of them, links to those within the radius r and belongs to the Voronoi cell of the
-   nearest if that is within r. It is replicated to the windows of other pivots at most 2 r away, for by the triangle
-   inequality a text within r of a member of the cell is at most that far from the pivot. Texts outside all cells form
-   a region of their own. Cells in which all texts are connected already are finished; the others are joined again.
-   Smaller regions are joined text by text: whole if they have at most ``SMALL`` texts, else by pairs of parts of about
-   ``PART`` texts, so that no task gets a large one whole. (Edited copies of one text are mostly between one and two
-   radii apart, where windows hold all of a region; pivots pay off only for regions beyond that size.)
+   Regions of more than ``CELL`` texts are divided once more in this way, by exact counts of all their shingles, so that
+   texts which only share a few shingles part.
+3. Text pivots, on every region of more than ``CELL`` texts. One text in ``EACH`` becomes a pivot, by hash, ``PIVOTS`` at
+   most. Every text measures its distance to all pivots of its region; its home is the Voronoi cell of the nearest. If x is
+   at home with pivot p and y is within r of x, then for every other pivot q: d(y,p) <= d(x,p) + r <= d(x,q) + r <=
+   d(y,q) + 2r. So y is replicated to the window of p only if d(y,p) is at most 2r more than its distance to its nearest
+   pivot, at most r more than the farthest home member of p, and if it is of like size; and a pair with two homes meets in
+   the smaller one only. In a cell only home members meet home and window members. Cells with more than ``CELL`` home
+   members are regions again, with the windows as members without a home; all others are joined exactly. A cell that holds
+   over half of its region's home members, as when all distances are alike, is dealt by hash among copies of its pivot, whose
+   home members meet in the same way. No task holds more than ``CELL`` home members; windows stream past them.
 
 Order only affects cost: how common a shingle is comes from per-task summaries of the most frequent ones, of which
 ``COMMON`` at most go to all tasks.
 
 Texts without words have empty sets and link with nothing; with fewer words than a shingle the whole sequence is one.
-Null texts are empty. Rows that repeat an id are separate; equal texts always link. Rows without id link through equal
-texts only. Sets are compared by 64-bit hashes of their shingles, and equal sets by a 64-bit sum of these.
+Null texts are empty, texts of any length are taken whole. Rows that repeat an id are separate; equal texts always link. Rows
+without id link like others, but give no id to their component, which is null if no row of it has one. An empty table gives no rows.
+Other columns do not matter, whatever their names. Sets are compared by 64-bit hashes of their shingles, and equal sets by
+a 64-bit sum of these.
 """
 
 from __future__ import annotations
@@ -45,11 +48,10 @@ from ledgerlake.llm.components import components, stored
 
 SIZE = 5
 LEAST = Fraction(3, 4)
-SMALL = 192
-MIDDLE = 4096
-PART = 112
-LARGE_PART = 512
-PIVOTS = 64
+CELL = 96
+EACH = 32
+PIVOTS = 256
+MEASURED = 256  # texts that one task measures
 COMMON = 1 << 20
 COMMON_OF_TASK = 1 << 18
 COUNTED = 1 << 22  # shingles that a task counts at a time
@@ -57,36 +59,63 @@ HELD = 1 << 20  # prefix entries that a task combines at a time
 _SEED = np.uint64(0xA5A5_1234_77F0_0D01)
 
 
-def join(docs: DataFrame, id_column: str, text: str, size: int = SIZE, least: Fraction = LEAST, small: int = SMALL,
-         middle: int = MIDDLE, pivots: int = PIVOTS) -> DataFrame:
+def join(docs: DataFrame, id_column: str, text: str, size: int = SIZE, least: Fraction = LEAST, cell: int = CELL) -> DataFrame:
     """Columns ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id that links reach; a row per row of
     ``docs``."""
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    sets = stored(rows.mapInArrow(_summaries(size), "doc_id long, n int, point long, count long"), "sets")
-    texts = sets.where("count IS NULL").select("doc_id", "n", "point")
-    points = stored(texts.where("n > 0").groupBy("point").agg(F.min("doc_id").alias("first")), "points")
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    sets = stored(rows.mapInArrow(_summaries(size), "doc_id long, hash long, n int, point long, count long"), "sets")
+    texts = sets.where("count IS NULL").select("doc_id", "hash", "n", "point")
+    # A point is known by the row of its smallest id, or by a text of it if it has none.
+    row = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")).alias("row")
+    points = stored(texts.where("n > 0").groupBy("point").agg(row).select("point", "row.doc_id", "row.hash"), "points")
 
     frequent = sets.where("count IS NOT NULL").select("point", "count")
     regions = _point_regions(rows, frequent, size, least)
-    members = regions.join(points, F.col("node") == F.col("point")).select(
-        F.col("first").alias("doc_id"), F.col("point"), F.col("component").alias("region"))
-    members = rows.join(members, "doc_id").select("region", "doc_id", "point", "text")
-    links = _join_regions(stored(members, "regions"), size, least, small, middle, pivots)
-
-    named = points.join(links, F.col("first") == F.col("node"), "left").select(
-        "point", F.coalesce("component", "first").alias("component"))
-    out = texts.join(stored(named, "named"), "point", "left")
-    alone = F.col("n") == 0
+    wanted = regions.join(points, F.col("node") == F.col("point")).select(
+        F.col("point"), F.col("component").alias("region"), F.col("doc_id").alias("of"), F.col("hash").alias("own"))
+    found = rows.join(wanted, F.expr("hash = own AND doc_id <=> of")).select("region", "point", "text")
+    members = stored(found.dropDuplicates(["point"]).mapInArrow(_sets(size), MEMBER), "members")
+    links = components(_links(members, least, cell))
+
+    linked = points.join(links, F.col("point") == F.col("node"), "left").select(
+        "point", "doc_id", F.coalesce("component", "point").alias("component"))
+    linked = stored(linked, "linked-points")
+    lowest = linked.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    named = stored(linked.join(lowest, "component").select("point", "component_id"), "named")
+    out = texts.select("doc_id", "n", "point").join(named, "point", "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"),
-                      F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
+                      F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of those that links reach. Rows without id stay; of rows that
-    repeat an id one stays, for ids stand for documents."""
+    repeat an id the one with the smallest text stays, for ids stand for documents."""
     ids = join(docs, id_column, text).where("doc_id = component_id").select(F.col("doc_id").alias(id_column)).distinct()
-    kept = docs.where(F.col(id_column).isNotNull()).join(ids, id_column, "left_semi").select(docs.columns)
-    return kept.dropDuplicates([id_column]).union(docs.where(F.col(id_column).isNull()))
+    kept = docs.where(F.col(id_column).isNotNull()).join(ids, id_column, "left_semi")
+    first = F.min_by(F.struct(*docs.columns), F.coalesce(F.col(text), F.lit(""))).alias("row")
+    kept = kept.groupBy(F.col(id_column).alias("_id")).agg(first).select("row.*")
+    return kept.union(docs.where(F.col(id_column).isNull()))
+
+
+MEMBER = "region long, point long, n int, shingles binary"
+
+
+def _sets(size: int):
+    """Rows of region, point and text as ``MEMBER``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tokens.pieces(batches):
+            sets = tokens.shingle_sets(tokens.words(batch.column("text")), size)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("region"), batch.column("point"), pa.array([len(x) for x in sets], pa.int32()),
+                pa.array([x.tobytes() for x in sets], pa.binary())], ["region", "point", "n", "shingles"])
+
+    return run
+
+
+def values_of(shingles: bytes) -> np.ndarray:
+    return np.frombuffer(shingles, np.uint64)
 
 
 def _point_regions(rows: DataFrame, frequent: DataFrame, size: int, least: Fraction) -> DataFrame:
@@ -102,34 +131,51 @@ def _point_regions(rows: DataFrame, frequent: DataFrame, size: int, least: Fract
     return components(near)
 
 
-def _exact_point_regions(rows: DataFrame, size: int, least: Fraction) -> DataFrame:
-    """As ``_point_regions``, for rows of point and text, with the order of shingles by their exact counts. Shingles of
+def _exact_point_regions(members: DataFrame, least: Fraction) -> DataFrame:
+    """As ``_point_regions``, for rows as ``MEMBER``, with the order of shingles by their exact counts. Shingles of
     one text alone come first and connect nothing, so only the others are ordered."""
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in tokens.pieces(batches):
-            sets = tokens.shingle_sets(tokens.words(batch.column("text")), size)
-            lengths = np.array([len(x) for x in sets], np.int64)
+        for batch in tokens.pieces(batches, "shingles"):
+            n = batch.column("n").to_numpy()
+            every = np.frombuffer(b"".join(batch.column("shingles").to_pylist()), np.int64)
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate(sets).view(np.int64)), pa.array(np.repeat(batch.column("point").to_numpy(), lengths)),
-                pa.array(np.repeat(lengths, lengths).astype(np.int32))], ["pivot", "point", "n"])
-
-    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if held := [batch for batch in batches if batch.num_rows]:
-            table = pa.Table.from_batches(held)
-            _, places, counts = np.unique(table.column("pivot").to_numpy(), return_inverse=True, return_counts=True)
-            table = table.append_column("count", pa.array(counts[places]))
-            yield from table.filter(pa.array(counts[places] > 1)).to_batches()
-
-    met = rows.select("point", "text").mapInArrow(listed, "pivot long, point long, n int").repartition("pivot")
-    met = met.mapInArrow(shared, "pivot long, point long, n int, count long")
+                pa.array(every), pa.array(np.repeat(batch.column("point").to_numpy(), n)), pa.array(np.repeat(n, n))],
+                ["pivot", "point", "n"])
+
+    met = members.select("point", "n", "shingles").mapInArrow(listed, "pivot long, point long, n int")
+    counts = met.groupBy("pivot").agg(F.count("*").alias("count")).where("count > 1")  # tasks count first
     reach = F.expr(f"n - (n * {least.numerator} + {least.denominator - 1}) div {least.denominator} + 1").cast("int")
-    ordered = met.groupBy("point", "n").agg(F.sort_array(F.collect_list(F.struct("count", "pivot"))).alias("met"))
+    shared = met.join(stored(counts, "shared-shingles"), "pivot")
+    ordered = shared.groupBy("point", "n").agg(F.sort_array(F.collect_list(F.struct("count", "pivot"))).alias("met"))
     first = F.greatest(reach - (F.col("n") - F.size("met")), F.lit(0))
     near = ordered.select("point", "n", F.explode(F.slice("met", F.lit(1), first)).alias("x")).select(
-        F.col("x.pivot").alias("pivot"), "point", F.col("n").alias("low"), F.col("n").alias("high"),
-        F.lit(None).cast("long").alias("other"))
-    return components(near.repartition("pivot").mapInArrow(_regions(least), "point long, other long"))
+        F.col("x.pivot").alias("pivot"), "point", "n")
+    schema = "pivot long, point long, low int, high int, other long"
+    near = near.mapInArrow(_combined_tasks(least), schema).repartition(F.coalesce("pivot", "point"))
+    return components(near.mapInArrow(_regions(least), "point long, other long"))
+
+
+def _combined_tasks(least: Fraction):
+    """Intervals of sizes per pivot of a task's entries, with links to the first text of each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for batch in batches:
+            held.append(batch)
+            count += batch.num_rows
+            if count > HELD:
+                yield from _merged(*_columns(held), least)
+                held, count = [], 0
+        if count:
+            yield from _merged(*_columns(held), least)
+
+    return run
+
+
+def _columns(held: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    table = pa.Table.from_batches(held)
+    return table.column("pivot").to_numpy(), table.column("point").to_numpy(), table.column("n").to_numpy().astype(np.int64)
 
 
 def point_of(values: np.ndarray) -> int:
@@ -142,13 +188,13 @@ def _summaries(size: int):
     """Per text its size and point; per task the shingles that it met most often, with counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n", "point", "count"]
+        names = ["doc_id", "hash", "n", "point", "count"]
         met, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         waiting: list[np.ndarray] = []
         for batch in tokens.pieces(batches):
             sets = tokens.shingle_sets(tokens.words(batch.column("text")), size)
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array([len(x) for x in sets], pa.int32()),
+                batch.column("doc_id"), batch.column("hash"), pa.array([len(x) for x in sets], pa.int32()),
                 pa.array([point_of(x) for x in sets], pa.int64()), pa.nulls(len(sets), pa.int64())], names)
             waiting += sets
             if sum(map(len, waiting)) > COUNTED:
@@ -157,7 +203,8 @@ def _summaries(size: int):
         met, counts = _most_frequent(met, counts, waiting)
         if len(met):
             yield pa.RecordBatch.from_arrays([
-                pa.nulls(len(met), pa.int64()), pa.nulls(len(met), pa.int32()), pa.array(met.view(np.int64)),
+                pa.nulls(len(met), pa.int64()), pa.nulls(len(met), pa.int64()), pa.nulls(len(met), pa.int32()),
+                pa.array(met.view(np.int64)),
                 pa.array(counts)], names)
 
     return run
@@ -216,6 +263,10 @@ def _combined(held: list[tuple[np.ndarray, int, int]], least: Fraction) -> Itera
     pivot = np.concatenate([values for values, _, _ in held]).view(np.int64)
     point = np.repeat(np.array([point for _, point, _ in held], np.int64), reach)
     n = np.repeat(np.array([n for _, _, n in held], np.int64), reach)
+    yield from _merged(pivot, point, n, least)
+
+
+def _merged(pivot: np.ndarray, point: np.ndarray, n: np.ndarray, least: Fraction) -> Iterator[pa.RecordBatch]:
     heads, low, high, links = _intervals(pivot, point, n, n, least)
     names = ["pivot", "point", "low", "high", "other"]
     yield pa.RecordBatch.from_arrays([
@@ -296,190 +347,195 @@ def roots(count: int, first: list[int], second: list[int]) -> np.ndarray:
 # --- regions of texts ---
 
 
-def _join_regions(members: DataFrame, size: int, least: Fraction, small: int, middle: int, pivots: int) -> DataFrame:
-    """Columns ``node`` and ``component`` of the texts that link, from rows of region, doc_id, point and text."""
-    texts, found, level = members.select("doc_id", "point", "text"), None, 0
+def links(common, n, m, least: Fraction):
+    return common * least.denominator >= least.numerator * (n + m - common)
+
+
+def _links(members: DataFrame, least: Fraction, cell: int) -> DataFrame:
+    """Links within the regions of ``members``, rows as ``MEMBER``; of each connected set of a cell one tree."""
+    crowded = members.join(_larger(members, cell), "region", "left_semi")
+    if not crowded.isEmpty():
+        parts = _exact_point_regions(crowded, least)
+        others = members.join(_larger(members, cell), "region", "left_anti")
+        divided = crowded.drop("region").join(parts, F.col("point") == F.col("node")).withColumnRenamed("component", "region")
+        members = stored(others.select("region", "point", "n", "shingles").union(
+            divided.select("region", "point", "n", "shingles")), "divided")
+    sets = members.select("point", "shingles")
+    now = members.select("region", "point", "n", F.lit(True).alias("home"), F.lit(None).cast("long").alias("parent"))
+    finished, level = [], 0
     while True:
-        sizes = members.groupBy("region").agg(F.count("*").alias("texts"))
-        large = stored(sizes.where(F.col("texts") > small), "large-regions")
-        some_large = not large.isEmpty()
-        within = members.join(large, "region", "left_anti") if some_large else members
-        within = within.select("region", "doc_id", "point", "text").repartition("region").sortWithinPartitions("region")
-        links = within.mapInArrow(_pairs(size, least, ["region"]), "doc_id long, other long")
-        if not some_large:
-            break
-        level += 1
-        if level == 1:
-            crowded = stored(members.join(large, "region").select("doc_id", "point", "text"), "crowded")
-            parts = _exact_point_regions(crowded, size, least)
-            members = stored(crowded.join(parts, F.col("point") == F.col("node")).select(
-                F.col("component").alias("region"), "doc_id", "point", "text"), "regions")
-            found = stored(links, "links")
-            continue
-        crossed = members.join(large.where(F.col("texts") <= middle), "region")
-        links = links.union(_part_pairs(crossed, size, least))
-        large = large.where(F.col("texts") > middle)
+        homes = now.where("home").groupBy("region").agg(
+            F.count("*").alias("texts"), F.max("parent").alias("parent"), F.min(F.xxhash64("point", F.lit(level))).alias("first"))
+        large = stored(homes.where((F.col("texts") > cell) & (F.col("parent").isNull() | (2 * F.col("texts") <= F.col("parent")))), "large")
         if large.isEmpty():
             break
-        measured = stored(_measured(members.join(large, "region"), size, least, pivots, level), "measured")
-        links = links.union(measured.where("close").select("doc_id", F.col("pivot").alias("other")))
-        found = stored(found.union(links), "links")
-        open_cells = stored(_next_regions(measured, components(found), 1 - float(least)), "open-regions")
-        stuck = stored(_stuck(open_cells, large), "stuck-regions")
-        found = stored(found.union(_part_pairs(members.join(stuck, "region"), size, least, LARGE_PART)), "links")
-        open_cells = open_cells.join(stuck.select(F.col("region").alias("parent")), "parent", "left_anti")
-        members = stored(open_cells.join(texts, "doc_id").select("region", "doc_id", "point", "text"), "regions")
-    return components(links if found is None else found.union(links))
-
-
-def _stuck(open_cells: DataFrame, large: DataFrame) -> DataFrame:
-    """The regions, with their number of texts, that pivots do not divide."""
-    cells = open_cells.groupBy("parent", "region").agg(F.count("*").alias("n"))
-    sums = cells.groupBy("parent").agg(F.max("n").alias("largest"), F.sum("n").alias("every"))
-    return sums.join(large.withColumnRenamed("region", "parent"), "parent").where(
-        "2 * largest > texts OR every > 2 * texts").select(F.col("parent").alias("region"), "texts")
-
-
-def _part_pairs(members: DataFrame, size: int, least: Fraction, part: int = PART) -> DataFrame:
-    """Links within regions that are dealt out as pairs of parts. Rows have the number of texts of their region."""
-    parts = F.ceil(F.col("texts") / part).cast("int")
-    own = F.pmod(F.xxhash64("point"), parts).cast("int").alias("own")
-    rows = members.select("region", "doc_id", "point", "text", own, F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
-    keys = ["region", "first", "second"]
-    dealt = rows.select("region", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"),
-                        "doc_id", "point", "text").repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(_pairs(size, least, keys), "doc_id long, other long")
-
-
-def _pairs(size: int, least: Fraction, keys: list[str]):
-    """Links within each group of rows with equal keys, reduced to one tree per connected set; a group is held whole."""
+        finished.append(now.join(large, "region", "left_anti").select("region", "point", "n", "home"))
+        level += 1
+        now = stored(_cells(now.drop("parent").join(large.drop("parent"), "region"), sets, least, level - 1), "cells")
+    for part in finished:
+        now = now.select("region", "point", "n", "home").union(part)
+    return _joined(now, sets, least, cell)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, sets in _groups(batches, size, keys):
-            if len(sets) < 2:
-                continue
-            first, second = [], []
-            for i, j in linked_pairs(sets, least):
-                first.append(i)
-                second.append(j)
-            root = roots(len(sets), first, second)
-            other = np.flatnonzero(root != np.arange(len(sets)))
-            if len(other):
-                yield pa.RecordBatch.from_arrays([pa.array(ids[other]), pa.array(ids[root[other]])], ["doc_id", "other"])
 
-    return run
+def _larger(members: DataFrame, most: int) -> DataFrame:
+    return members.groupBy("region").agg(F.count("*").alias("texts")).where(F.col("texts") > most).select("region")
 
 
-def linked_pairs(sets: list[np.ndarray], least: Fraction) -> Iterator[tuple[int, int]]:
-    """Places of the sets that link; each set is held against all later ones at once."""
-    lengths = np.array([len(x) for x in sets], np.int64)
-    edges = np.concatenate(([0], np.cumsum(lengths)))
-    distinct, codes = np.unique(np.concatenate(sets), return_inverse=True)
-    for i in range(len(sets) - 1):
-        mark = np.zeros(len(distinct), np.int64)
-        mark[codes[edges[i]:edges[i + 1]]] = 1
-        common = np.add.reduceat(mark[codes[edges[i + 1]:]], edges[i + 1:-1] - edges[i + 1])
-        for j in np.flatnonzero(links(common, lengths[i], lengths[i + 1:], least)).tolist():
-            yield i, i + 1 + j
+def _cells(rows: DataFrame, sets: DataFrame, least: Fraction, level: int) -> DataFrame:
+    """Home and window members of the Voronoi cells in each region. ``rows`` have region, point, n and home, with the number of
+    home members (``texts``) and the least of their hashes (``first``) of the region."""
+    hashed = F.xxhash64("point", F.lit(level))
+    pivots = F.least(F.ceil(F.col("texts") / EACH), F.lit(PIVOTS))
+    chosen = F.col("home") & ((F.abs(hashed % 1_000_000) / 1_000_000.0 < pivots / F.col("texts")) | (hashed == F.col("first")))
+    parts = F.ceil(F.col("texts") / MEASURED).cast("int")
+    rows = rows.withColumns({"is_pivot": chosen, "parts": parts}).join(sets, "point")
+    own = rows.withColumns({"part": F.pmod(F.xxhash64("point"), F.col("parts")).cast("int"), "role": F.lit(1)})
+    copies = rows.where("is_pivot").withColumns({"part": F.explode(F.sequence(F.lit(0), F.col("parts") - 1)), "role": F.lit(0)})
+    columns = ["region", "part", "role", "point", "n", "home", "texts", "shingles"]
+    dealt = copies.select(columns).union(own.select(columns)).repartition("region", "part").sortWithinPartitions(
+        "region", "part", "role", "point")
+    schema = "region long, point long, n int, home boolean, texts long, pivot long, nearest long, distance double"
+    measured = stored(dealt.mapInArrow(_distances(least), schema), "measured")
+    is_home = F.expr("home AND pivot = nearest")
+    cells = measured.where(is_home).groupBy("region", "pivot").agg(
+        F.max("distance").alias("reach"), F.min("n").alias("low"), F.max("n").alias("high"))
+    up, down = least.numerator, least.denominator
+    like = F.expr(f"n * {down} >= low * {up} AND n * {up} <= high * {down}")
+    window = F.expr("NOT home OR pivot < nearest") & (F.col("distance") <= F.col("reach") + float(1 - least) + 1e-9) & like
+    return measured.join(stored(cells, "cell-reach"), ["region", "pivot"]).where(is_home | window).select(
+        F.xxhash64("region", "pivot").alias("region"), "point", "n", is_home.alias("home"), F.col("texts").alias("parent"))
+
+
+class Index:
+    """Sets to measure others against: their shingles in order, with the places of the sets that have them."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.lengths = np.array([len(x) for x in sets], np.int64)
+        owner = np.repeat(np.arange(len(sets)), self.lengths)
+        every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        order = np.argsort(every, kind="stable")
+        self.every, self.owner = every[order], owner[order]
+
+    def common(self, values: np.ndarray) -> np.ndarray:
+        """Number of shingles that each set shares with ``values``."""
+        left, right = np.searchsorted(self.every, values), np.searchsorted(self.every, values, "right")
+        spans = right - left
+        hits = np.repeat(left - np.cumsum(spans) + spans, spans) + np.arange(spans.sum())
+        return np.bincount(self.owner[hits], minlength=len(self.lengths))
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[bool, pa.RecordBatch]]:
+    """Slices of rows with equal keys, and whether a slice begins a new run of them."""
+    last = None
+    for batch in tokens.pieces(batches, "shingles"):
+        values = np.stack([batch.column(key).to_numpy(zero_copy_only=False).astype(np.int64) for key in keys])
+        edges = np.flatnonzero(np.concatenate(([True], (values[:, 1:] != values[:, :-1]).any(axis=0)))).tolist()
+        for first, end in zip(edges, [*edges[1:], batch.num_rows], strict=True):
+            key = tuple(values[:, first].tolist())
+            yield key != last, batch.slice(first, end - first)
+            last = key
+
+
+def _distances(least: Fraction):
+    """Rows of texts and the pivots at most two radii farther away than the nearest. Each run of rows has its pivots first."""
+    reach = 2 * float(1 - least) + 1e-9
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, sets, index = [], [], None
+        for is_new, rows in _runs(batches, ["region", "part"]):
+            if is_new:
+                names, sets, index = [], [], None
+            out = []
+            points, roles = rows.column("point").to_numpy(), rows.column("role").to_pylist()
+            for at, (role, shingles) in enumerate(zip(roles, rows.column("shingles").to_pylist(), strict=True)):
+                values = values_of(shingles)
+                if role == 0:
+                    names.append(points[at])
+                    sets.append(values)
+                    continue
+                index = index or Index(sets)
+                common = index.common(values)
+                distance = 1 - common / (index.lengths + len(values) - common)
+                # Of equally near pivots one by hash, so that ties do not crowd one cell.
+                near = np.flatnonzero(distance == distance.min())
+                nearest = near[int(tokens.mix(points[at:at + 1].view(np.uint64))[0] % np.uint64(len(near)))]
+                kept = np.flatnonzero(distance <= distance[nearest] + reach)
+                out.append((at, kept, distance[kept], names[nearest]))
+            if out:
+                count = [len(kept) for _, kept, _, _ in out]
+                place = np.repeat([at for at, *_ in out], count)
+                whole = rows.select(["region", "point", "n", "home", "texts"]).take(pa.array(place))
+                yield pa.RecordBatch.from_arrays([
+                    *whole.columns, pa.array(np.array(names, np.int64)[np.concatenate([kept for _, kept, _, _ in out])]),
+                    pa.array(np.repeat(np.array([name for *_, name in out], np.int64), count)),
+                    pa.array(np.concatenate([distance for _, _, distance, _ in out]))],
+                    ["region", "point", "n", "home", "texts", "pivot", "nearest", "distance"])
 
-def links(common, n, m, least: Fraction):
-    return common * least.denominator >= least.numerator * (n + m - common)
+    return run
 
 
-def _groups(batches: Iterator[pa.RecordBatch], size: int, keys: list[str]) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
-    """Ids and sets of each run of rows with equal keys. Rows whose text is not that of their point are repeated ids
-    of other texts; equal points come once."""
-    now, ids, sets, seen = None, [], [], set()
-    for batch in tokens.pieces(batches):
-        marks = list(zip(*(batch.column(key).to_pylist() for key in keys), strict=True))
-        found = tokens.shingle_sets(tokens.words(batch.column("text")), size)
-        rows = zip(marks, batch.column("doc_id").to_pylist(), batch.column("point").to_pylist(), found, strict=True)
-        for mark, key, point, values in rows:
-            if mark != now:
-                if sets:
-                    yield np.array(ids, np.int64), sets
-                now, ids, sets, seen = mark, [], [], set()
-            if point not in seen and point == point_of(values):
-                seen.add(point)
-                ids.append(key)
-                sets.append(values)
-    if sets:
-        yield np.array(ids, np.int64), sets
-
-
-def _measured(members: DataFrame, size: int, least: Fraction, pivots: int, level: int) -> DataFrame:
-    """Rows of texts and the pivots of their region at most two radii away, and rows without pivot for the texts
-    outside all cells. ``close`` tells whether the distance is within the radius, ``home`` whether the pivot is the
-    nearest one of those."""
-    chance = F.abs(F.xxhash64("point", F.lit(level)) % 1_000_000) / 1_000_000.0
-    parts = F.ceil(F.col("texts") / 128).cast("int")
-    rows = members.withColumns({"parts": parts, "is_pivot": chance < pivots / F.col("texts")})
-    own = rows.withColumns({"part": F.pmod(F.xxhash64("point"), F.col("parts")).cast("int"), "role": F.lit(1)})
-    copies = rows.where("is_pivot").withColumns({
-        "part": F.explode(F.sequence(F.lit(0), F.col("parts") - 1)), "role": F.lit(0)})
-    columns = ["region", "part", "role", "doc_id", "point", "text"]
-    dealt = copies.select(columns).union(own.select(columns)).repartition("region", "part")
-    schema = "region long, doc_id long, pivot long, distance double, home boolean, close boolean"
-    return dealt.sortWithinPartitions("region", "part", "role", "point").mapInArrow(_distances(size, least), schema)
+def _joined(rows: DataFrame, sets: DataFrame, least: Fraction, cell: int) -> DataFrame:
+    """Links in cells. One with more than ``cell`` home members is dealt by hash among copies of its pivot: home members of a copy
+    are window members of the copies before it, and windows are those of all copies."""
+    sizes = rows.groupBy("region").agg(F.count_if("home").alias("texts"), F.count("*").alias("every")).where("every > 1 AND texts > 0")
+    copies = F.ceil(F.col("texts") / cell).cast("int")
+    own = F.pmod(F.xxhash64("point"), copies.cast("long")).cast("int")
+    rows = rows.join(stored(sizes, "cell-sizes"), "region").withColumns({"copies": copies, "own": own})
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(0), F.when(F.col("home"), F.col("own")).otherwise(F.col("copies") - 1))))
+    rows = rows.select("region", "copy", (F.expr("home AND copy = own")).alias("home"), "point").join(sets, "point")
+    keys = ["region", "copy"]
+    dealt = rows.repartition(*keys).sortWithinPartitions(*keys, F.desc("home"), "point")
+    return dealt.mapInArrow(_pairs(least), "point long, other long")
 
 
-def _distances(size: int, least: Fraction):
-    radius = 1 - float(least)
-    schema = pa.schema([("region", pa.int64()), ("doc_id", pa.int64()), ("pivot", pa.int64()),
-                        ("distance", pa.float64()), ("home", pa.bool_()), ("close", pa.bool_())])
+def _pairs(least: Fraction):
+    """Links of home members with each other and with the window members that come after them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, names, sets, stale = None, [], [], True
-        for batch in tokens.pieces(batches):
-            out = []
-            found = tokens.shingle_sets(tokens.words(batch.column("text")), size)
-            columns = [batch.column(name).to_pylist() for name in ("region", "part", "role", "doc_id")]
-            for region, part, role, key, values in zip(*columns, found, strict=True):
-                if (region, part) != now:
-                    now, names, sets, stale = (region, part), [], [], True
-                if role == 0:
-                    names.append(key)
+        names: list[int] = []
+        sets: list[np.ndarray] = []
+        found: list[tuple[int, int]] = []  # places of home members that link
+        index = None
+
+        def tree() -> Iterator[pa.RecordBatch]:
+            root = roots(len(names), [a for a, _ in found], [b for _, b in found])
+            other = np.flatnonzero(root != np.arange(len(names)))
+            if len(other):
+                points = np.array(names, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(points[other]), pa.array(points[root[other]])], ["point", "other"])
+
+        for is_new, rows in _runs(batches, ["region", "copy"]):
+            if is_new:
+                index = index or Index(sets)
+                found += _within(index, sets, least)
+                yield from tree()
+                names, sets, found, index = [], [], [], None
+            outside = []
+            for point, is_home, shingles in zip(*(rows.column(x).to_pylist() for x in ("point", "home", "shingles")), strict=True):
+                values = values_of(shingles)
+                if is_home:
+                    names.append(point)
                     sets.append(values)
                     continue
-                if stale:
-                    lengths = np.array([len(x) for x in sets], np.int64)
-                    owner = np.repeat(np.arange(len(sets)), lengths)
-                    every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-                    order = np.argsort(every)
-                    every, owner, stale = every[order], owner[order], False
-                left, right = np.searchsorted(every, values), np.searchsorted(every, values, "right")
-                spans = right - left
-                hits = np.repeat(left - np.cumsum(spans) + spans, spans) + np.arange(spans.sum())
-                common = np.bincount(owner[hits], minlength=len(sets)) if len(sets) else np.zeros(0, np.int64)
-                joined = lengths + len(values) - common
-                distance = 1 - common / np.maximum(joined, 1)
-                near = links(common, len(values), lengths, least)
-                nearest = int(np.argmin(distance)) if len(sets) else -1
-                home = nearest if nearest >= 0 and near[nearest] else -1
-                for q in np.flatnonzero(distance <= 2 * radius + 1e-9).tolist():
-                    out.append((region, key, names[q], float(distance[q]), q == home, bool(near[q])))
-                if home < 0:
-                    out.append((region, key, None, None, False, False))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+                index = index or Index(sets)
+                near = np.flatnonzero(links(index.common(values), len(values), index.lengths, least))
+                if len(near):
+                    outside.append((point, names[near[0]]))
+                    found += [(int(near[0]), int(at)) for at in near[1:]]
+                    if len(found) > HELD:
+                        root = roots(len(names), [a for a, _ in found], [b for _, b in found])
+                        found = [(at, int(root[at])) for at in np.flatnonzero(root != np.arange(len(names))).tolist()]
+            if outside:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*outside, strict=True)], ["point", "other"])
+        index = index or Index(sets)
+        found += _within(index, sets, least)
+        yield from tree()
 
     return run
 
 
-def _next_regions(measured: DataFrame, labels: DataFrame, radius: float) -> DataFrame:
-    """Cells with their windows, and the texts outside all cells, where a link could still connect something. In a cell
-    a text of the pivot's own component stays only if one of another component is near enough."""
-    names = stored(labels, "labels")
-    rows = measured.join(names.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-        "label", F.coalesce("component", "doc_id")).drop("component")
-    heads = names.withColumnsRenamed({"node": "pivot", "component": "pivot_label"})
-    rows = stored(rows.join(heads, "pivot", "left").withColumn("pivot_label", F.coalesce("pivot_label", "pivot")), "labelled")
-    outside = rows.where("pivot IS NULL").select(
-        F.col("region").alias("parent"), F.xxhash64("region", F.lit(-1)).alias("region"), "doc_id")
-    cells = rows.where("pivot IS NOT NULL AND (home OR label <> pivot_label)").withColumn("cell", F.xxhash64("region", "pivot"))
-    others = cells.where("label <> pivot_label").groupBy("cell").agg(F.min("distance").alias("nearest_other"))
-    open_cells = cells.join(stored(others, "open-cells"), "cell").where(
-        F.expr("label <> pivot_label") | (F.col("distance") >= F.col("nearest_other") - radius - 1e-9))
-    return outside.union(open_cells.select(F.col("region").alias("parent"), F.col("cell").alias("region"), "doc_id"))
+def _within(index: Index, sets: list[np.ndarray], least: Fraction) -> Iterator[tuple[int, int]]:
+    """Places of the indexed sets that link with each other."""
+    for at, values in enumerate(sets[:-1]):
+        near = links(index.common(values)[at + 1:], len(values), index.lengths[at + 1:], least)
+        yield from ((at, at + 1 + other) for other in np.flatnonzero(near).tolist())

@@ -35,11 +35,12 @@ def all_pairs(rows):
     return {(key, len(sets[i]), least[root(i)] if sets[i] else key) for i, (key, _) in enumerate(rows)}
 
 
-@pytest.mark.parametrize(("small", "middle"), [(8, 8), (4, 10**6), (10**6, 10**6)])
-def test_equals_all_pairs(spark, near_copies, monkeypatch, small, middle):
-    monkeypatch.setattr(jaccard, "PART", 5)
+@pytest.mark.parametrize(("cell", "each"), [(8, 3), (3, 2), (20, 8), (10**6, 32)])
+def test_equals_all_pairs(spark, near_copies, monkeypatch, cell, each):
+    """Small cells make several levels of them."""
+    monkeypatch.setattr(jaccard, "EACH", each)
     docs = spark.createDataFrame(near_copies, SCHEMA).repartition(3).withColumns({"point": F.lit(1), "region": F.lit("x")})
-    found = jaccard.join(docs, "doc_id", "text", small=small, middle=middle, pivots=3).collect()
+    found = jaccard.join(docs, "doc_id", "text", cell=cell).collect()
     assert {tuple(row) for row in found} == all_pairs(near_copies)
     assert len(found) == len(near_copies)
 
@@ -51,8 +52,18 @@ def test_empty_and_rows_without_id(spark):
     assert sorted((str(row.doc_id), row.component_id) for row in found if row.n_shingles == 2) == [("4", 4), ("4", 4), ("None", 4)]
 
 
+def test_near_copies_without_id_link(spark):
+    """A row without id is a near copy of 7 and 9 and ties them; two others without id have nobody with one."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(9, " ".join(words[:52])), (None, " ".join(words[4:56])), (7, " ".join(words[8:60])), (None, "x y z x y z"), (None, "x y z x y z"), (3, "")]
+    found = jaccard.join(spark.createDataFrame(rows, SCHEMA), "doc_id", "text").collect()
+    assert sorted((str(row.doc_id), str(row.component_id)) for row in found) == [
+        ("3", "3"), ("7", "7"), ("9", "7"), ("None", "7"), ("None", "None"), ("None", "None")]
+    assert not jaccard.links(len(set(zip(*(words[i:52] for i in range(5)))) & set(zip(*(words[8 + i:60] for i in range(5))))), 48, 48, jaccard.LEAST)
+
+
 def test_one_of_each(spark):
-    rows = [(2, "a b c d e f", 1), (1, "A b c d e f", 2), (3, "other", 3), (3, "other", 3), (None, "x", 4), (5, None, 5)]
+    rows = [(2, "a b c d e f", 1), (1, "A b c d e f", 2), (3, "other", 3), (3, "other two", 8), (None, "x", 4), (5, None, 5)]
     kept = jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, _kept int"), "doc_id", "text")
     assert sorted((str(row.doc_id), row._kept) for row in kept.collect()) == [("1", 2), ("3", 3), ("5", 5), ("None", 4)]
 

@@ -1,27 +1,68 @@
-"""A region above MIDDLE whose texts pivots do not divide is joined whole, in one level."""
+"""Regions of many edited copies are divided by pivots, level by level, with the default parameters."""
 
 import random
 from fractions import Fraction
 
-import numpy as np
 import pyarrow as pa
+import pytest
 
 from ledgerlake.llm import jaccard, tokens
 
 
-def test_many_edited_copies(spark, monkeypatch):
-    dice = random.Random(4)
+def edited(dice, count, sizes):
+    """Copies of one text, most of them between one and two radii apart."""
     texts = []
-    for _ in range(jaccard.MIDDLE + 900):
+    for _ in range(count):
         words = [f"w{i}" for i in range(100)]
-        for at in dice.sample(range(100), dice.choice([3, 4, 5])):
-            words[at] = "other"
+        for at in dice.sample(range(100), dice.choice(sizes)):
+            words[at] = f"other{dice.randrange(50)}"
         texts.append(" ".join(words))
-    levels, regions = [], jaccard._measured
-    monkeypatch.setattr(jaccard, "_measured", lambda *a: levels.append(a[-1]) or regions(*a))
-    found = jaccard.join(spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(4), "id", "text").collect()
+    return texts
+
+
+@pytest.fixture
+def levels(monkeypatch):
+    """Numbers of home members per region of each level, and of the cells joined in the end."""
+    seen, divide, join = [], jaccard._cells, jaccard._joined
+
+    def homes(rows):
+        return sorted((row["count"] for row in rows.where("home").groupBy("region").count().collect()), reverse=True)
+
+    def cells(rows, *rest):
+        seen.append(homes(rows))
+        return divide(rows, *rest)
+
+    def joined(rows, *rest):
+        seen.append(homes(rows))
+        return join(rows, *rest)
+
+    monkeypatch.setattr(jaccard, "_cells", cells)
+    monkeypatch.setattr(jaccard, "_joined", joined)
+    return seen
+
+
+def components_of(texts):
     sets = tokens.shingle_sets(tokens.words(pa.array(texts)), jaccard.SIZE)
-    first, second = zip(*jaccard.linked_pairs(sets, Fraction(3, 4)), strict=True)
-    want = jaccard.roots(len(texts), list(first), list(second))
-    assert [row.component_id for row in sorted(found, key=lambda row: row.doc_id)] == np.asarray(want).tolist()
-    assert len(levels) == 1
+    index = jaccard.Index(sets)
+    first, second = zip(*jaccard._within(index, sets, Fraction(3, 4)), strict=True)
+    return jaccard.roots(len(texts), list(first), list(second)).tolist()
+
+
+def joined(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(4)
+    return [row.component_id for row in sorted(jaccard.join(frame, "id", "text").collect(), key=lambda row: row.doc_id)]
+
+
+def test_many_edited_copies(spark, levels):
+    texts = edited(random.Random(4), 2600, [2, 3, 4, 5])
+    assert joined(spark, texts) == components_of(texts)
+    assert levels[0][0] > 2000 and len(levels) >= 2  # one region, divided by pivots
+    assert levels[-1][0] <= levels[0][0] / 4  # into far smaller cells
+
+
+def test_copies_at_equal_distances(spark, levels):
+    """All texts share a core and nothing else: every distance is the same, and ties are dealt by hash."""
+    core = " ".join(f"core{i}" for i in range(80))
+    texts = [core + " " + " ".join(f"own{n}x{i}" for i in range(16)) for n in range(700)]
+    assert joined(spark, texts) == components_of(texts + [texts[0]])[:-1]
+    assert levels[0] == [700] and levels[-1][0] <= 350
