@@ -21,6 +21,11 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
+def small(table: DataFrame, rows: int = 500_000) -> DataFrame:
+    """A stored table of a few numbers per row, marked for broadcast if it has at most that many rows."""
+    return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
+
+
 def components(links: DataFrame) -> DataFrame:
     """Columns ``node`` and ``component``, the smallest node that links reach, for each node that a
     link ties to another one.

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import tokens
-from ledgerlake.llm.components import components, stored
+from ledgerlake.llm.components import components, small, stored
 
 SIZE = 5
 LEAST = Fraction(3, 4)
@@ -72,11 +72,13 @@ def join(docs: DataFrame, id_column: str, text: str, size: int = SIZE, least: Fr
 
     frequent = sets.where("count IS NOT NULL").select("point", "count")
     regions = _point_regions(rows, frequent, size, least)
-    wanted = regions.join(points, F.col("node") == F.col("point")).select(
-        F.col("point"), F.col("component").alias("region"), F.col("doc_id").alias("of"), F.col("hash").alias("own"))
-    found = rows.join(wanted, F.expr("hash = own AND doc_id <=> of")).select("region", "point", "text")
-    members = stored(found.dropDuplicates(["point"]).mapInArrow(_sets(size), MEMBER), "members")
-    links = components(_links(members, least, cell))
+    members = stored(regions.join(points, F.col("node") == F.col("point")).select(
+        F.col("component").alias("region"), "point", F.col("doc_id").alias("of"), F.col("hash").alias("own")), "members")
+    found = rows.join(small(members.drop("region")), F.expr("hash = own AND doc_id <=> of")).select("point", "text")
+    if not texts.where("n > 0").groupBy("point", "doc_id", "hash").count().where("count > 1").isEmpty():
+        found = found.dropDuplicates(["point"])  # rows that repeat both id and text
+    found = stored(found.mapInArrow(_sets(size), "point long, n int, shingles binary"), "member-sets")
+    links = components(_links(members.select("region", "point"), found, least, cell))
 
     linked = points.join(links, F.col("point") == F.col("node"), "left").select(
         "point", "doc_id", F.coalesce("component", "point").alias("component"))
@@ -98,18 +100,15 @@ def one_of_each(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     return kept.union(docs.where(F.col(id_column).isNull()))
 
 
-MEMBER = "region long, point long, n int, shingles binary"
-
-
 def _sets(size: int):
-    """Rows of region, point and text as ``MEMBER``."""
+    """Rows of point and text as rows of point, number of shingles and these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tokens.pieces(batches):
             sets = tokens.shingle_sets(tokens.words(batch.column("text")), size)
             yield pa.RecordBatch.from_arrays([
-                batch.column("region"), batch.column("point"), pa.array([len(x) for x in sets], pa.int32()),
-                pa.array([x.tobytes() for x in sets], pa.binary())], ["region", "point", "n", "shingles"])
+                batch.column("point"), pa.array([len(x) for x in sets], pa.int32()),
+                pa.array([x.tobytes() for x in sets], pa.binary())], ["point", "n", "shingles"])
 
     return run
 
@@ -131,8 +130,8 @@ def _point_regions(rows: DataFrame, frequent: DataFrame, size: int, least: Fract
     return components(near)
 
 
-def _exact_point_regions(members: DataFrame, least: Fraction) -> DataFrame:
-    """As ``_point_regions``, for rows as ``MEMBER``, with the order of shingles by their exact counts. Shingles of
+def _exact_point_regions(sets: DataFrame, least: Fraction) -> DataFrame:
+    """As ``_point_regions``, for rows of point, n and shingles, with the order of shingles by their exact counts. Shingles of
     one text alone come first and connect nothing, so only the others are ordered."""
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,7 +142,7 @@ def _exact_point_regions(members: DataFrame, least: Fraction) -> DataFrame:
                 pa.array(every), pa.array(np.repeat(batch.column("point").to_numpy(), n)), pa.array(np.repeat(n, n))],
                 ["pivot", "point", "n"])
 
-    met = members.select("point", "n", "shingles").mapInArrow(listed, "pivot long, point long, n int")
+    met = sets.mapInArrow(listed, "pivot long, point long, n int")
     counts = met.groupBy("pivot").agg(F.count("*").alias("count")).where("count > 1")  # tasks count first
     reach = F.expr(f"n - (n * {least.numerator} + {least.denominator - 1}) div {least.denominator} + 1").cast("int")
     shared = met.join(stored(counts, "shared-shingles"), "pivot")
@@ -351,17 +350,18 @@ def links(common, n, m, least: Fraction):
     return common * least.denominator >= least.numerator * (n + m - common)
 
 
-def _links(members: DataFrame, least: Fraction, cell: int) -> DataFrame:
-    """Links within the regions of ``members``, rows as ``MEMBER``; of each connected set of a cell one tree."""
-    crowded = members.join(_larger(members, cell), "region", "left_semi")
+def _links(members: DataFrame, sets: DataFrame, least: Fraction, cell: int) -> DataFrame:
+    """Links within the regions of ``members``, rows of region and point; ``sets`` has point, n and shingles. Of each
+    connected set of a cell one tree. Rows of a few numbers move; sets are only joined where they are compared."""
+    sizes = members.groupBy("region").agg(F.count("*").alias("texts"))
+    crowded = stored(sizes.where(F.col("texts") > cell).select("region"), "crowded-regions")
     if not crowded.isEmpty():
-        parts = _exact_point_regions(crowded, least)
-        others = members.join(_larger(members, cell), "region", "left_anti")
-        divided = crowded.drop("region").join(parts, F.col("point") == F.col("node")).withColumnRenamed("component", "region")
-        members = stored(others.select("region", "point", "n", "shingles").union(
-            divided.select("region", "point", "n", "shingles")), "divided")
-    sets = members.select("point", "shingles")
-    now = members.select("region", "point", "n", F.lit(True).alias("home"), F.lit(None).cast("long").alias("parent"))
+        inside = stored(members.join(small(crowded), "region").select("point"), "crowded")
+        parts = _exact_point_regions(sets.join(small(inside), "point", "left_semi"), least)
+        others = members.join(small(crowded), "region", "left_anti").select("region", "point")
+        members = others.union(parts.select(F.col("component").alias("region"), F.col("node").alias("point")))
+    now = members.select("region", "point", F.lit(True).alias("home"), F.lit(None).cast("long").alias("parent"))
+    now = stored(now, "first-regions")
     finished, level = [], 0
     while True:
         homes = now.where("home").groupBy("region").agg(
@@ -369,26 +369,23 @@ def _links(members: DataFrame, least: Fraction, cell: int) -> DataFrame:
         large = stored(homes.where((F.col("texts") > cell) & (F.col("parent").isNull() | (2 * F.col("texts") <= F.col("parent")))), "large")
         if large.isEmpty():
             break
-        finished.append(now.join(large, "region", "left_anti").select("region", "point", "n", "home"))
+        finished.append(now.join(small(large), "region", "left_anti").select("region", "point", "home"))
         level += 1
-        now = stored(_cells(now.drop("parent").join(large.drop("parent"), "region"), sets, least, level - 1), "cells")
+        now = stored(_cells(now.drop("parent").join(small(large.drop("parent")), "region"), sets, least, level - 1), "cells")
     for part in finished:
-        now = now.select("region", "point", "n", "home").union(part)
+        now = now.select("region", "point", "home").union(part)
     return _joined(now, sets, least, cell)
 
 
-def _larger(members: DataFrame, most: int) -> DataFrame:
-    return members.groupBy("region").agg(F.count("*").alias("texts")).where(F.col("texts") > most).select("region")
-
-
 def _cells(rows: DataFrame, sets: DataFrame, least: Fraction, level: int) -> DataFrame:
-    """Home and window members of the Voronoi cells in each region. ``rows`` have region, point, n and home, with the number of
+    """Home and window members of the Voronoi cells in each region. ``rows`` have region, point and home, with the number of
     home members (``texts``) and the least of their hashes (``first``) of the region."""
     hashed = F.xxhash64("point", F.lit(level))
     pivots = F.least(F.ceil(F.col("texts") / EACH), F.lit(PIVOTS))
     chosen = F.col("home") & ((F.abs(hashed % 1_000_000) / 1_000_000.0 < pivots / F.col("texts")) | (hashed == F.col("first")))
     parts = F.ceil(F.col("texts") / MEASURED).cast("int")
-    rows = rows.withColumns({"is_pivot": chosen, "parts": parts}).join(sets, "point")
+    rows = stored(rows.withColumns({"is_pivot": chosen, "parts": parts}), "measuring")
+    rows = sets.join(small(rows), "point")
     own = rows.withColumns({"part": F.pmod(F.xxhash64("point"), F.col("parts")).cast("int"), "role": F.lit(1)})
     copies = rows.where("is_pivot").withColumns({"part": F.explode(F.sequence(F.lit(0), F.col("parts") - 1)), "role": F.lit(0)})
     columns = ["region", "part", "role", "point", "n", "home", "texts", "shingles"]
@@ -403,7 +400,7 @@ def _cells(rows: DataFrame, sets: DataFrame, least: Fraction, level: int) -> Dat
     like = F.expr(f"n * {down} >= low * {up} AND n * {up} <= high * {down}")
     window = F.expr("NOT home OR pivot < nearest") & (F.col("distance") <= F.col("reach") + float(1 - least) + 1e-9) & like
     return measured.join(stored(cells, "cell-reach"), ["region", "pivot"]).where(is_home | window).select(
-        F.xxhash64("region", "pivot").alias("region"), "point", "n", is_home.alias("home"), F.col("texts").alias("parent"))
+        F.xxhash64("region", "pivot").alias("region"), "point", is_home.alias("home"), F.col("texts").alias("parent"))
 
 
 class Index:
@@ -482,9 +479,10 @@ def _joined(rows: DataFrame, sets: DataFrame, least: Fraction, cell: int) -> Dat
     own = F.pmod(F.xxhash64("point"), copies.cast("long")).cast("int")
     rows = rows.join(stored(sizes, "cell-sizes"), "region").withColumns({"copies": copies, "own": own})
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(0), F.when(F.col("home"), F.col("own")).otherwise(F.col("copies") - 1))))
-    rows = rows.select("region", "copy", (F.expr("home AND copy = own")).alias("home"), "point").join(sets, "point")
+    rows = stored(rows.select("region", "copy", (F.expr("home AND copy = own")).alias("home"), "point"), "cell-members")
+    rows = sets.join(small(rows), "point")
     keys = ["region", "copy"]
-    dealt = rows.repartition(*keys).sortWithinPartitions(*keys, F.desc("home"), "point")
+    dealt = rows.select(*keys, "home", "point", "shingles").repartition(*keys).sortWithinPartitions(*keys, F.desc("home"), "point")
     return dealt.mapInArrow(_pairs(least), "point long, other long")
 
 
