@@ -6,10 +6,14 @@ Distance is 1 - |x n y| / |x u y|; two texts link when it is at most the radius
 2. Point pivots. Sets of one shingle are points of the space as well, and only the texts that hold the shingle are
    nearer to such a pivot than 1. Pivots are ordered, rare shingles first; a text lies in the region of its first pivot
    and is replicated to those of the next ones as long as a neighbour within the radius could have its first common
-   pivot there: with n shingles, the first n - ceil((1 - radius) * n) + 1. Within a region only texts of like size can
-   link. Regions are summarised before the shuffle by intervals of sizes; overlapping intervals connect, and the
-   connected texts are the first regions. Most texts are alone in theirs. (Texts as pivots cannot begin: nearly all
-   distances between texts are 1, so no text is nearer to one of them than to another.)
+   pivot there: with n shingles, the first n - ceil((1 - radius) * n) + 1, since a neighbour lacks fewer of them. Pivots are
+   ordered by how common they are in steps of eight, and by hash within a step. The hash is random, so the first ones of
+   a step are all among those that the neighbour lacks with a probability that falls with their number, and ``_reach``
+   stops where it is below 2 to the power of -``BITS`` (as rare as two shingles with one hash): after 32 pivots if all
+   are of one step. Within a region only texts of like size can link. Regions are summarised before the shuffle by
+   intervals of sizes; overlapping intervals connect, and the connected texts are the first regions. Most texts are alone
+   in theirs. (Texts as pivots cannot begin: nearly all distances between texts are 1, so no text is nearer to one of them
+   than to another.)
    Regions of more than ``CELL`` texts are divided once more in this way, by exact counts of all their shingles, so that
    texts which only share a few shingles part.
 3. Text pivots, on every region of more than ``CELL`` texts. One text in ``EACH`` becomes a pivot, by hash, ``PIVOTS`` at
@@ -34,6 +38,7 @@ a 64-bit sum of these.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -52,6 +57,8 @@ CELL = 96
 EACH = 32
 PIVOTS = 256
 MEASURED = 256  # texts that one task measures
+BITS = 64
+STEP = 3  # shingles with 8 occurrences and more are common, in steps of 2 to this power
 COMMON = 1 << 20
 COMMON_OF_TASK = 1 << 18
 COUNTED = 1 << 22  # shingles that a task counts at a time
@@ -119,7 +126,7 @@ def values_of(shingles: bytes) -> np.ndarray:
 
 def _point_regions(rows: DataFrame, frequent: DataFrame, size: int, least: Fraction) -> DataFrame:
     """Columns ``node``, a point, and ``component``, its region, for the points that are not alone in theirs."""
-    total = frequent.groupBy("point").agg(F.sum("count").alias("count")).where("count > 1")
+    total = frequent.groupBy("point").agg(F.sum("count").alias("count")).where(F.col("count") >= 1 << STEP)
     common = total.orderBy(F.desc("count"), "point").limit(COMMON).toArrow()
     shingle = common.column("point").to_numpy().view(np.uint64)
     order = np.argsort(shingle)
@@ -237,13 +244,15 @@ def _prefixes(size: int, least: Fraction, ranks):
                 if not n or (point := point_of(values)) in seen:
                     continue
                 seen.add(point)
-                reach = n - (n * least.numerator + least.denominator - 1) // least.denominator + 1
-                at = np.minimum(np.searchsorted(common, values), max(len(common) - 1, 0))
-                known = common[at] == values if len(common) else np.zeros(n, bool)
-                if known.any():
-                    # Common shingles come last, by count and then by hash, as in the order of all texts.
-                    order = np.lexsort((values, np.where(known, counts[at], 0) if len(common) else values))
-                    values = values[order]
+                steps = np.zeros(n, np.int64)
+                if len(common):
+                    at = np.minimum(np.searchsorted(common, values), len(common) - 1)
+                    known = common[at] == values
+                    steps[known] = np.log2(counts[at[known]]).astype(np.int64) // STEP
+                if steps.any():
+                    # Common shingles come last, as in the order of all texts.
+                    values = values[np.lexsort((values, steps))]
+                reach = _reach(n, np.bincount(steps), least)
                 held.append((values[:reach], point, n))
                 total += reach
                 if total > HELD:
@@ -257,6 +266,23 @@ def _prefixes(size: int, least: Fraction, ranks):
     return run
 
 
+def _reach(n: int, steps: np.ndarray, least: Fraction) -> int:
+    """Number of first pivots of a set of ``n`` shingles among which one of any neighbour is; ``steps`` has the number of
+    shingles by step."""
+    lacking = n - (n * least.numerator + least.denominator - 1) // least.denominator  # at most, in a neighbour
+    before = 0
+    for size in steps.tolist():
+        if before > lacking:
+            break
+        left = lacking - before
+        if left < size:
+            # The chance that the first k of the step are all lacking is at most (left / size) ** k.
+            more = 1 if left == 0 else math.ceil(BITS / math.log2(size / left))
+            return min(lacking + 1, before + more)
+        before += size
+    return min(n, lacking + 1)
+
+
 def _combined(held: list[tuple[np.ndarray, int, int]], least: Fraction) -> Iterator[pa.RecordBatch]:
     reach = [len(values) for values, _, _ in held]
     pivot = np.concatenate([values for values, _, _ in held]).view(np.int64)

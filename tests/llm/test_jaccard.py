@@ -1,5 +1,6 @@
 """The Jaccard join against all pairs."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,3 +73,26 @@ def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (300, 200), (200, 300)]
     found = {row.node: row.component for row in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 130), 100), 200: 200, 300: 200}
+
+
+def test_first_pivots_of_neighbours_meet():
+    """Texts at the threshold, with differences wherever they hurt most, share one of their first pivots."""
+    dice = np.random.default_rng(3)
+    shortest = 10**6
+    for trial in range(600):
+        n = int(dice.choice([1, 3, 4, 8, 40, 120, 400, 3000]))
+        shared = -(-6 * n // 7)
+        values = dice.integers(0, 2**63, 2 * n - shared).astype(np.uint64)
+        step = {int(v): int(s) for v, s in zip(values, dice.integers(0, 1 + trial % 4, len(values)), strict=True)}
+        if trial % 2:  # the shared shingles are the common ones
+            step |= {int(v): 3 for v in values[:shared]}
+        firsts = []
+        for own in (values[:n], np.concatenate((values[:shared], values[n:]))):
+            ordered = sorted((step[int(v)], int(v)) for v in own)
+            reach = jaccard._reach(n, np.bincount([s for s, _ in ordered]), jaccard.LEAST)
+            assert 1 <= reach <= n - -(-3 * n // 4) + 1
+            if n == 3000 and trial % 4 == 0:
+                shortest = min(shortest, reach)
+            firsts.append({v for _, v in ordered[:reach]})
+        assert jaccard.links(shared, n, n, jaccard.LEAST) and firsts[0] & firsts[1]
+    assert shortest <= 34
