@@ -61,8 +61,8 @@ BITS = 64
 STEP = 3  # shingles with 8 occurrences and more are common, in steps of 2 to this power
 COMMON = 1 << 20
 COMMON_OF_TASK = 1 << 18
-COUNTED = 1 << 22  # shingles that a task counts at a time
-HELD = 1 << 20  # prefix entries that a task combines at a time
+COUNTED = 1 << 21  # shingles that a task counts at a time
+HELD = 1 << 18  # entries of pivots that a task combines at a time
 _SEED = np.uint64(0xA5A5_1234_77F0_0D01)
 
 
