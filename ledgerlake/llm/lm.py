@@ -2,9 +2,10 @@
 
 Tokens are hashed words and one end per text. A token's probability is that of its class in its context times that of
 the token in its class. Classes are the most frequent words, each alone, the end, and groups of the other words by their
-last two bytes, which also place unknown words. The class has a softmax over hashed features of the context: the word
-before, the two before, the word before that (a skip), and the pair of the two and three before (a skip pair); frequent
-words stand for themselves there, others for their ending. Within a class the maximum-entropy distribution under counts
+last two bytes, which also place unknown words. Classes are factored once more, into ``SIDE`` groups of ``SIDE`` classes: the
+group and the class in its group each have a softmax over hashed features of the context, so a token pays for two short
+ones. The features are the word before, the two before, the word before that (a skip), and the pair of the two and three
+before (a skip pair); frequent words stand for themselves there, others for their ending. Within a class the maximum-entropy distribution under counts
 alone is the relative frequency, smoothed by half a count, with half a count for words that training has not seen.
 
 Training. Counts cover all training texts. Softmax weights start at 0 with the class frequencies as offsets; each task
@@ -35,14 +36,17 @@ from pyspark.sql import functions as F
 from ledgerlake.llm import tokens
 from ledgerlake.llm.components import stored
 
-ALONE = 31
-ENDINGS = 28
-OTHERS = 4
-CLASSES = ALONE + 1 + ENDINGS + OTHERS
+SIDE = 10
+ALONE = 63
+ENDINGS = 30
+OTHERS = 6
+CLASSES = ALONE + 1 + ENDINGS + OTHERS  # SIDE * SIDE
 FREQUENT = 1024
 BUCKETS = 1 << 12
 TEMPLATES = ((1,), (1, 2), (2,), (2, 3))
 ROWS = len(TEMPLATES) * BUCKETS
+# A row of features has SIDE weights for the groups, and then SIDE for the classes of each group.
+BLOCKS = ROWS * (SIDE + 1)
 RANGES = 16
 STEP_TOKENS = 1 << 14
 RATE = 0.4
@@ -121,7 +125,9 @@ def score(docs: DataFrame, id_column: str, text: str, held_out: Column, block_by
         nothing.cast("boolean").alias("held_out"), nothing.cast("string").alias("text"), "hashes", "counts")
     texts = rows.select("block", F.lit(1).alias("kind"), "doc_id", "held_out", "text",
                         nothing.cast("binary").alias("hashes"), nothing.cast("binary").alias("counts"))
-    both = entries.union(texts).repartition("block").sortWithinPartitions("block", "kind")
+    blocks = entries.select("block").distinct().count()
+    tasks = max(blocks, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    both = entries.union(texts).repartition(tasks, "block").sortWithinPartitions("block", "kind")
     kind = rows.schema["doc_id"].dataType.simpleString()
     return both.mapInArrow(_scorer(sent), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, "
                                           "train_tokens long, base_score double, score double")
@@ -251,61 +257,80 @@ def rows_of(contexts: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
-def log_softmax(weights: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Natural logarithms of the class probabilities: tokens x classes."""
-    margin = weights[rows[0]]
-    for row in rows[1:]:
-        margin += weights[row]
+def log_softmax(weights: np.ndarray, blocks: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Natural logarithms of the probabilities: tokens x SIDE. ``blocks`` has the blocks of weights: templates x tokens."""
+    margin = weights[blocks[0]]
+    for block in blocks[1:]:
+        margin += weights[block]
     margin += offsets
     margin -= margin.max(axis=1, keepdims=True)
     return margin - np.log(np.exp(margin).sum(axis=1, keepdims=True))
 
 
-def offsets_of(vocabulary: Vocabulary) -> np.ndarray:
-    return np.log(vocabulary.totals / vocabulary.totals.sum()).astype(np.float32)
+def factors(weights: np.ndarray, offsets: tuple[np.ndarray, np.ndarray], rows: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Logarithms of the group probabilities, and of those of the classes in the given group of each token."""
+    blocks = rows * (SIDE + 1)
+    return log_softmax(weights, blocks, offsets[0]), log_softmax(weights, blocks + 1 + groups, offsets[1][groups])
+
+
+def offsets_of(vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Class frequencies: of the groups, and of the classes in each group."""
+    totals = vocabulary.totals.reshape(SIDE, SIDE)
+    groups = totals.sum(axis=1)
+    return np.log(groups / groups.sum()).astype(np.float32), np.log(totals / groups[:, None]).astype(np.float32)
 
 
 def _train(texts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
     spark = texts.sparkSession
-    weights = np.zeros((ROWS, CLASSES), np.float32)
+    weights = np.zeros((BLOCKS, SIDE), np.float32)
     shards = texts.coalesce(SHARDS)
     for _ in range(ROUNDS if vocabulary.tokens else 0):
         sent = spark.sparkContext.broadcast((vocabulary, weights))
         parts = shards.mapInArrow(_trainer(sent), "part int, sums binary, times binary")
         merged = parts.repartition("part").mapInArrow(_average, "part int, sums binary, times binary").toArrow()
         for part, change in zip(merged.column("part").to_pylist(), merged.column("sums").to_pylist(), strict=True):
-            weights[part * (ROWS // RANGES):(part + 1) * (ROWS // RANGES)] += np.frombuffer(change, np.float32).reshape(-1, CLASSES)
+            weights[part * (BLOCKS // RANGES):(part + 1) * (BLOCKS // RANGES)] += np.frombuffer(change, np.float32).reshape(-1, SIDE)
     return weights
 
 
 def _trainer(sent):
-    """Changes of the weights over one part of the texts, times how often each row was met, by ranges of rows."""
+    """Changes of the weights over one part of the texts, times how often each block was met, by ranges of blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, start = sent.value
         offsets = offsets_of(vocabulary)
         weights, squares = start.copy(), np.full(start.shape, 1e-2, np.float32)
-        times = np.zeros(ROWS, np.float32)
+        times = np.zeros(BLOCKS, np.float32)
+
+        def move(order: np.ndarray, blocks: np.ndarray, error: np.ndarray) -> None:
+            """One adaptive step along the error of the tokens in ``order``, which sorts ``blocks``."""
+            edges = np.flatnonzero(np.diff(blocks, prepend=-1))
+            met = blocks[edges]
+            gradient = np.add.reduceat(error[order], edges, axis=0)
+            squares[met] += gradient * gradient
+            weights[met] -= RATE * gradient / np.sqrt(squares[met])
+            times[met] += np.diff(np.append(edges, len(blocks)))
+
         for batch in tokens.pieces(batches):
             hashes, endings, starts = tokens_of(batch.column("text"))
             classes = vocabulary.classes(hashes, endings)
             rows = rows_of(vocabulary.contexts(hashes, endings), starts)
             for at in range(0, len(hashes), STEP_TOKENS):
                 part = rows[:, at:at + STEP_TOKENS]
-                error = np.exp(log_softmax(weights, offsets, part))
-                error[np.arange(error.shape[0]), classes[at:at + STEP_TOKENS]] -= 1
+                group, inside = np.divmod(classes[at:at + STEP_TOKENS], SIDE)
+                errors = [np.exp(logs) for logs in factors(weights, offsets, part, group)]
+                every = np.arange(len(group))
+                errors[0][every, group] -= 1
+                errors[1][every, inside] -= 1
                 for row in part:
-                    order = np.argsort(row, kind="stable")
-                    edges = np.flatnonzero(np.diff(row[order], prepend=-1))
-                    met = row[order[edges]]
-                    gradient = np.add.reduceat(error[order], edges, axis=0)
-                    squares[met] += gradient * gradient
-                    weights[met] -= RATE * gradient / np.sqrt(squares[met])
-                    times[met] += np.diff(np.append(edges, len(row)))
+                    first = row * (SIDE + 1)
+                    order = np.argsort(first + 1 + group, kind="stable")  # sorts both kinds of blocks
+                    move(order, first[order], errors[0])
+                    move(order, (first + 1 + group)[order], errors[1])
         if not times.any():
             return
         change = (weights - start) * times[:, None]
-        size = ROWS // RANGES
+        size = BLOCKS // RANGES
         yield pa.RecordBatch.from_arrays([
             pa.array(range(RANGES), pa.int32()),
             pa.array([change[i * size:(i + 1) * size].tobytes() for i in range(RANGES)], pa.binary()),
@@ -319,7 +344,7 @@ def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     found: dict[int, list[np.ndarray]] = {}
     for batch in batches:
         for part, change, times in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-            change, times = np.frombuffer(change, np.float32).reshape(-1, CLASSES), np.frombuffer(times, np.float32)
+            change, times = np.frombuffer(change, np.float32).reshape(-1, SIDE), np.frombuffer(times, np.float32)
             if part in found:
                 found[part][0] += change
                 found[part][1] += times
@@ -369,8 +394,10 @@ def _scorer(sent):
                 logs = np.empty(len(token))
                 for first in range(0, len(token), STEP_TOKENS):
                     share = slice(first, first + STEP_TOKENS)
-                    found = log_softmax(weights, offsets, rows[:, share])
-                    logs[share] = found[np.arange(len(found)), classes[share]]
+                    group, inside = np.divmod(classes[share], SIDE)
+                    of_group, of_class = factors(weights, offsets, rows[:, share], group)
+                    every = np.arange(len(group))
+                    logs[share] = of_group[every, group] + of_class[every, inside]
                 logs = logs / np.log(10) + own - within[classes]
                 firsts = starts[:-1]
                 known = np.add.reduceat((count > 0).astype(np.int64), firsts)

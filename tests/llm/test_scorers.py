@@ -1,6 +1,7 @@
 """Trained scorers: language model, toxicity, quality and language, by brute-force counts and held-out accuracy."""
 
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -66,10 +67,64 @@ def test_model_is_a_distribution_and_beats_the_base(spark, documents):
     rows = lm.score(documents, "doc_id", "text", F.col("doc_id") % 5 == 1).where("held_out").agg(
         F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
     assert rows[0] > rows[1] + 0.05 * rows[2]
-    random = np.random.default_rng(1)
-    weights = random.normal(size=(lm.ROWS, lm.CLASSES)).astype(np.float32)
-    logs = lm.log_softmax(weights, np.zeros(lm.CLASSES, np.float32), random.integers(0, lm.ROWS, (len(lm.TEMPLATES), 50)))
-    assert np.allclose(np.exp(logs).sum(1), 1, atol=1e-4)
+
+
+def model_of(spark, docs):
+    """The trained parts of the model, for direct computations."""
+    rows = lm.in_blocks(docs)
+    counted = rows.select("text", "held_out", "block").mapInArrow(lm._count, "block long, hash long, ending int, count long")
+    known = counted.groupBy("hash", "ending").agg(F.sum("count").alias("count")).where("count > 0")
+    vocabulary = lm._vocabulary(known)
+    weights = lm._train(rows.where("NOT held_out").select("text"), vocabulary)
+    return {row.hash: (row.ending, row["count"]) for row in known.collect()}, vocabulary, weights
+
+
+def probabilities(vocabulary, weights, rows):
+    """Of all classes in a context, weight by weight."""
+    totals = vocabulary.totals
+    out = np.zeros(lm.CLASSES)
+
+    def softmax(margins):
+        shares = [math.exp(x) for x in margins]
+        return [x / sum(shares) for x in shares]
+
+    groups = softmax([math.log(totals[g * lm.SIDE:(g + 1) * lm.SIDE].sum()) + sum(float(weights[row * (lm.SIDE + 1), g]) for row in rows)
+                      for g in range(lm.SIDE)])
+    for g in range(lm.SIDE):
+        inside = softmax([math.log(totals[g * lm.SIDE + i]) + sum(float(weights[row * (lm.SIDE + 1) + 1 + g, i]) for row in rows)
+                          for i in range(lm.SIDE)])
+        out[g * lm.SIDE:(g + 1) * lm.SIDE] = [groups[g] * x for x in inside]
+    return out
+
+
+def test_scores_equal_a_direct_computation(spark):
+    """Word by word from the weights; and over all words, an unknown one of each open class included, they sum to one."""
+    dice = random.Random(2)
+    texts = [" ".join(dice.choice(["the", "a", "of"] + [f"w{i}ing" for i in range(30)] + [f"v{i}" for i in range(150)]) for _ in range(dice.randint(0, 40)))
+             for _ in range(200)]
+    docs = spark.createDataFrame([(i, text, i % 5 == 1) for i, text in enumerate(texts)], "doc_id long, text string, held_out boolean").coalesce(1)
+    known, vocabulary, weights = model_of(spark, docs)
+    assert np.abs(weights).max() > 0.1
+    assert {row.doc_id: round(row.score, 2) for row in lm.score(docs, "doc_id", "text", F.col("held_out")).collect()} == {
+        i: round(scored(known, vocabulary, weights, text), 2) for i, text in enumerate(texts)}
+    hashes, endings = np.array([*known], np.int64).view(np.uint64), np.array([x for x, _ in known.values()], np.int64)
+    classes, counts = vocabulary.classes(hashes, endings), np.array([x for _, x in known.values()])
+    for rows in np.random.default_rng(1).integers(0, lm.ROWS, (20, len(lm.TEMPLATES))):
+        of_class = probabilities(vocabulary, weights, rows)
+        mass = np.bincount(classes, counts + 0.5, lm.CLASSES)
+        mass[lm.ALONE + 1:] += 0.5  # an unknown word
+        used = vocabulary.totals > 0.5
+        assert abs((of_class * np.where(mass > 0, mass / vocabulary.totals, 1)).sum() - 1) < 1e-9 and used.sum() > 20
+
+
+def scored(known, vocabulary, weights, text):
+    hashes, endings, starts = lm.tokens_of(pa.array([text]))
+    contexts = lm.rows_of(vocabulary.contexts(hashes, endings), starts)
+    total = 0.0
+    for at, (hashed, one) in enumerate(zip(hashes.view(np.int64).tolist(), vocabulary.classes(hashes, endings).tolist(), strict=True)):
+        count = known.get(hashed, (0, 0))[1]
+        total += math.log10(probabilities(vocabulary, weights, contexts[:, at])[one]) + math.log10((count + 0.5) / vocabulary.totals[one])
+    return total
 
 
 def test_language_model_without_training_texts(spark):
