@@ -40,12 +40,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import tokens
@@ -69,6 +70,23 @@ _SEED = np.uint64(0xA5A5_1234_77F0_0D01)
 def join(docs: DataFrame, id_column: str, text: str, size: int = SIZE, least: Fraction = LEAST, cell: int = CELL) -> DataFrame:
     """Columns ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id that links reach; a row per row of
     ``docs``."""
+    with short_batches(docs.sparkSession):
+        return _join(docs, id_column, text, size, least, cell)
+
+
+@contextmanager
+def short_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """While it lasts, Python workers are handed at most that many rows at a time, which may be long texts or sets."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _join(docs: DataFrame, id_column: str, text: str, size: int, least: Fraction, cell: int) -> DataFrame:
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = rows.withColumn("hash", F.xxhash64("text"))
     sets = stored(rows.mapInArrow(_summaries(size), "doc_id long, hash long, n int, point long, count long"), "sets")
@@ -99,11 +117,12 @@ def join(docs: DataFrame, id_column: str, text: str, size: int = SIZE, least: Fr
 
 def one_of_each(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of those that links reach. Rows without id stay; of rows that
-    repeat an id the one with the smallest text stays, for ids stand for documents."""
+    repeat an id one stays, that whose text has the smallest hash, for ids stand for documents."""
     ids = join(docs, id_column, text).where("doc_id = component_id").select(F.col("doc_id").alias(id_column)).distinct()
-    kept = docs.where(F.col(id_column).isNotNull()).join(ids, id_column, "left_semi")
-    first = F.min_by(F.struct(*docs.columns), F.coalesce(F.col(text), F.lit(""))).alias("row")
-    kept = kept.groupBy(F.col(id_column).alias("_id")).agg(first).select("row.*")
+    kept = docs.where(F.col(id_column).isNotNull()).join(small(stored(ids, "kept-ids")), id_column, "left_semi").select(docs.columns)
+    if not docs.where(F.col(id_column).isNotNull()).groupBy(id_column).count().where("count > 1").isEmpty():
+        order = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+        kept = kept.groupBy(F.col(id_column).alias("_id")).agg(F.min_by(F.struct(*docs.columns), order).alias("row")).select("row.*")
     return kept.union(docs.where(F.col(id_column).isNull()))
 
 
