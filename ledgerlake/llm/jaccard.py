@@ -89,7 +89,7 @@ def short_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
 def _join(docs: DataFrame, id_column: str, text: str, size: int, least: Fraction, cell: int) -> DataFrame:
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = rows.withColumn("hash", F.xxhash64("text"))
-    sets = stored(rows.mapInArrow(_summaries(size), "doc_id long, hash long, n int, point long, count long"), "sets")
+    sets = stored(rows.mapInArrow(tokens.trimmed(_summaries(size)), "doc_id long, hash long, n int, point long, count long"), "sets")
     texts = sets.where("count IS NULL").select("doc_id", "hash", "n", "point")
     # A point is known by the row of its smallest id, or by a text of it if it has none.
     row = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")).alias("row")
@@ -102,7 +102,7 @@ def _join(docs: DataFrame, id_column: str, text: str, size: int, least: Fraction
     found = rows.join(small(members.drop("region")), F.expr("hash = own AND doc_id <=> of")).select("point", "text")
     if not texts.where("n > 0").groupBy("point", "doc_id", "hash").count().where("count > 1").isEmpty():
         found = found.dropDuplicates(["point"])  # rows that repeat both id and text
-    found = stored(found.mapInArrow(_sets(size), "point long, n int, shingles binary"), "member-sets")
+    found = stored(found.mapInArrow(tokens.trimmed(_sets(size)), "point long, n int, shingles binary"), "member-sets")
     links = components(_links(members.select("region", "point"), found, least, cell))
 
     linked = points.join(links, F.col("point") == F.col("node"), "left").select(
@@ -151,8 +151,8 @@ def _point_regions(rows: DataFrame, frequent: DataFrame, size: int, least: Fract
     order = np.argsort(shingle)
     ranks = rows.sparkSession.sparkContext.broadcast((shingle[order], common.column("count").to_numpy()[order].astype(np.int32)))
     near = rows.select("text").mapInArrow(
-        _prefixes(size, least, ranks), "pivot long, point long, low int, high int, other long")
-    near = near.repartition(F.coalesce("pivot", "point")).mapInArrow(_regions(least), "point long, other long")
+        tokens.trimmed(_prefixes(size, least, ranks)), "pivot long, point long, low int, high int, other long")
+    near = near.repartition(F.coalesce("pivot", "point")).mapInArrow(tokens.trimmed(_regions(least)), "point long, other long")
     return components(near)
 
 
@@ -168,7 +168,7 @@ def _exact_point_regions(sets: DataFrame, least: Fraction) -> DataFrame:
                 pa.array(every), pa.array(np.repeat(batch.column("point").to_numpy(), n)), pa.array(np.repeat(n, n))],
                 ["pivot", "point", "n"])
 
-    met = sets.mapInArrow(listed, "pivot long, point long, n int")
+    met = sets.mapInArrow(tokens.trimmed(listed), "pivot long, point long, n int")
     counts = met.groupBy("pivot").agg(F.count("*").alias("count")).where("count > 1")  # tasks count first
     reach = F.expr(f"n - (n * {least.numerator} + {least.denominator - 1}) div {least.denominator} + 1").cast("int")
     shared = met.join(stored(counts, "shared-shingles"), "pivot")
@@ -177,8 +177,8 @@ def _exact_point_regions(sets: DataFrame, least: Fraction) -> DataFrame:
     near = ordered.select("point", "n", F.explode(F.slice("met", F.lit(1), first)).alias("x")).select(
         F.col("x.pivot").alias("pivot"), "point", "n")
     schema = "pivot long, point long, low int, high int, other long"
-    near = near.mapInArrow(_combined_tasks(least), schema).repartition(F.coalesce("pivot", "point"))
-    return components(near.mapInArrow(_regions(least), "point long, other long"))
+    near = near.mapInArrow(tokens.trimmed(_combined_tasks(least)), schema).repartition(F.coalesce("pivot", "point"))
+    return components(near.mapInArrow(tokens.trimmed(_regions(least)), "point long, other long"))
 
 
 def _combined_tasks(least: Fraction):
@@ -437,7 +437,7 @@ def _cells(rows: DataFrame, sets: DataFrame, least: Fraction, level: int) -> Dat
     dealt = copies.select(columns).union(own.select(columns)).repartition("region", "part").sortWithinPartitions(
         "region", "part", "role", "point")
     schema = "region long, point long, n int, home boolean, texts long, pivot long, nearest long, distance double"
-    measured = stored(dealt.mapInArrow(_distances(least), schema), "measured")
+    measured = stored(dealt.mapInArrow(tokens.trimmed(_distances(least)), schema), "measured")
     is_home = F.expr("home AND pivot = nearest")
     cells = measured.where(is_home).groupBy("region", "pivot").agg(
         F.max("distance").alias("reach"), F.min("n").alias("low"), F.max("n").alias("high"))
@@ -528,7 +528,7 @@ def _joined(rows: DataFrame, sets: DataFrame, least: Fraction, cell: int) -> Dat
     rows = sets.join(small(rows), "point")
     keys = ["region", "copy"]
     dealt = rows.select(*keys, "home", "point", "shingles").repartition(*keys).sortWithinPartitions(*keys, F.desc("home"), "point")
-    return dealt.mapInArrow(_pairs(least), "point long, other long")
+    return dealt.mapInArrow(tokens.trimmed(_pairs(least)), "point long, other long")
 
 
 def _pairs(least: Fraction):

@@ -150,7 +150,7 @@ def train(docs: DataFrame, text: str, sample: int = SAMPLE) -> np.ndarray:
     """Weights of the scorer; the last is the intercept."""
     spark = docs.sparkSession
     rows = docs.select(F.col(text).cast("string").alias("text"))
-    seen = rows.mapInArrow(_patterns, "pattern long, count long").groupBy("pattern").agg(
+    seen = rows.mapInArrow(tokens.trimmed(_patterns), "pattern long, count long").groupBy("pattern").agg(
         F.sum("count").alias("count")).toArrow()
     weights = np.zeros(INTERCEPT + 1)
     if not seen.num_rows:
@@ -163,7 +163,7 @@ def train(docs: DataFrame, text: str, sample: int = SAMPLE) -> np.ndarray:
     shards = chosen.repartition(SHARDS, F.xxhash64("text", F.lit(1))).sortWithinPartitions(F.xxhash64("text", F.lit(2)), "text")
     for _ in range(ROUNDS):
         sent = spark.sparkContext.broadcast((weights, known))
-        merged = shards.mapInArrow(_trainer(sent), "place long, change double").groupBy("place").agg(
+        merged = shards.mapInArrow(tokens.trimmed(_trainer(sent)), "place long, change double").groupBy("place").agg(
             F.sum("change").alias("change")).toArrow()
         weights = weights.copy()
         weights[merged.column("place").to_numpy()] += merged.column("change").to_numpy() / SHARDS
@@ -218,4 +218,4 @@ def score(docs: DataFrame, text: str, weights: np.ndarray, name: str = "quality_
             margin = features.sums(table[places] * values, owners, batch.num_rows) + table[INTERCEPT]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(features.sigmoid(margin))], names)
 
-    return kept.mapInArrow(run, StructType([*kept.schema.fields, StructField(name, DoubleType())]))
+    return kept.mapInArrow(tokens.trimmed(run), StructType([*kept.schema.fields, StructField(name, DoubleType())]))

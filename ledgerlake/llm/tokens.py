@@ -7,7 +7,8 @@ object is made per word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -24,6 +25,23 @@ SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 PUNCTUATION = np.array([byte < 128 and not chr(byte).isalnum() for byte in range(256)])
 
 
+Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def trimmed(task: Task) -> Task:
+    """The task; at its end the worker gives the memory it no longer needs back to the system. A worker lives on for the
+    tasks of other stages, next to which it would hold the largest memory it ever took."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
 @dataclass
 class Words:
     """Words of some texts, one after another. Text i owns ``starts[i]:starts[i + 1]``; word j is
