@@ -9,8 +9,8 @@ again as the input of the next one:
 4. secrets: found spans are replaced in the text;
 5. tokens: per document its token ids, with digests of them and of the bytes that they decode to.
 
-Null texts count as empty and stay until the end; empty tables stay empty. Rows without id pass all stages. Of rows that
-repeat an id one stays from stage 2 on. Further columns are carried along up to the last stage.
+Null texts count as empty and stay until the end; empty tables stay empty. Rows without id pass all stages, but link in stage
+2. Of rows that repeat an id one stays from stage 2 on. Further columns are carried along up to the last stage.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import bpe, decontaminate, jaccard, quality, secrets
 from ledgerlake.llm.components import stored
+from ledgerlake.llm.jaccard import short_batches
 from ledgerlake.llm.queries import RANKS
 from ledgerlake.session import new_folder
 
@@ -58,7 +59,8 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.digest(docs, "doc_id", "text", RANKS, public_tokenizers.PATTERN, ids=True)
+    with short_batches(spark):  # written here, so that the workers get few long texts at a time
+        return stored(bpe.digest(docs, "doc_id", "text", RANKS, public_tokenizers.PATTERN, ids=True), "token-ids")
 
 
 STAGES = [
