@@ -28,7 +28,7 @@ from tokenizers import Tokenizer, models
 from ledgerlake.llm import tokens
 
 BATCH_BYTES = 1 << 20
-REMEMBERED = 100_000  # pieces in each of two generations that a Python worker remembers the ids of
+REMEMBERED = 60_000  # pieces in each of two generations that a Python worker remembers the ids of
 
 
 @lru_cache(maxsize=1)
