@@ -28,7 +28,7 @@ from tokenizers import Tokenizer, models
 from ledgerlake.llm import tokens
 
 BATCH_BYTES = 1 << 20
-REMEMBERED = 60_000  # pieces in each of two generations that a Python worker remembers the ids of
+REMEMBERED = 250_000  # pieces in each of two generations that a Python worker remembers the ids of
 
 
 @lru_cache(maxsize=1)
@@ -82,6 +82,7 @@ class Codec:
         for spelled, token in self.vocabulary.items():
             self.bytes_of[token] = bytes(back[character] for character in spelled)
         self.byte_lengths = np.array([len(token) for token in self.bytes_of], np.int64)
+        self.remembered: int | None = None  # in place of REMEMBERED
         self.known: dict[str, list[int]] = {}
         self.older: dict[str, list[int]] = {}
 
@@ -92,7 +93,7 @@ class Codec:
         pieces = self.pattern.findall(text)
         found = list(map(self.known.get, pieces))
         if None in found:
-            if len(self.known) > REMEMBERED:
+            if len(self.known) > (self.remembered or REMEMBERED):
                 self.known, self.older = {}, self.known
             for place, ids in enumerate(found):
                 if ids is None:
@@ -156,9 +157,10 @@ def encode(docs: DataFrame, text: str, path: str, pattern: str, ids: str = "ids"
     return _mapped(kept, text, path, pattern, added, columns, schema)
 
 
-def digest(docs: DataFrame, id_column: str, text: str, path: str, pattern: str, ids: bool = False) -> DataFrame:
+def digest(docs: DataFrame, id_column: str, text: str, path: str, pattern: str, ids: bool = False,
+           remembered: int | None = None) -> DataFrame:
     """Per document the number of tokens, a digest of its ids and one of the bytes they decode to, and if wanted the
-    ids."""
+    ids. ``remembered`` is the number of pieces that workers remember, for less memory than by default."""
     schema = StructType([docs.schema[id_column]])
     schema = schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
 
@@ -175,7 +177,7 @@ def digest(docs: DataFrame, id_column: str, text: str, path: str, pattern: str,
         return [*out, pa.array(encoded, pa.list_(pa.int32()))] if ids else out
 
     kept = docs.select(id_column, *({text} - {id_column}))
-    return _mapped(kept, text, path, pattern, schema.names[1:], columns, schema, drop=True)
+    return _mapped(kept, text, path, pattern, schema.names[1:], columns, schema, drop=True, remembered=remembered)
 
 
 def decode(rows: DataFrame, ids: str, path: str, text: str = "text") -> DataFrame:
@@ -194,12 +196,14 @@ def decode(rows: DataFrame, ids: str, path: str, text: str = "text") -> DataFram
 
 
 def _mapped(docs: DataFrame, text: str, path: str, pattern: str, added: list[str],
-            columns: Callable[[Codec, list[str]], list[pa.Array]], schema: StructType, drop: bool = False) -> DataFrame:
+            columns: Callable[[Codec, list[str]], list[pa.Array]], schema: StructType, drop: bool = False,
+            remembered: int | None = None) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(tokenizer_text(path))
     kept = [name for name in docs.columns if not (drop and name == text)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(sent.value, pattern)
+        coder.remembered = remembered
         for batch in tokens.pieces(batches, text, BATCH_BYTES):
             texts = [value or "" for value in batch.column(text).to_pylist()]
             old = [batch.column(name) for name in kept]
