@@ -60,7 +60,8 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     with short_batches(spark):  # written here, so that the workers get few long texts at a time
-        return stored(bpe.digest(docs, "doc_id", "text", RANKS, public_tokenizers.PATTERN, ids=True), "token-ids")
+        digests = bpe.digest(docs, "doc_id", "text", RANKS, public_tokenizers.PATTERN, ids=True, remembered=60_000)
+        return stored(digests, "token-ids")
 
 
 STAGES = [
