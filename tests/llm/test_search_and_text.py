@@ -59,20 +59,26 @@ def test_encode_and_decode_frames(spark, known):
         assert row.decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
 
 
-@pytest.mark.parametrize("block", [4, 4096])
-def test_top_k_equals_brute_force(spark, block):
+@pytest.mark.parametrize(("block", "part"), [(4, 7), (4096, 8192), (3, 8192), (4096, 5)])
+def test_top_k_equals_brute_force(spark, block, part):
     dice = np.random.default_rng(1)
     rows = [(i, [float(x) for x in dice.integers(-3, 4, 6) / 256 * dice.integers(0, 2)], 0) for i in range(60)]
+    rows += [(i, [1e17, -1e17, 1e300][:i % 3 + 1], 0) for i in range(70, 76)]  # scores beyond 64 bits
     rows += [(60, None, 0), (61, [1.0, None], 0), (62, [math.nan, 1.0], 0), (63, [math.inf], 0), (None, [1.0], 0),
              (64, [0.5, 0.25], 0), (64, [0.5, 0.25], 0), (65, [], 0)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score int").repartition(3)
-    usable = [(i, [math.floor(256 * x) for x in v]) for i, v, _ in rows
+    least, most = -(1 << 63), (1 << 63) - 1
+
+    def cut(x):
+        return min(max(x, least), most)
+
+    usable = [(i, [cut(math.floor(256 * x)) for x in v]) for i, v, _ in rows
               if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     want = set()
     for key, query in {(i, tuple(v)) for i, v in usable if i % 5 == 0}:
-        scores = [(-sum(a * b for a, b in zip(query, v)), i) for i, v in usable if i != key]
+        scores = [(-cut(sum(a * b for a, b in zip(query, v))), i) for i, v in usable if i != key]
         want |= {(key, rank, i, -score) for rank, (score, i) in enumerate(sorted(scores)[:4], 1)}
-    found = topk.top_k(frame, "vec_id", "embedding", F.col("vec_id") % 5 == 0, k=4, block=block)
+    found = topk.top_k(frame, "vec_id", "embedding", F.col("vec_id") % 5 == 0, k=4, block=block, part=part)
     assert {tuple(row) for row in found.collect()} == want
     assert topk.top_k(frame.where("false"), "vec_id", "embedding", F.lit(True), k=4).count() == 0
 
