@@ -6,11 +6,13 @@ squared gradients, and an L1 penalty that leaves most weights at 0. Rounds of tr
 task updates it over its own part of the sample in some passes, text by text, and Spark averages the states by coordinate. The weights
 that are not 0, at most 2**BITS of them, are what scoring sends to tasks.
 
-The sample of labelled texts is bounded: about ``sample`` of them, chosen by a hash of the text, or all if there are no
-more. Equal texts are all in it or all not. Scoring covers every text, whole.
+The sample of labelled texts is bounded: about ``sample`` distinct ones, chosen by a hash of the text, or all if there are
+no more. Equal texts with equal labels are one example, however many rows they have, which weighs 1 + ln(rows): so neither
+the sample nor what it learns is taken over by copies. It is stored once for all rounds. Scoring covers every text, whole.
 
 Null and empty texts have no features; their score is the rate of the intercept. Rows without label, and labels without
-row, train nothing; repeated rows train and score once each. Without any labelled text all scores are 0.5.
+row, train nothing; repeated rows each get their score, and equal texts have equal ones. Very long texts are scored whole. Without
+any labelled text, as of empty tables, all scores are 0.5. Columns beside the named ones are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import features, tokens
+from ledgerlake.llm.components import stored
 
 BITS = 19
 TEMPLATES = ((0,), (0, 1), (0, 2))
@@ -46,10 +49,7 @@ def train(labelled: DataFrame, text: str, label: str, sample: int = SAMPLE) -> t
     spark = labelled.sparkSession
     rows = labelled.where(F.col(label).isNotNull()).select(
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), F.col(label).cast("double").alias("label"))
-    count = rows.count()
-    chance = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / float(1 << 20)
-    chosen = rows.where(chance < sample / max(count, 1))
-    shards = chosen.repartition(SHARDS, F.xxhash64("text", F.lit(1))).sortWithinPartitions(F.xxhash64("text", F.lit(2)), "text", "label")
+    shards = sampled(rows, sample).repartition(SHARDS, F.xxhash64("text", F.lit(1))).sortWithinPartitions(F.xxhash64("text", F.lit(2)), "text", "label")
     state = np.zeros((2, INTERCEPT + 1))
     for _ in range(ROUNDS):
         sent = spark.sparkContext.broadcast(state)
@@ -65,6 +65,15 @@ def train(labelled: DataFrame, text: str, label: str, sample: int = SAMPLE) -> t
     return kept, weights[kept]
 
 
+def sampled(rows: DataFrame, sample: int) -> DataFrame:
+    """About ``sample`` distinct texts with label and weight, stored. Copies become one row before they are shuffled."""
+    keyed = rows.withColumn("key", F.xxhash64("text"))
+    distinct = keyed.agg(F.approx_count_distinct("key")).first()[0]
+    chance = F.pmod("key", F.lit(1 << 20)) / float(1 << 20)
+    once = keyed.where(chance < sample / max(distinct, 1)).groupBy("key", "label").agg(F.min("text").alias("text"), F.count("*").alias("rows"))
+    return stored(once.select("text", "label", (1 + F.log("rows")).alias("weight")), "toxicity-sample")
+
+
 def _trainer(sent):
     """Changes of the state over one shard."""
 
@@ -75,12 +84,12 @@ def _trainer(sent):
             found = tokens.words(batch.column("text"), tokens.PUNCTUATION)
             places, owners = features.distinct(*features.hashed(found, TEMPLATES, BITS, BEGINNINGS), BITS)
             parts = np.split(places.astype(np.int32), np.searchsorted(owners, np.arange(1, batch.num_rows)))
-            examples += zip(parts, batch.column("label").to_pylist(), strict=True)
-        for at, label in examples * PASSES:
+            examples += zip(parts, batch.column("label").to_pylist(), batch.column("weight").to_pylist(), strict=True)
+        for at, label, weight in examples * PASSES:
             zi, ni = z[at], n[at]
             w = weights_of(zi, ni)
             w0 = -z[INTERCEPT] / ((BETA + np.sqrt(n[INTERCEPT])) / ALPHA)
-            error = features.sigmoid(w.sum() + w0) - label
+            error = weight * (features.sigmoid(w.sum() + w0) - label)
             square = error * error
             z[at] = zi + error - (np.sqrt(ni + square) - np.sqrt(ni)) / ALPHA * w
             n[at] = ni + square
