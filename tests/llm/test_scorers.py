@@ -149,11 +149,11 @@ def test_toxicity_on_held_out_labels(spark):
 def test_toxicity_equals_ftrl_word_by_word(spark):
     """One shard, one round of dictionaries instead of arrays; and copies are one example of a greater weight."""
     dice = random.Random(4)
-    rows = [(" ".join(dice.choice(["vile", "mean", "fine", "kind", "day", "tree"]) for _ in range(dice.randint(1, 6))), i % 2) for i in range(40)]
-    rows += [("a vile day", 1)] * 30
+    rows = [(" ".join(dice.choice(["vile", "mean", "fine", "kind", "day", "tree"]) for _ in range(dice.randint(1, 6))), float(i % 2)) for i in range(40)]
+    rows += [("a vile day", 1.0)] * 30
     chosen = toxicity.sampled(spark.createDataFrame(rows, "text string, label double").repartition(3), 1 << 20).collect()
     assert {(r.text, r.label): round(r.weight, 9) for r in chosen} == {
-        key: round(1 + math.log(n), 9) for key, n in Counter((text, float(label)) for text, label in rows).items()}
+        key: round(1 + math.log(n), 9) for key, n in Counter(rows).items()}
     assert len(chosen) == len(set(rows))
     batch = pa.RecordBatch.from_pydict({name: [r[name] for r in chosen] for name in ("text", "label", "weight")})
     z, n = {}, {}
