@@ -5,8 +5,10 @@ the token in its class. Classes are the most frequent words, each alone, the end
 last two bytes, which also place unknown words. Classes are factored once more, into ``SIDE`` groups of ``SIDE`` classes: the
 group and the class in its group each have a softmax over hashed features of the context, so a token pays for two short
 ones. The features are the word before, the two before, the word before that (a skip), and the pair of the two and three
-before (a skip pair); frequent words stand for themselves there, others for their ending. Within a class the maximum-entropy distribution under counts
-alone is the relative frequency, smoothed by half a count, with half a count for words that training has not seen.
+before (a skip pair); frequent words stand for themselves there, others for their ending. The words of a group class are factored again, into ``SIDE`` drawers by their
+hash, by a softmax over features of the one and two words before, so context also decides within a class. Within a drawer
+the maximum-entropy distribution under counts alone is the relative frequency, smoothed by half a count, with half a
+count for words that training has not seen.
 
 Training. Counts cover all training texts. Softmax weights start at 0 with the class frequencies as offsets; each task
 takes adaptive gradient steps over its part of the training texts, batch by batch, and Spark averages the weights of
@@ -45,8 +47,11 @@ FREQUENT = 1024
 BUCKETS = 1 << 12
 TEMPLATES = ((1,), (1, 2), (2,), (2, 3))
 ROWS = len(TEMPLATES) * BUCKETS
-# A row of features has SIDE weights for the groups, and then SIDE for the classes of each group.
-BLOCKS = ROWS * (SIDE + 1)
+DRAWN = 2  # templates that decide about drawers
+# A row of features has SIDE weights for the groups, and then SIDE for the classes of each group. Behind them all, rows of
+# the first templates have SIDE weights for the drawers of each group.
+DRAWERS = ROWS * (SIDE + 1)
+BLOCKS = DRAWERS + DRAWN * BUCKETS * SIDE
 RANGES = 16
 STEP_TOKENS = 1 << 14
 RATE = 0.4
@@ -68,7 +73,14 @@ class Vocabulary:
     alone: np.ndarray      # hashes of the words with a class of their own, sorted
     endings: np.ndarray    # endings with a class of their own, sorted
     frequent: np.ndarray   # hashes of the words that are contexts by themselves, sorted
-    totals: np.ndarray     # per class its smoothed count
+    shares: np.ndarray     # per class and drawer the smoothed count; a word alone and the end are in drawer 0
+
+    @property
+    def totals(self) -> np.ndarray:
+        return self.shares.sum(axis=1)
+
+    def drawers(self, hashes: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        return np.where(classes > ALONE, (hashes % np.uint64(SIDE)).astype(np.int64), 0)
 
     def classes(self, hashes: np.ndarray, endings: np.ndarray) -> np.ndarray:
         out = ALONE + 1 + ENDINGS + (endings % OTHERS)
@@ -221,23 +233,27 @@ def _vocabulary(known: DataFrame) -> Vocabulary:
     grouped = words.where(~F.col("hash").isin(alone.view(np.int64).tolist())) if len(alone) else words
     top = grouped.groupBy("ending").agg(F.sum("count").alias("count")).orderBy(F.desc("count"), "ending").limit(ENDINGS)
     endings = np.sort(np.array([row.ending for row in top.collect()], np.int64))
-    out = Vocabulary(sums[0], sums[1], alone, endings, np.sort(most), np.zeros(CLASSES))
+    out = Vocabulary(sums[0], sums[1], alone, endings, np.sort(most), np.zeros((CLASSES, SIDE)))
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            classes = out.classes(batch.column("hash").to_numpy().view(np.uint64), batch.column("ending").to_numpy().astype(np.int64))
-            counts = np.bincount(classes, batch.column("count").to_numpy() + 0.5, CLASSES)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES)), pa.array(counts)], ["class", "count"])
-
-    found = known.mapInArrow(total, "class long, count double").groupBy("class").agg(F.sum("count").alias("count")).toArrow()
-    totals = np.zeros(CLASSES)
-    totals[found.column("class").to_numpy()] = found.column("count").to_numpy()
-    totals[ALONE + 1:] += 0.5
-    out.totals = np.maximum(totals, 0.5)
+            hashes = batch.column("hash").to_numpy().view(np.uint64)
+            classes = out.classes(hashes, batch.column("ending").to_numpy().astype(np.int64))
+            places = classes * SIDE + out.drawers(hashes, classes)
+            counts = np.bincount(places, batch.column("count").to_numpy() + 0.5, CLASSES * SIDE)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES * SIDE)), pa.array(counts)], ["place", "count"])
+
+    found = known.mapInArrow(total, "place long, count double").groupBy("place").agg(F.sum("count").alias("count")).toArrow()
+    shares = np.zeros(CLASSES * SIDE)
+    shares[found.column("place").to_numpy()] = found.column("count").to_numpy()
+    shares = shares.reshape(CLASSES, SIDE)
+    shares[ALONE + 1:] += 0.5
+    shares[:ALONE + 1, 0] = np.maximum(shares[:ALONE + 1, 0], 0.5)
+    out.shares = shares
     return out
 
 
-# --- the softmax over classes ---
+# --- the softmaxes over groups, classes and drawers ---
 
 
 def rows_of(contexts: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -273,11 +289,26 @@ def factors(weights: np.ndarray, offsets: tuple[np.ndarray, np.ndarray], rows: n
     return log_softmax(weights, blocks, offsets[0]), log_softmax(weights, blocks + 1 + groups, offsets[1][groups])
 
 
-def offsets_of(vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """Class frequencies: of the groups, and of the classes in each group."""
+def drawer_logs(weights: np.ndarray, offsets: np.ndarray, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Logarithms of the probabilities of the drawers in the given group class of each token."""
+    return log_softmax(weights, DRAWERS + rows[:DRAWN] * SIDE + classes // SIDE, offsets[classes])
+
+
+def offsets_of(vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Frequencies: of the groups, of the classes in each group, and of the drawers in each class (0 where it has none)."""
     totals = vocabulary.totals.reshape(SIDE, SIDE)
     groups = totals.sum(axis=1)
-    return np.log(groups / groups.sum()).astype(np.float32), np.log(totals / groups[:, None]).astype(np.float32)
+    drawers = np.zeros((CLASSES, SIDE))
+    drawers[ALONE + 1:] = np.log(vocabulary.shares[ALONE + 1:] / vocabulary.totals[ALONE + 1:, None])
+    return (np.log(groups / groups.sum()).astype(np.float32), np.log(totals / groups[:, None]).astype(np.float32),
+            drawers.astype(np.float32))
+
+
+def order_of(blocks: np.ndarray) -> np.ndarray:
+    """The order that sorts the blocks of a step, equal ones as they come: sorted whole numbers beat a stable argsort."""
+    keys = blocks * STEP_TOKENS + np.arange(len(blocks))
+    keys.sort()
+    return keys % STEP_TOKENS
 
 
 def _train(texts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
@@ -304,6 +335,8 @@ def _trainer(sent):
 
         def move(order: np.ndarray, blocks: np.ndarray, error: np.ndarray) -> None:
             """One adaptive step along the error of the tokens in ``order``, which sorts ``blocks``."""
+            if not len(blocks):
+                return
             edges = np.flatnonzero(np.diff(blocks, prepend=-1))
             met = blocks[edges]
             gradient = np.add.reduceat(error[order], edges, axis=0)
@@ -314,19 +347,28 @@ def _trainer(sent):
         for batch in tokens.pieces(batches):
             hashes, endings, starts = tokens_of(batch.column("text"))
             classes = vocabulary.classes(hashes, endings)
+            drawers = vocabulary.drawers(hashes, classes)
             rows = rows_of(vocabulary.contexts(hashes, endings), starts)
             for at in range(0, len(hashes), STEP_TOKENS):
-                part = rows[:, at:at + STEP_TOKENS]
-                group, inside = np.divmod(classes[at:at + STEP_TOKENS], SIDE)
+                part, own = rows[:, at:at + STEP_TOKENS], classes[at:at + STEP_TOKENS]
+                group, inside = np.divmod(own, SIDE)
                 errors = [np.exp(logs) for logs in factors(weights, offsets, part, group)]
                 every = np.arange(len(group))
                 errors[0][every, group] -= 1
                 errors[1][every, inside] -= 1
                 for row in part:
                     first = row * (SIDE + 1)
-                    order = np.argsort(first + 1 + group, kind="stable")  # sorts both kinds of blocks
+                    order = order_of(first + 1 + group)  # sorts both kinds of blocks
                     move(order, first[order], errors[0])
                     move(order, (first + 1 + group)[order], errors[1])
+                grouped = np.flatnonzero(own > ALONE)
+                part, own = part[:DRAWN, grouped], own[grouped]
+                error = np.exp(drawer_logs(weights, offsets[2], part, own))
+                error[np.arange(len(own)), drawers[at + grouped]] -= 1
+                for row in part:
+                    blocks = DRAWERS + row * SIDE + own // SIDE
+                    order = order_of(blocks)
+                    move(order, blocks[order], error)
         if not times.any():
             return
         change = (weights - start) * times[:, None]
@@ -365,7 +407,7 @@ def _scorer(sent):
         vocabulary, weights = sent.value
         offsets = offsets_of(vocabulary)
         base = np.log10(vocabulary.tokens + 0.5 * (vocabulary.distinct + 1))
-        within = np.log10(vocabulary.totals)
+        within = np.log10(np.maximum(vocabulary.shares, 0.5))
         now, hashes, counts, merged = None, [], [], True
         for batch in tokens.pieces(batches):
             blocks, kinds = batch.column("block").to_numpy(), batch.column("kind").to_numpy()
@@ -390,6 +432,7 @@ def _scorer(sent):
                 count = times[met]
                 own = np.log10(count + 0.5)
                 classes = vocabulary.classes(token, endings)
+                drawers = vocabulary.drawers(token, classes)
                 rows = rows_of(vocabulary.contexts(token, endings), starts)
                 logs = np.empty(len(token))
                 for first in range(0, len(token), STEP_TOKENS):
@@ -398,7 +441,10 @@ def _scorer(sent):
                     of_group, of_class = factors(weights, offsets, rows[:, share], group)
                     every = np.arange(len(group))
                     logs[share] = of_group[every, group] + of_class[every, inside]
-                logs = logs / np.log(10) + own - within[classes]
+                    grouped = first + np.flatnonzero(classes[share] > ALONE)
+                    of_drawer = drawer_logs(weights, offsets[2], rows[:, grouped], classes[grouped])
+                    logs[grouped] += of_drawer[np.arange(len(grouped)), drawers[grouped]]
+                logs = logs / np.log(10) + own - within[classes, drawers]
                 firsts = starts[:-1]
                 known = np.add.reduceat((count > 0).astype(np.int64), firsts)
                 size = np.diff(starts)

@@ -109,21 +109,39 @@ def test_scores_equal_a_direct_computation(spark):
         i: round(scored(known, vocabulary, weights, text), 2) for i, text in enumerate(texts)}
     hashes, endings = np.array([*known], np.int64).view(np.uint64), np.array([x for x, _ in known.values()], np.int64)
     classes, counts = vocabulary.classes(hashes, endings), np.array([x for _, x in known.values()])
-    for rows in np.random.default_rng(1).integers(0, lm.ROWS, (20, len(lm.TEMPLATES))):
+    mass = np.zeros((lm.CLASSES, lm.SIDE))
+    np.add.at(mass, (classes, vocabulary.drawers(hashes, classes)), counts + 0.5)
+    mass[lm.ALONE + 1:] += 0.5  # an unknown word in every drawer
+    for rows in np.random.default_rng(1).integers(0, lm.BUCKETS, (20, len(lm.TEMPLATES))) + np.arange(len(lm.TEMPLATES)) * lm.BUCKETS:
         of_class = probabilities(vocabulary, weights, rows)
-        mass = np.bincount(classes, counts + 0.5, lm.CLASSES)
-        mass[lm.ALONE + 1:] += 0.5  # an unknown word
-        used = vocabulary.totals > 0.5
-        assert abs((of_class * np.where(mass > 0, mass / vocabulary.totals, 1)).sum() - 1) < 1e-9 and used.sum() > 20
+        total = 0.0
+        for one in range(lm.CLASSES):
+            for drawer, of_drawer in enumerate(drawer_probabilities(vocabulary, weights, rows, one)):
+                total += of_class[one] * of_drawer * (mass[one, drawer] / vocabulary.shares[one, drawer] if mass[one, drawer] else 1)
+        assert abs(total - 1) < 1e-9
+    assert np.abs(weights[lm.DRAWERS:]).max() > 0.1
+
+
+def drawer_probabilities(vocabulary, weights, rows, one):
+    """Of the drawers of a class in a context; a word alone and the end have a single one."""
+    if one <= lm.ALONE:
+        return [1.0]
+    shares = [vocabulary.shares[one, d] * math.exp(sum(float(weights[lm.DRAWERS + row * lm.SIDE + one // lm.SIDE, d]) for row in rows[:lm.DRAWN]))
+              for d in range(lm.SIDE)]
+    return [x / sum(shares) for x in shares]
 
 
 def scored(known, vocabulary, weights, text):
     hashes, endings, starts = lm.tokens_of(pa.array([text]))
     contexts = lm.rows_of(vocabulary.contexts(hashes, endings), starts)
     total = 0.0
-    for at, (hashed, one) in enumerate(zip(hashes.view(np.int64).tolist(), vocabulary.classes(hashes, endings).tolist(), strict=True)):
-        count = known.get(hashed, (0, 0))[1]
-        total += math.log10(probabilities(vocabulary, weights, contexts[:, at])[one]) + math.log10((count + 0.5) / vocabulary.totals[one])
+    for at, (hashed, one) in enumerate(zip(hashes.tolist(), vocabulary.classes(hashes, endings).tolist(), strict=True)):
+        count = known.get(int(np.uint64(hashed).view(np.int64)), (0, 0))[1]
+        drawer = hashed % lm.SIDE if one > lm.ALONE else 0
+        context = contexts[:, at]
+        total += math.log10(probabilities(vocabulary, weights, context)[one])
+        total += math.log10(drawer_probabilities(vocabulary, weights, context, one)[drawer])
+        total += math.log10((count + 0.5) / vocabulary.shares[one, drawer])
     return total
 
 
