@@ -46,9 +46,9 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    train = documents.select("doc_id", "text").join(labels.select("doc_id", "toxic"), "doc_id").where(
-        remainder(F.col("doc_id")) != 0)
-    scored = toxicity.score(documents, "doc_id", "text", toxicity.train(train, "text", "toxic"))
+    keyed = documents.select("doc_id", "text", toxicity.text_key("text").alias("text_key"))
+    train = keyed.join(labels.select("doc_id", "toxic"), "doc_id").where(remainder(F.col("doc_id")) != 0)
+    scored = toxicity.score(documents, "doc_id", "text", toxicity.train(train, "text", "toxic", key="text_key"))
     return scored.select("doc_id", (remainder(F.col("doc_id")) == 0).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import features, tokens
@@ -44,11 +44,17 @@ def weights_of(z: np.ndarray, n: np.ndarray) -> np.ndarray:
     return -shrunk / ((BETA + np.sqrt(n)) / ALPHA + L2)
 
 
-def train(labelled: DataFrame, text: str, label: str, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
-    """Places and weights that are not 0, from rows of text and a label of 0 or 1."""
+def text_key(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
+def train(labelled: DataFrame, text: str, label: str, sample: int = SAMPLE, key: str | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Places and weights that are not 0, from rows of text and a label of 0 or 1. ``key`` names a column that holds
+    ``text_key`` of the text; computed before the join that brings the labels, it keeps texts out of the sample there."""
     spark = labelled.sparkSession
     rows = labelled.where(F.col(label).isNotNull()).select(
-        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), F.col(label).cast("double").alias("label"))
+        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), F.col(label).cast("double").alias("label"),
+        (F.col(key) if key else text_key(text)).alias("key"))
     shards = sampled(rows, sample).repartition(SHARDS, F.xxhash64("text", F.lit(1))).sortWithinPartitions(F.xxhash64("text", F.lit(2)), "text", "label")
     state = np.zeros((2, INTERCEPT + 1))
     for _ in range(ROUNDS):
@@ -66,11 +72,11 @@ def train(labelled: DataFrame, text: str, label: str, sample: int = SAMPLE) -> t
 
 
 def sampled(rows: DataFrame, sample: int) -> DataFrame:
-    """About ``sample`` distinct texts with label and weight, stored. Copies become one row before they are shuffled."""
-    keyed = rows.withColumn("key", F.xxhash64("text"))
-    distinct = keyed.agg(F.approx_count_distinct("key")).first()[0]
+    """About ``sample`` distinct texts with label and weight, stored, from rows of text, label and key. Copies become one row
+    before they are shuffled."""
+    distinct = rows.agg(F.approx_count_distinct("key")).first()[0]
     chance = F.pmod("key", F.lit(1 << 20)) / float(1 << 20)
-    once = keyed.where(chance < sample / max(distinct, 1)).groupBy("key", "label").agg(F.min("text").alias("text"), F.count("*").alias("rows"))
+    once = rows.where(chance < sample / max(distinct, 1)).groupBy("key", "label").agg(F.min("text").alias("text"), F.count("*").alias("rows"))
     return stored(once.select("text", "label", (1 + F.log("rows")).alias("weight")), "toxicity-sample")
 
 

@@ -169,7 +169,8 @@ def test_toxicity_equals_ftrl_word_by_word(spark):
     dice = random.Random(4)
     rows = [(" ".join(dice.choice(["vile", "mean", "fine", "kind", "day", "tree"]) for _ in range(dice.randint(1, 6))), float(i % 2)) for i in range(40)]
     rows += [("a vile day", 1.0)] * 30
-    chosen = toxicity.sampled(spark.createDataFrame(rows, "text string, label double").repartition(3), 1 << 20).collect()
+    chosen = toxicity.sampled(
+        spark.createDataFrame(rows, "text string, label double").repartition(3).withColumn("key", toxicity.text_key("text")), 1 << 20).collect()
     assert {(r.text, r.label): round(r.weight, 9) for r in chosen} == {
         key: round(1 + math.log(n), 9) for key, n in Counter(rows).items()}
     assert len(chosen) == len(set(rows))
