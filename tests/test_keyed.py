@@ -252,3 +252,30 @@ def test_expired_versions_are_removed(spark, table):
     now = state(spark, table)
     assert now == {("a", 1): 3, ("b", 2): 0, ("b", 3): 1, ("b", 4): 2, ("b", 5): 3}
     assert table.commit(spark).version == 3 and "version=2" not in storage.children(spark, f"{table.path}/commits")
+
+
+def test_first_load_reads_its_source_once(spark, table):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    load = rows(spark, *((f"k{i}", i % 3 + 1, i, 10, False) for i in range(60))).mapInArrow(counted, COLUMNS)
+    table.upsert(load)
+    assert read.value == 60
+    assert len(state(spark, table)) == 60
+    assert spark.read.parquet(f"{table.path}/rejects").count() == 0
+
+
+def test_first_load_keeps_the_newest_row_of_repeated_keys_alone(spark, table):
+    load = rows(spark, *((f"k{i}", i % 3 + 1, i, 10, False) for i in range(40)), ("k0", 1, 100, 11, False), ("k0", 1, 99, 10, False),
+                ("k1", 2, 7, 12, True), ("k2", 3, 2, 10, False), (None, 1, 5, 10, False))
+    table.upsert(load, gathered=True)
+    found = state(spark, table)
+    assert found == {(f"k{i}", i % 3 + 1): 100 if i == 0 else i for i in range(40) if i != 1}
+    assert table.read(spark).count() == 39
+    assert [name for name in storage.children(spark, f"{table.path}/aside")] == []
+    assert len(storage.children(spark, f"{table.path}/data")) == 1
+    assert spark.read.parquet(f"{table.path}/rejects").count() == 1
