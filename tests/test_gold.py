@@ -5,6 +5,7 @@ from collections import Counter
 from decimal import Decimal
 
 import pytest
+from ledgerlake.operators import tables
 from ledgerlake.plans import gold
 from ledgerlake.sources import bindings
 from ledgerlake.streaming import refresh
@@ -162,3 +163,19 @@ def test_one_row_per_account_code(spark):
     opened = spark.createDataFrame([("1234567", dt.date(2020, 1, 1)), ("1234567", dt.date(2021, 1, 1))], "C_ACCOUNT_CODE string, C_OPEN_DATE date")
     found = gold.account_open_dates(accounts, opened).collect()
     assert [(row.C_OPEN_DATE, row.C_CHANNEL) for row in found] == [(dt.date(2021, 1, 1), "WEB")]
+
+
+def test_labels_are_added_where_account_days_are_written(spark, facts, tmp_path, monkeypatch):
+    moved, gather = [], tables.gather
+
+    def seen(df, partition_by):
+        moved.append(set(df.columns))
+        return gather(df, partition_by)
+
+    monkeypatch.setattr(tables, "gather", seen)
+    whole = gold.back_data(*facts)
+    gold.write_account_days(whole, str(tmp_path / "gold"))
+    assert moved == [{*gold.ACCOUNT_DAY, *gold.MEASURES, "partition_day"}]
+    stored = by_key(spark.read.parquet(str(tmp_path / "gold")))
+    assert {key: (row.C_RANKING_KEY, row.C_KY_KPI, row.C_MONTH) for key, row in stored.items()} == {
+        key: (row.C_RANKING_KEY, row.C_KY_KPI, row.C_MONTH) for key, row in by_key(whole.where("C_ACCOUNT_CODE IS NOT NULL")).items()}
