@@ -4,7 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from ledgerlake import specs
+from ledgerlake import queries, specs
 from ledgerlake.operators import projections, tables
 from ledgerlake.operators.keyed import KeyedTable
 from ledgerlake.plans import silver
@@ -98,3 +98,13 @@ def test_truncate_keeps_the_schema(spark, tmp_path):
     tables.truncate(spark, path)
     left = spark.read.parquet(path)
     assert left.count() == 0 and left.schema == advances(spark).schema
+
+
+def test_summary_of_a_table_moves_each_key_once(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "2024-01-01", True), ("a", "2024-01-02", False), (None, "2024-01-02", True), ("b", None, None)],
+                                 "PK_ADVANCE_WITHDRAW string, partition_date string, is_current boolean")
+    summary = queries._silver_summary(rows, specs.ADVANCE_WITHDRAW)
+    assert tuple(summary.first()) == (specs.ADVANCE_WITHDRAW.name, 4, 2, 3, "", "2024-01-02", 2)
+    assert tuple(queries._silver_summary(rows.limit(0), specs.ADVANCE_WITHDRAW).first()) == (
+        specs.ADVANCE_WITHDRAW.name, 0, 0, 0, None, None, 0)
+    assert "Expand" not in summary._jdf.queryExecution().optimizedPlan().toString()
