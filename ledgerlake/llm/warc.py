@@ -58,14 +58,18 @@ BATCH_BYTES = 4 << 20
 
 
 def payload_digest(payload: Column) -> Column:
-    """SHA-1 in base 32, from five hexadecimal digits to four characters at a time."""
-    hexed, letters = F.sha1(payload), F.lit(BASE32)
+    """SHA-1 in base 32, from five hexadecimal digits to four characters at a time. The digest and each number are arguments
+    of a function, so that they are computed once and not wherever they are used."""
+    letters = F.lit(BASE32)
 
-    def four(i: Column) -> Column:
-        value = F.conv(F.substr(hexed, i * 5 + 1, F.lit(5)), 16, 10).cast("int")
+    def four(value: Column) -> Column:
         return F.concat(*[F.substr(letters, F.shiftright(value, shift).bitwiseAND(31) + 1, F.lit(1)) for shift in (15, 10, 5, 0)])
 
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), four), "")
+    def encoded(hexed: Column) -> Column:
+        numbers = F.array(*[F.conv(F.substr(hexed, F.lit(i + 1), F.lit(5)), 16, 10).cast("int") for i in range(0, 40, 5)])
+        return F.array_join(F.transform(numbers, four), "")
+
+    return F.element_at(F.transform(F.array(F.sha1(payload)), encoded), 1)
 
 
 def deduplicated(pages: DataFrame, page_id: str, url: str, payload: str) -> DataFrame:

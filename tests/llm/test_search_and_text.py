@@ -180,3 +180,11 @@ def test_empty_archives_and_broken_files(spark, tmp_path):
     reader = warc.WarcReader(str(tmp_path / "broken.warc"), True)
     with pytest.raises(ValueError, match="ends within"):
         list(reader.read(reader.partitions()[0]))
+
+
+def test_payloads_are_hashed_once(spark):
+    texts = spark.createDataFrame([("",), ("a",), ("äöü" * 500,), (None,)], "h string")
+    found = texts.select("h", warc.payload_digest(F.col("h")).alias("digest"))
+    assert found._jdf.queryExecution().analyzed().toString().count("sha1(") == 1
+    assert {row.h: row.digest for row in found.collect()} == {
+        text: base64.b32encode(hashlib.sha1(text.encode()).digest()).decode() for text in ("", "a", "äöü" * 500)} | {None: ""}
