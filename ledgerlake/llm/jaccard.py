@@ -26,8 +26,8 @@ Distance is 1 - |x n y| / |x u y|; two texts link when it is at most the radius
    over half of its region's home members, as when all distances are alike, is dealt by hash among copies of its pivot, whose
    home members meet in the same way. No task holds more than ``CELL`` home members; windows stream past them.
 
-Order only affects cost: how common a shingle is comes from per-task summaries of the most frequent ones, of which
-``COMMON`` at most go to all tasks.
+Order only affects cost: how common a shingle is comes from per-task summaries of the most frequent ones, ``COMMON_OF_TEXT``
+per text at most, of which ``COMMON`` at most go to all tasks.
 
 Texts without words have empty sets and link with nothing; with fewer words than a shingle the whole sequence is one.
 Null texts are empty, texts of any length are taken whole. Rows that repeat an id are separate; equal texts always link. Rows
@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import tokens
-from ledgerlake.llm.components import components, small, stored
+from ledgerlake.llm.components import components, in_few_tasks, small, stored
 
 SIZE = 5
 LEAST = Fraction(3, 4)
@@ -62,6 +62,7 @@ BITS = 64
 STEP = 3  # shingles with 8 occurrences and more are common, in steps of 2 to this power
 COMMON = 1 << 20
 COMMON_OF_TASK = 1 << 18
+COMMON_OF_TEXT = 8  # summaries of a task per text, so that all of them grow with the texts and not with the tasks
 COUNTED = 1 << 21  # shingles that a task counts at a time
 HELD = 1 << 18  # entries of pivots that a task combines at a time
 _SEED = np.uint64(0xA5A5_1234_77F0_0D01)
@@ -216,8 +217,10 @@ def _summaries(size: int):
         names = ["doc_id", "hash", "n", "point", "count"]
         met, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         waiting: list[np.ndarray] = []
+        texts = 0
         for batch in tokens.pieces(batches):
             sets = tokens.shingle_sets(tokens.words(batch.column("text")), size)
+            texts += len(sets)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("hash"), pa.array([len(x) for x in sets], pa.int32()),
                 pa.array([point_of(x) for x in sets], pa.int64()), pa.nulls(len(sets), pa.int64())], names)
@@ -225,7 +228,7 @@ def _summaries(size: int):
             if sum(map(len, waiting)) > COUNTED:
                 met, counts = _most_frequent(met, counts, waiting)
                 waiting = []
-        met, counts = _most_frequent(met, counts, waiting)
+        met, counts = _most_frequent(met, counts, waiting, COMMON_OF_TEXT * texts)
         if len(met):
             yield pa.RecordBatch.from_arrays([
                 pa.nulls(len(met), pa.int64()), pa.nulls(len(met), pa.int64()), pa.nulls(len(met), pa.int32()),
@@ -235,16 +238,20 @@ def _summaries(size: int):
     return run
 
 
-def _most_frequent(met: np.ndarray, counts: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent values with their counts, at most ``COMMON_OF_TASK``."""
-    if not sets:
-        return met, counts
-    values, times = np.unique(np.concatenate(sets), return_counts=True)
-    often = times > (len(values) > COMMON_OF_TASK)
-    values, inverse = np.unique(np.concatenate((met, values[often])), return_inverse=True)
-    times = np.bincount(inverse, np.concatenate((counts, times[often])), len(values)).astype(np.int64)
-    if len(values) > COMMON_OF_TASK:
-        kept = np.sort(np.argpartition(-times, COMMON_OF_TASK)[:COMMON_OF_TASK])
+def _most_frequent(
+    met: np.ndarray, counts: np.ndarray, sets: list[np.ndarray], most: int = COMMON_OF_TASK
+) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent values with their counts, at most ``most`` and ``COMMON_OF_TASK``. Of equally frequent ones all tasks
+    prefer the same."""
+    values, times = met, counts
+    if sets:
+        values, times = np.unique(np.concatenate(sets), return_counts=True)
+        often = times > (len(values) > COMMON_OF_TASK)
+        values, inverse = np.unique(np.concatenate((met, values[often])), return_inverse=True)
+        times = np.bincount(inverse, np.concatenate((counts, times[often])), len(values)).astype(np.int64)
+    most = min(most, COMMON_OF_TASK)
+    if len(values) > most:
+        kept = np.sort(np.lexsort((values, -times))[:most])
         values, times = values[kept], times[kept]
     return values, times
 
@@ -398,7 +405,8 @@ def links(common, n, m, least: Fraction):
 def _links(members: DataFrame, sets: DataFrame, least: Fraction, cell: int) -> DataFrame:
     """Links within the regions of ``members``, rows of region and point; ``sets`` has point, n and shingles. Of each
     connected set of a cell one tree. Rows of a few numbers move; sets are only joined where they are compared."""
-    sizes = members.groupBy("region").agg(F.count("*").alias("texts"))
+    count = members.count()
+    sizes = in_few_tasks(members.groupBy("region").agg(F.count("*").alias("texts")), count)
     crowded = stored(sizes.where(F.col("texts") > cell).select("region"), "crowded-regions")
     if not crowded.isEmpty():
         inside = stored(members.join(small(crowded), "region").select("point"), "crowded")
@@ -411,6 +419,7 @@ def _links(members: DataFrame, sets: DataFrame, least: Fraction, cell: int) -> D
     while True:
         homes = now.where("home").groupBy("region").agg(
             F.count("*").alias("texts"), F.max("parent").alias("parent"), F.min(F.xxhash64("point", F.lit(level))).alias("first"))
+        homes = in_few_tasks(homes, count)
         large = stored(homes.where((F.col("texts") > cell) & (F.col("parent").isNull() | (2 * F.col("texts") <= F.col("parent")))), "large")
         if large.isEmpty():
             break

@@ -1,6 +1,7 @@
 """The Jaccard join against all pairs."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +101,13 @@ def test_first_pivots_of_neighbours_meet():
             firsts.append({v for _, v in ordered[:reach]})
         assert jaccard.links(shared, n, n, jaccard.LEAST) and firsts[0] & firsts[1]
     assert shortest <= 34
+
+
+def test_summaries_of_a_task_grow_with_its_texts():
+    """However few texts a task has, it names no more shingles than some per text, the most frequent ones first."""
+    common = " ".join(f"c{i}" for i in range(9))
+    texts = [" ".join(f"t{at}x{i}" for i in range(300)) + " " + common for at in range(3)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(3), pa.int64()), pa.array(texts), pa.array(range(3), pa.int64())], ["doc_id", "text", "hash"])
+    counted = [row for out in jaccard._summaries(5)(iter([batch])) for row in out.to_pylist() if row["count"] is not None]
+    assert len(counted) == 3 * jaccard.COMMON_OF_TEXT
+    assert [row["count"] for row in counted].count(3) == 5
