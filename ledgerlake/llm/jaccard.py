@@ -17,12 +17,18 @@ Distance is 1 - |x n y| / |x u y|; two texts link when it is at most the radius
    Regions of more than ``CELL`` texts are divided once more in this way, by exact counts of all their shingles, so that
    texts which only share a few shingles part.
 3. Text pivots, on every region of more than ``CELL`` texts. One text in ``EACH`` becomes a pivot, by hash, ``PIVOTS`` at
-   most. Every text measures its distance to all pivots of its region; its home is the Voronoi cell of the nearest. If x is
-   at home with pivot p and y is within r of x, then for every other pivot q: d(y,p) <= d(x,p) + r <= d(x,q) + r <=
+   most. Every text measures its distance to all pivots of its region; its home is the Voronoi cell of the nearest, and
+   those within r are links. Texts that links to pivots connect have one label, a point that they all reach. Links that texts
+   of one label have with each other would tell nothing new, so only texts of different labels have to meet, and of two
+   homes the text of the label with fewer texts in the region visits the other one's (with as many, the larger home's visits
+   the smaller). So the texts of a dense group of edited copies stay at home, and those visit that no pivot ties to it.
+   If x is at home with pivot p and y is within r of x, then for every other pivot q: d(y,p) <= d(x,p) + r <= d(x,q) + r <=
    d(y,q) + 2r. So y is replicated to the window of p only if d(y,p) is at most 2r more than its distance to its nearest
-   pivot, at most r more than the farthest home member of p, and if it is of like size; and a pair with two homes meets in
-   the smaller one only. In a cell only home members meet home and window members. Cells with more than ``CELL`` home
-   members are regions again, with the windows as members without a home; all others are joined exactly. A cell that holds
+   pivot, at most r more than the farthest home member of p that it has to meet, and if it is of like size; these bounds are
+   kept for the most frequent label of a cell and for all others. Texts are measured twice, once for homes, links and
+   bounds, once for windows, so that no row is made for a pair of text and pivot that does not have to meet. In a cell only
+   home members meet home and window members. Cells with more than ``CELL`` home members are regions again, with the
+   windows as members without a home; all others are joined exactly, unless all members have one label. A cell that holds
    over half of its region's home members, as when all distances are alike, is dealt by hash among copies of its pivot, whose
    home members meet in the same way. No task holds more than ``CELL`` home members; windows stream past them.
 
@@ -413,48 +419,85 @@ def _links(members: DataFrame, sets: DataFrame, least: Fraction, cell: int) -> D
         parts = _exact_point_regions(sets.join(small(inside), "point", "left_semi"), least)
         others = members.join(small(crowded), "region", "left_anti").select("region", "point")
         members = others.union(parts.select(F.col("component").alias("region"), F.col("node").alias("point")))
-    now = members.select("region", "point", F.lit(True).alias("home"), F.lit(None).cast("long").alias("parent"))
+    now = members.select("region", "point", F.col("point").alias("label"), F.lit(True).alias("home"), F.lit(None).cast("long").alias("parent"))
     now = stored(now, "first-regions")
-    finished, level = [], 0
+    finished, found, level = [], [], 0
     while True:
-        homes = now.where("home").groupBy("region").agg(
-            F.count("*").alias("texts"), F.max("parent").alias("parent"), F.min(F.xxhash64("point", F.lit(level))).alias("first"))
+        homes = now.groupBy("region").agg(
+            F.count_if("home").alias("texts"), F.max("parent").alias("parent"),
+            F.min(F.when(F.col("home"), F.xxhash64("point", F.lit(level)))).alias("first"),
+            (F.min("label") < F.max("label")).alias("differ"))
         homes = in_few_tasks(homes, count)
-        large = stored(homes.where((F.col("texts") > cell) & (F.col("parent").isNull() | (2 * F.col("texts") <= F.col("parent")))), "large")
+        large = homes.where((F.col("texts") > cell) & F.col("differ") & (F.col("parent").isNull() | (2 * F.col("texts") <= F.col("parent"))))
+        large = stored(large.drop("parent", "differ"), "large")
         if large.isEmpty():
             break
-        finished.append(now.join(small(large), "region", "left_anti").select("region", "point", "home"))
+        finished.append(now.join(small(large), "region", "left_anti").select("region", "point", "label", "home"))
+        now, tied = _cells(now.drop("parent").join(small(large), "region"), sets, least, level)
+        found.append(tied)
         level += 1
-        now = stored(_cells(now.drop("parent").join(small(large.drop("parent")), "region"), sets, least, level - 1), "cells")
     for part in finished:
-        now = now.select("region", "point", "home").union(part)
-    return _joined(now, sets, least, cell)
+        now = now.select("region", "point", "label", "home").union(part)
+    pairs = _joined(now, sets, least, cell)
+    for tied in found:
+        pairs = pairs.union(tied)
+    return pairs
 
 
-def _cells(rows: DataFrame, sets: DataFrame, least: Fraction, level: int) -> DataFrame:
-    """Home and window members of the Voronoi cells in each region. ``rows`` have region, point and home, with the number of
-    home members (``texts``) and the least of their hashes (``first``) of the region."""
+def _cells(rows: DataFrame, sets: DataFrame, least: Fraction, level: int) -> tuple[DataFrame, DataFrame]:
+    """Home and window members of the Voronoi cells in each region, and links of texts with the points that label them. ``rows``
+    have region, point, label and home, with the number of home members (``texts``) and the least of their hashes (``first``)
+    of the region."""
     hashed = F.xxhash64("point", F.lit(level))
     pivots = F.least(F.ceil(F.col("texts") / EACH), F.lit(PIVOTS))
     chosen = F.col("home") & ((F.abs(hashed % 1_000_000) / 1_000_000.0 < pivots / F.col("texts")) | (hashed == F.col("first")))
+    columns = ["home", "texts", "label"]
+    dealt = _dealt(rows, rows.where(chosen), sets, columns, "measuring")
+    schema = "region long, point long, n int, home boolean, texts long, label long, nearest long, distance double, tied long"
+    measured = stored(dealt.mapInArrow(tokens.trimmed(_nearest(least)), schema), "measured")
+    # Pivots of a region are few, and so are different links between them.
+    between = measured.where("nearest IS NULL").select("region", "point", "tied").distinct().repartition("region")
+    roots_of = stored(between.mapInArrow(tokens.trimmed(_roots_of_pivots), "region long, tied long, root long"), "pivot-roots")
+    labelled = measured.where("nearest IS NOT NULL").join(small(roots_of), ["region", "tied"], "left")
+    labelled = stored(labelled.withColumn("label", F.coalesce("root", "tied", "label")).drop("root", "tied"), "labelled")
+
+    homes = labelled.where("home")
+    sizes = stored(homes.groupBy("region", "label").agg(F.count("*").alias("size")), "label-sizes")
+    groups = homes.groupBy("region", "nearest", "label").agg(
+        F.max("distance").alias("reach"), F.min("n").alias("low"), F.max("n").alias("high"), F.max("texts").alias("texts"))
+    groups = stored(groups.join(small(sizes), ["region", "label"]), "cell-labels")
+    tops = groups.groupBy("region", "nearest").agg(
+        F.max(F.struct("size", "label", "reach", "low", "high")).alias("top"), F.max("texts").alias("texts"))
+    rest = groups.join(tops.drop("texts"), ["region", "nearest"]).where("label <> top.label").groupBy("region", "nearest").agg(
+        F.max("size").alias("rest_size"), F.max("reach").alias("rest_reach"), F.min("low").alias("rest_low"), F.max("high").alias("rest_high"))
+    bounds = tops.join(rest, ["region", "nearest"], "left").select(
+        "region", F.col("nearest").alias("point"), "texts", F.col("top.label").alias("label"), F.col("top.size").alias("size"),
+        F.col("top.reach").alias("reach"), F.col("top.low").alias("low"), F.col("top.high").alias("high"),
+        "rest_size", "rest_reach", "rest_low", "rest_high")
+    # A label of more than half of the home members is the largest, so its texts wait for visits.
+    visitors = labelled.join(small(sizes), ["region", "label"], "left").where("NOT (home AND 2 * size > texts)").drop("n")
+    columns += ["size", "nearest", "reach", "low", "high", "rest_size", "rest_reach", "rest_low", "rest_high"]
+    dealt = _dealt(visitors, bounds, sets, columns, "visiting")
+    schema = "region long, point long, texts long, label long, pivot long"
+    windows = dealt.mapInArrow(tokens.trimmed(_windows(least)), schema)
+
+    def members(texts: DataFrame, pivot: str, home: bool) -> DataFrame:
+        return texts.select(F.xxhash64("region", pivot).alias("region"), "point", "label", F.lit(home).alias("home"), F.col("texts").alias("parent"))
+
+    now = stored(members(homes, "nearest", True).union(members(windows, "pivot", False)), "cells")
+    return now, labelled.where("label <> point").select("point", F.col("label").alias("other"))
+
+
+def _dealt(texts: DataFrame, pivots: DataFrame, sets: DataFrame, columns: list[str], label: str) -> DataFrame:
+    """Texts with their sets and the given columns, of which they may lack some, in parts of about ``MEASURED``; each part has all
+    pivots of its region first."""
     parts = F.ceil(F.col("texts") / MEASURED).cast("int")
-    rows = stored(rows.withColumns({"is_pivot": chosen, "parts": parts}), "measuring")
-    rows = sets.join(small(rows), "point")
-    own = rows.withColumns({"part": F.pmod(F.xxhash64("point"), F.col("parts")).cast("int"), "role": F.lit(1)})
-    copies = rows.where("is_pivot").withColumns({"part": F.explode(F.sequence(F.lit(0), F.col("parts") - 1)), "role": F.lit(0)})
-    columns = ["region", "part", "role", "point", "n", "home", "texts", "shingles"]
-    dealt = copies.select(columns).union(own.select(columns)).repartition("region", "part").sortWithinPartitions(
-        "region", "part", "role", "point")
-    schema = "region long, point long, n int, home boolean, texts long, pivot long, nearest long, distance double"
-    measured = stored(dealt.mapInArrow(tokens.trimmed(_distances(least)), schema), "measured")
-    is_home = F.expr("home AND pivot = nearest")
-    cells = measured.where(is_home).groupBy("region", "pivot").agg(
-        F.max("distance").alias("reach"), F.min("n").alias("low"), F.max("n").alias("high"))
-    up, down = least.numerator, least.denominator
-    like = F.expr(f"n * {down} >= low * {up} AND n * {up} <= high * {down}")
-    window = F.expr("NOT home OR pivot < nearest") & (F.col("distance") <= F.col("reach") + float(1 - least) + 1e-9) & like
-    return measured.join(stored(cells, "cell-reach"), ["region", "pivot"]).where(is_home | window).select(
-        F.xxhash64("region", "pivot").alias("region"), "point", is_home.alias("home"), F.col("texts").alias("parent"))
+    own = texts.withColumns({"part": F.pmod(F.xxhash64("point"), parts).cast("int"), "role": F.lit(1)})
+    copies = pivots.withColumns({"part": F.explode(F.sequence(F.lit(0), parts - 1)), "role": F.lit(0)})
+    rows = copies.unionByName(own, allowMissingColumns=True).select("region", "part", "role", "point", *columns)
+    rows = sets.join(small(stored(rows, label)), "point")
+    rows = rows.select("region", "part", "role", "point", "n", *columns, "shingles").repartition("region", "part")
+    return rows.sortWithinPartitions("region", "part", "role", "point")
 
 
 class Index:
@@ -487,52 +530,148 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[
             last = key
 
 
-def _distances(least: Fraction):
-    """Rows of texts and the pivots at most two radii farther away than the nearest. Each run of rows has its pivots first."""
-    reach = 2 * float(1 - least) + 1e-9
+class Pivots:
+    """Pivots of a part of a region, which come before its texts: their rows and an index of their sets."""
+
+    def __init__(self):
+        self.rows: list[pa.RecordBatch] = []
+        self.index = None
+
+    def column(self, name: str) -> np.ndarray:
+        return pa.Table.from_batches(self.rows).column(name).to_numpy()
+
+    def taken(self, rows: pa.RecordBatch) -> pa.RecordBatch:
+        """Takes the pivots among the rows and returns the rest, which are texts."""
+        front = pc.sum(pc.equal(rows.column("role"), 0)).as_py()
+        if front:
+            self.rows.append(rows.slice(0, front))
+        if front < rows.num_rows and self.index is None:
+            self.index = Index([values_of(x) for part in self.rows for x in part.column("shingles").to_pylist()])
+        return rows.slice(front)
+
+    def measured(self, texts: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Per text its number of shingles, those it shares with each pivot, and the distances to them."""
+        for shingles in texts.column("shingles").to_pylist():
+            values = values_of(shingles)
+            common = self.index.common(values)
+            yield len(values), common, 1 - common / (self.index.lengths + len(values) - common)
+
+
+def _nearest(least: Fraction):
+    """Per text its nearest pivot and one that it is connected with (``tied``), by a link or by its label; and rows without a
+    nearest one that tie pivots with each other, fewer of them than pivots in each part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, sets, index = [], [], None
+        columns = ["region", "point", "n", "home", "texts", "label"]
+        pivots, region, group = Pivots(), None, np.zeros(0, np.int64)
+
+        def between() -> Iterator[pa.RecordBatch]:
+            other = np.flatnonzero(group != np.arange(len(group)))
+            if len(other):
+                names, none = pivots.column("point"), [pa.nulls(len(other), kind) for kind in (
+                    pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64())]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(other), region, np.int64)), pa.array(names[other]), *none, pa.array(names[group[other]])],
+                    [*columns, "nearest", "distance", "tied"])
+
         for is_new, rows in _runs(batches, ["region", "part"]):
             if is_new:
-                names, sets, index = [], [], None
-            out = []
-            points, roles = rows.column("point").to_numpy(), rows.column("role").to_pylist()
-            for at, (role, shingles) in enumerate(zip(roles, rows.column("shingles").to_pylist(), strict=True)):
-                values = values_of(shingles)
-                if role == 0:
-                    names.append(points[at])
-                    sets.append(values)
-                    continue
-                index = index or Index(sets)
-                common = index.common(values)
-                distance = 1 - common / (index.lengths + len(values) - common)
+                yield from between()
+                pivots, region, group = Pivots(), rows.column("region")[0].as_py(), np.zeros(0, np.int64)
+            texts = pivots.taken(rows)
+            if not texts.num_rows:
+                continue
+            names, labels = pivots.column("point"), pivots.column("label")
+            if not len(group):
+                group = np.arange(len(names))  # place of the first pivot that each is connected with
+            points, own = texts.column("point").to_numpy(), texts.column("label").to_numpy()
+            nearest, distances, tied = [], [], []
+            for at, (n, common, distance) in enumerate(pivots.measured(texts)):
                 # Of equally near pivots one by hash, so that ties do not crowd one cell.
                 near = np.flatnonzero(distance == distance.min())
-                nearest = near[int(tokens.mix(points[at:at + 1].view(np.uint64))[0] % np.uint64(len(near)))]
-                kept = np.flatnonzero(distance <= distance[nearest] + reach)
-                out.append((at, kept, distance[kept], names[nearest]))
-            if out:
-                count = [len(kept) for _, kept, _, _ in out]
-                place = np.repeat([at for at, *_ in out], count)
-                whole = rows.select(["region", "point", "n", "home", "texts"]).take(pa.array(place))
-                yield pa.RecordBatch.from_arrays([
-                    *whole.columns, pa.array(np.array(names, np.int64)[np.concatenate([kept for _, kept, _, _ in out])]),
-                    pa.array(np.repeat(np.array([name for *_, name in out], np.int64), count)),
-                    pa.array(np.concatenate([distance for _, _, distance, _ in out]))],
-                    ["region", "point", "n", "home", "texts", "pivot", "nearest", "distance"])
+                chosen = near[int(tokens.mix(points[at:at + 1].view(np.uint64))[0] % np.uint64(len(near)))]
+                nearest.append(names[chosen])
+                distances.append(distance[chosen])
+                reached = np.flatnonzero(links(common, n, pivots.index.lengths, least) | (labels == own[at]))
+                tied.append(int(names[reached[0]]) if len(reached) else None)
+                if len(met := np.unique(group[reached])) > 1:
+                    group[np.isin(group, met)] = met[0]
+            yield pa.RecordBatch.from_arrays([
+                *(texts.column(x) for x in columns), pa.array(np.array(nearest, np.int64)), pa.array(np.array(distances)),
+                pa.array(tied, pa.int64())], [*columns, "nearest", "distance", "tied"])
+        yield from between()
+
+    return run
+
+
+def _roots_of_pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pivots that are tied with smaller ones of their region, with the smallest that they are connected with."""
+    batches = list(batches)
+    if not sum(batch.num_rows for batch in batches):
+        return
+    table = pa.Table.from_batches(batches)
+    region = table.column("region").to_numpy()
+    ends = [np.stack((region, table.column(x).to_numpy()), axis=1) for x in ("point", "tied")]
+    nodes, places = np.unique(np.concatenate(ends), axis=0, return_inverse=True)
+    places = places.ravel()
+    root = roots(len(nodes), places[:len(region)].tolist(), places[len(region):].tolist())
+    other = np.flatnonzero(root != np.arange(len(nodes)))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(nodes[other, 0]), pa.array(nodes[other, 1]), pa.array(nodes[root[other], 1])], ["region", "tied", "root"])
+
+
+def _windows(least: Fraction):
+    """Rows of texts and the pivots whose home members they have to visit. Pivots have the label of most home members of
+    theirs, with its size and bounds, and the same of the rest, if there are others."""
+    radius = float(1 - least) + 1e-9
+    up, down = least.numerator, least.denominator
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivots = Pivots()
+        for is_new, rows in _runs(batches, ["region", "part"]):
+            if is_new:
+                pivots = Pivots()
+            texts = pivots.taken(rows)
+            if not texts.num_rows:
+                continue
+            names, labels = pivots.column("point"), pivots.column("label")
+            groups = [[np.nan_to_num(pivots.column(x).astype(np.float64), nan=-1.0) for x in (
+                before + "size", before + "reach", before + "low", before + "high")] for before in ("", "rest_")]
+            given = zip(*(texts.column(x).to_pylist() for x in ("home", "label", "size", "nearest")), strict=True)
+            places, found = [], []
+            for at, ((home, label, own, nearest), (n, _, distance)) in enumerate(zip(given, pivots.measured(texts), strict=True)):
+                visits = np.zeros(len(names), bool)
+                for which, (size, reach, low, high) in enumerate(groups):
+                    to = (size > own) | (size == own) & (names < nearest) if home else size > 0
+                    to = to & (distance <= reach + radius) & (n * down >= low * up) & (n * up <= high * down)
+                    visits |= to & (labels != label) if which == 0 else to
+                visits &= distance <= distance.min() + 2 * radius
+                if home:
+                    visits &= names != nearest
+                found.append(names[visits])
+                places += [at] * len(found[-1])
+            if places:
+                whole = texts.select(["region", "point", "texts", "label"]).take(pa.array(places))
+                yield pa.RecordBatch.from_arrays([*whole.columns, pa.array(np.concatenate(found))], [*whole.schema.names, "pivot"])
 
     return run
 
 
 def _joined(rows: DataFrame, sets: DataFrame, least: Fraction, cell: int) -> DataFrame:
-    """Links in cells. One with more than ``cell`` home members is dealt by hash among copies of its pivot: home members of a copy
-    are window members of the copies before it, and windows are those of all copies."""
-    sizes = rows.groupBy("region").agg(F.count_if("home").alias("texts"), F.count("*").alias("every")).where("every > 1 AND texts > 0")
+    """Links in cells of several labels. One with more than ``cell`` home members is dealt by hash among copies of its pivot:
+    home members of a copy are window members of the copies before it, and windows are those of all copies. If more than
+    half of the home members have one label, they stay in their copy and the others visit all copies."""
+    sizes = rows.groupBy("region").agg(F.count_if("home").alias("texts"), (F.min("label") < F.max("label")).alias("differ"))
+    sizes = stored(sizes.where("differ AND texts > 0").drop("differ"), "cell-sizes")
+    most = rows.where("home").join(small(sizes.where(F.col("texts") > cell)), "region").groupBy("region", "label").agg(
+        F.count("*").alias("size"), F.max("texts").alias("texts")).where("2 * size > texts")
+    most = stored(most.select("region", F.col("label").alias("most")), "cell-labels")
     copies = F.ceil(F.col("texts") / cell).cast("int")
     own = F.pmod(F.xxhash64("point"), copies.cast("long")).cast("int")
-    rows = rows.join(stored(sizes, "cell-sizes"), "region").withColumns({"copies": copies, "own": own})
-    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(0), F.when(F.col("home"), F.col("own")).otherwise(F.col("copies") - 1))))
+    rows = rows.join(sizes, "region").join(small(most), "region", "left").withColumns({"copies": copies, "own": own})
+    first = F.when(F.expr("home AND label = most"), F.col("own")).otherwise(F.lit(0))
+    last = F.when(F.expr("home AND (most IS NULL OR label = most)"), F.col("own")).otherwise(F.col("copies") - 1)
+    rows = rows.withColumn("copy", F.explode(F.sequence(first, last)))
     rows = stored(rows.select("region", "copy", (F.expr("home AND copy = own")).alias("home"), "point"), "cell-members")
     rows = sets.join(small(rows), "point")
     keys = ["region", "copy"]

@@ -1,6 +1,7 @@
 """Regions of many edited copies are divided by pivots, level by level, with the default parameters."""
 
 import random
+from collections import Counter
 from fractions import Fraction
 
 import pyarrow as pa
@@ -66,3 +67,45 @@ def test_copies_at_equal_distances(spark, levels):
     texts = [core + " " + " ".join(f"own{n}x{i}" for i in range(16)) for n in range(700)]
     assert joined(spark, texts) == components_of(texts + [texts[0]])[:-1]
     assert levels[0] == [700] and levels[-1][0] <= 350
+
+
+@pytest.fixture
+def made(monkeypatch):
+    """Rows of the tables that the division of regions writes, by their label."""
+    rows, store = Counter(), jaccard.stored
+
+    def counted(frame, label):
+        written = store(frame, label)
+        rows[label] += written.count()
+        return written
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    return rows
+
+
+def test_rows_grow_with_the_texts_of_a_dense_group(spark, made):
+    """Copies that links to pivots connect do not meet each other again: no row for each text and pivot, nor for each window."""
+    counts = []
+    for count in (600, 1200):
+        made.clear()
+        texts = edited(random.Random(6), count, [1])
+        assert joined(spark, texts) == components_of(texts)
+        counts.append((made["measured"], made["cells"] + made["cell-members"]))
+    assert counts[1][0] <= 3 * 1200 and counts[1][1] <= 3 * 1200
+    assert counts[1][0] <= 2.5 * counts[0][0]
+
+
+def test_dense_group_with_strays_and_other_groups(spark, levels):
+    """Some texts link with many, some with few others and some with none; all labels have to meet."""
+    texts = edited(random.Random(8), 900, [1, 2, 4, 6, 7, 8])
+    dice = random.Random(9)
+    for seed in dice.sample(texts, 40):  # a neighbour of its own each
+        words = seed.split()
+        for at in dice.sample(range(100), 3):
+            words[at] = f"new{dice.randrange(10**6)}"
+        texts.append(" ".join(words))
+    expected = components_of(texts)
+    sizes = Counter(expected).values()
+    assert max(sizes) > 200 and sum(size == 1 for size in sizes) > 50 and sum(1 < size < 20 for size in sizes) > 3
+    assert joined(spark, texts) == expected
+    assert len(levels) >= 2
